@@ -40,7 +40,9 @@ def join_small(
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition where NULL key parts match each other (``<=>``)."""
+    """Join condition where NULL key parts match each other (``<=>``).
+
+    Both sides must be aliased DataFrames (``df.alias(name)``)."""
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(right[k])
