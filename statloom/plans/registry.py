@@ -6,7 +6,7 @@ from __future__ import annotations
 def all_queries():
     from statloom.plans import testdata
 
-    for mod in ("ingest_queries", "trend_queries"):
+    for mod in ("ingest_queries",):
         try:
             __import__(f"statloom.plans.{mod}")
         except ModuleNotFoundError as exc:

@@ -37,7 +37,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in _SCALE_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
