@@ -4,12 +4,6 @@ from __future__ import annotations
 
 
 def all_queries():
-    from statloom.plans import testdata
-
-    for mod in ("ingest_queries",):
-        try:
-            __import__(f"statloom.plans.{mod}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"statloom.plans.{mod}":
-                raise
+    from statloom.plans import ingest_queries, testdata  # noqa: F401  (registration)
+
     return dict(testdata.REGISTRY)

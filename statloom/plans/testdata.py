@@ -347,3 +347,12 @@ def series_points(spark, sf_dir):
     from statloom.operators.reshape import series_points as points
 
     return points(_by_region(Tables(spark, sf_dir)), "comunidad", "anio", "salario_medio")
+
+
+@query("local_trend", None)
+def local_trend(spark, sf_dir):
+    """R2: LOWESS trend of wage against the regional rate, over every point of
+    the region_rate_join panel (exact; checked against a loop in tests)."""
+    from statloom.operators.lowess import lowess
+
+    return lowess(_q5(Tables(spark, sf_dir)), "tasa_paro_media", "salario_medio", out="trend")
