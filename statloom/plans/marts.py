@@ -13,7 +13,7 @@ Every filter value is a parameter whose default is the reference's constant;
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,14 +203,24 @@ def wage_inequality(
     )
 
 
-def build_marts(salaries: DataFrame, prices: DataFrame, employment: DataFrame) -> dict[str, DataFrame]:
+def build_marts(
+    salaries: DataFrame,
+    prices: DataFrame,
+    employment: DataFrame,
+    reuse: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """All nine marts from the three blocks, with the reference's filters.
 
-    The Q1 and CPI frames feed several marts; inside one plan Spark reuses
-    their exchanges, and ``write_marts`` persists the blocks across writes.
+    The Q1 frame feeds four marts and the annual CPI two. ``reuse`` (for
+    example ``lambda df: df.checkpoint()``) materialises these small
+    aggregates once, so the nine separate writes do not recompute them. The
+    blocks themselves are not kept: each mart reads only its indicator's
+    partitions.
     """
     by_region = salary_by_region(salaries)
     cpi = annual_cpi(prices)
+    if reuse is not None:
+        by_region, cpi = reuse(by_region), reuse(cpi)
     q5 = unemployment_vs_wage(by_region, annual_unemployment(employment))
     return {
         "Evolucion_Salario_Comunidades": by_region,
@@ -228,3 +238,18 @@ def build_marts(salaries: DataFrame, prices: DataFrame, employment: DataFrame) -
 def sorted_mart(name: str, df: DataFrame) -> DataFrame:
     keys = MART_ORDER.get(name, ())
     return m.order_by(df, *keys) if keys else df
+
+
+def run_marts(spark, star_root: str, out_folder: str) -> dict[str, DataFrame]:
+    """Read the star at ``star_root``, build the nine marts and write each as
+    sorted CSV and Parquet under ``out_folder``."""
+    from statloom.plans.blocks import star_blocks
+    from statloom.plans.ingest import StarStore
+    from statloom.session import ensure_checkpoint_dir
+    from statloom.sources.marts_io import write_marts
+
+    ensure_checkpoint_dir(spark)
+    sal, pri, emp = star_blocks(StarStore(spark, star_root).tables())
+    marts = build_marts(sal, pri, emp, reuse=lambda df: df.checkpoint(eager=True))
+    write_marts(marts, out_folder, MART_ORDER)
+    return marts

@@ -89,6 +89,15 @@ def test_marts_write_and_read_back(spark, built):
         assert read_mart_parquet(spark, root + "/out", name).count() == df.count()
 
 
+def test_run_marts_end_to_end(spark, built):
+    root, ms = built
+    out = marts.run_marts(spark, root + "/star", root + "/run")
+    assert set(out) == set(MARTS)
+    back = read_mart_csv(spark, root + "/run", "Evolucion_Salario_Comunidades", MARTS["Evolucion_Salario_Comunidades"])
+    assert [(r.comunidad, r.anio) for r in back.collect()] == [
+        ("Andalucía", 2015), ("Total Nacional", 2015), ("Total Nacional", 2016)]
+
+
 def test_csv_quotes_commas_and_keeps_full_doubles(spark, scratch):
     from statloom.sources.marts_io import write_mart
 
