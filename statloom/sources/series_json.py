@@ -47,3 +47,10 @@ def schema_report(df: DataFrame, json_col: str, group_cols: tuple[str, ...] = ()
     if group_cols:
         return df.groupBy(*group_cols).agg(agg, cnt)
     return df.agg(agg, cnt)
+
+
+def series_schema_report(spark: SparkSession, path: str) -> DataFrame:
+    """Merged schema of raw series documents in JSON Lines files, over every
+    document (the reference looked at the first document only)."""
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    return schema_report(lines, "value")

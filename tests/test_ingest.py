@@ -86,3 +86,21 @@ def test_downloaded_files_lone_object_and_array(spark, scratch):
     assert by_code[50913] == 6 and by_code[99999] == 1
     firsts = raw.filter(F.col("table_code") == 50913).orderBy("series_pos").first()
     assert firsts.Nombre.startswith("Total Nacional. Índice general. Índice")
+
+
+def test_empty_batch_loads_nothing(spark, scratch):
+    from statloom.schemas import RAW_SERIES
+
+    store = ingest.StarStore(spark, scratch + "/star")
+    rejects = ingest.load(spark.createDataFrame([], RAW_SERIES), store)
+    assert rejects["series"].count() == 0
+    assert all(df.count() == 0 for df in store.tables().values())
+
+
+def test_series_schema_report_merges_all_documents(spark, scratch):
+    from statloom.sources.series_json import series_schema_report
+
+    folder = sf.write_lines(scratch + "/land")
+    (row,) = series_schema_report(spark, folder).collect()
+    assert row.n_rows == sum(len(v) for v in sf.series_by_code().values())
+    assert "Fk_Periodo" in row.schema and "FK_Periodo" in row.schema and "Nombre" in row.schema
