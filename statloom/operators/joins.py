@@ -1,9 +1,12 @@
 """Joins with a checked broadcast.
 
-A side is broadcast only after a bounded count proves it holds at most
-``max_rows`` rows (the count stops reading at ``max_rows + 1``). Beyond that
-bound the join is left to Spark: a sort-merge join on the keys, which AQE may
-still turn into a broadcast once it has measured the shuffled side.
+A side is broadcast only after a bounded check proves it holds at most
+``max_rows`` rows. The check is a ``take`` over a column-free projection: the
+scan reads no column data, and ``take`` scans partitions incrementally, so on a
+large table it stops after the first partitions holding ``max_rows + 1`` rows.
+Beyond that bound the join is left to Spark: a sort-merge join on the keys,
+which AQE may still turn into a broadcast once it has measured the shuffled
+side.
 """
 
 from __future__ import annotations
@@ -13,14 +16,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound for broadcasting a dimension; a dimension row here is a few short
-# strings, so this stays far below executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Row bound for broadcasting a dimension: a dimension row here is a few short
+# strings, so 200k rows stay near Spark's default 10 MB broadcast size.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
