@@ -1,9 +1,9 @@
 """Joins with a checked broadcast.
 
 A side is broadcast only after a bounded check proves it holds at most
-``max_rows`` rows. The check is a ``take`` over a column-free projection: the
-scan reads no column data, and ``take`` scans partitions incrementally, so on a
-large table it stops after the first partitions holding ``max_rows + 1`` rows.
+``max_rows`` rows. The check counts on the executors over a column-free
+projection: the scan decodes no column data and each task stops at
+``max_rows + 1`` rows, so the check stays cheap on a table of any size.
 Beyond that bound the join is left to Spark: a sort-merge join on the keys,
 which AQE may still turn into a broadcast once it has measured the shuffled
 side.
@@ -23,7 +23,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows (bounded scan)."""
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

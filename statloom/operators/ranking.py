@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.session import ensure_checkpoint_dir, shuffle_partitions
+from statloom.session import ensure_checkpoint_dir
 
 _ID_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
@@ -36,10 +36,12 @@ def global_rank(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or shuffle_partitions(spark)
     cols = list(order_cols)
+    # Without an explicit count AQE may merge small neighbouring ranges, which
+    # keeps their order; a tiny input then does not fan out to many tasks.
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     tagged = (
-        df.repartitionByRange(n, *cols)
+        ranged
         .sortWithinPartitions(*cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
