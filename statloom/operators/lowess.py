@@ -132,7 +132,7 @@ def lowess(
 ) -> DataFrame:
     """Rows (x, y, out) for every point with both values present."""
     pts = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    pts = global_rank(pts, ["x", "y"], "pos").checkpoint(eager=True)
+    pts = global_rank(pts, ["x", "y"], "pos")  # frozen: built on a checkpoint
     n = pts.count()
     if n == 0:
         return pts.select(F.col("x").alias(x), F.col("y").alias(y), F.lit(None).cast("double").alias(out))
@@ -201,8 +201,7 @@ def lowess(
         if med <= 0.0:
             continue
         u = F.col("e") / F.lit(6.0 * med)
-        # lineage stays short: ``fit`` above is already checkpointed
         robust = resid.select(
             "pos", F.when(F.abs(u) < 1, (1 - u * u) * (1 - u * u)).otherwise(F.lit(0.0)).alias("r")
-        )
+        ).checkpoint(eager=True)
     return fit.select(F.col("x").alias(x), F.col("y").alias(y), F.col("fit").alias(out))
