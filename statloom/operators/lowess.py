@@ -31,7 +31,7 @@ How it runs without comparing every pair of points:
 Work is O(n log n) rows in joins and aggregates. The per-row polynomial
 arithmetic is vectorised NumPy inside ``mapInPandas``.
 
-Edge cases, defined here: a window whose points all share x_i is weighted
+Edge cases, defined here: points tied in x are ordered by y; a window whose points all share x_i is weighted
 uniformly; a window with zero x-spread gives the weighted mean of y; zero
 total weight keeps y_i; a zero median residual leaves the robustness weights
 unchanged.
@@ -132,7 +132,10 @@ def lowess(
 ) -> DataFrame:
     """Rows (x, y, out) for every point with both values present."""
     pts = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    pts = global_rank(pts, ["x", "y"], "pos")  # frozen: built on a checkpoint
+    # A row id breaks ties, so even one point repeated a million times spreads
+    # over many range partitions; ties in x are ordered by y, then by that id.
+    pts = pts.withColumn("_u", F.monotonically_increasing_id())
+    pts = global_rank(pts, ["x", "y", "_u"], "pos").drop("_u")  # frozen: built on a checkpoint
     n = pts.count()
     if n == 0:
         return pts.select(F.col("x").alias(x), F.col("y").alias(y), F.lit(None).cast("double").alias(out))
