@@ -114,3 +114,17 @@ def test_indicator_filter_reaches_partitioned_facts(spark, built, capsys):
     sal.filter(F.col("indicador") == "Salario_Anual_Media").explain("formatted")
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(id_indicador" in plan
+
+
+def test_report_shapes(spark, built):
+    from statloom.plans.reporting import build_reports
+
+    _, ms = built
+    reps = build_reports(ms)
+    jq = sorted((r.variable, r.value) for r in reps["job_quality"].collect())
+    assert jq == [("Indefinido (%)", 75.0), ("Temporal (%)", 25.0)]
+    assert [r.ocupacion for r in reps["latest_gap"].collect()] == ["Directores"]
+    assert reps["wage_lines"].columns == ["series", "x", "y"]
+    (trend,) = reps["unemployment_wage_trend"].collect()
+    assert trend.tendencia == 22000.0  # one point: the trend is the point
+    assert reps["housing_vs_wage"].count() == 2 and reps["real_wage"].count() == 2
