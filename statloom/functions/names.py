@@ -15,9 +15,14 @@ from statloom.functions.safe import ColumnOrName, col, strip
 
 
 def name_parts(name: ColumnOrName, sep_regex: str = r"\.") -> Column:
-    """split(name, sep) -> strip each part -> drop empty parts."""
-    parts = F.transform(F.split(col(name), sep_regex), lambda p: strip(p))
-    return F.filter(parts, lambda p: p != F.lit(""))
+    """split(name, sep) -> strip each part -> drop empty parts.
+
+    One regex split that also swallows the whitespace around each separator,
+    then ``array_remove`` of blanks: same result as stripping every part, but
+    without a lambda, so the expression stays in generated code.
+    """
+    around = rf"(?U)\s*(?:{sep_regex})\s*"
+    return F.array_remove(F.split(strip(name), around), "")
 
 
 def part(parts: ColumnOrName, index: int) -> Column:
