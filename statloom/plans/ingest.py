@@ -213,3 +213,41 @@ def load(raw: DataFrame, store: StarStore) -> dict[str, DataFrame]:
         store.append(table, new.select(*FACT_SCHEMAS[table].fieldNames()))
         rejects[table] = bad
     return rejects
+
+
+FOREIGN_KEYS = {
+    # fact column -> (dimension table, dimension key)
+    "id_periodo": ("tbl_periodo", "id_periodo"),
+    "id_indicador": ("tbl_indicador", "id_indicador"),
+    "id_geografia": ("tbl_geografia", "id_geografia"),
+}
+
+
+def quality_report(store: StarStore) -> DataFrame:
+    """Rows (table, check, n_rows): NOT NULL violations and orphan foreign
+    keys of every fact table (the declared but unenforced constraints)."""
+    tables = store.tables()
+    parts = []
+    for fact in FACT_SCHEMAS:
+        df = tables[fact]
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in FACT_REQUIRED[fact]])
+        parts.append(
+            nulls.unpivot([], [f"null_{c}" for c in FACT_REQUIRED[fact]], "check", "n_rows")
+            .withColumn("table", F.lit(fact))
+        )
+        for fk, (dim, dk) in FOREIGN_KEYS.items():
+            orphan = star.orphans(df.select(fk), tables[dim], fk, dk)
+            parts.append(orphan.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(fact).alias("table"), F.lit(f"orphan_{fk}").alias("check"), "n_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("table", "check", "n_rows")
+
+
+def land_series_files(spark: SparkSession, src: str, dst: str) -> None:
+    """Convert downloaded ``<code>.json`` table files into the splittable JSON
+    Lines landing form (with ``table_code`` and ``series_pos``)."""
+    from statloom.sources.series_json import read_series_files
+
+    read_series_files(spark, src).write.mode("append").json(dst)

@@ -104,3 +104,23 @@ def test_series_schema_report_merges_all_documents(spark, scratch):
     (row,) = series_schema_report(spark, folder).collect()
     assert row.n_rows == sum(len(v) for v in sf.series_by_code().values())
     assert "Fk_Periodo" in row.schema and "FK_Periodo" in row.schema and "Nombre" in row.schema
+
+
+def test_quality_report_counts_orphans(spark, scratch):
+    store, _ = _load(spark, scratch)
+    rep = {(r.table, r.check): r.n_rows for r in ingest.quality_report(store).collect()}
+    assert rep[("T_precios", "orphan_id_periodo")] == 0 and rep[("T_empleo", "null_valor")] == 0
+    orphan = spark.createDataFrame([(999, 1, 1, "X", 1.0)], store.schema("T_precios"))
+    store.append("T_precios", orphan)
+    rep = {(r.table, r.check): r.n_rows for r in ingest.quality_report(store).collect()}
+    assert rep[("T_precios", "orphan_id_periodo")] == 1
+
+
+def test_landing_conversion_round_trip(spark, scratch):
+    from statloom.sources.series_json import read_series_lines
+
+    ingest.land_series_files(spark, sf.write_files(scratch + "/files"), scratch + "/landed")
+    landed = read_series_lines(spark, scratch + "/landed")
+    store = ingest.StarStore(spark, scratch + "/star")
+    ingest.load(landed, store)
+    assert store.read("T_precios").count() == 20 and store.read("T_salarios").count() == 9
