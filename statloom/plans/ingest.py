@@ -200,8 +200,19 @@ class StarStore:
 
 
 def load(raw: DataFrame, store: StarStore) -> dict[str, DataFrame]:
-    """Load one batch of raw series into the store. Returns the rejects."""
+    """Load one batch of raw series into the store. Returns the rejects.
+
+    The parsed series and observations are checkpointed once (shared folder):
+    three dimension writes and three fact writes then read them instead of
+    parsing the raw JSON six times, and a lost executor does not send the
+    later writes back to the raw files.
+    """
     b = prepare(raw)
+    b = Batch(
+        series=b.series.drop("Data").checkpoint(eager=True),
+        obs=b.obs.checkpoint(eager=True),
+        rejects=b.rejects,
+    )
     for table, cand in dimension_batches(b).items():
         keys, id_col, attrs = DIMENSIONS[table]
         new = star.extend_dimension(store.read(table), cand, keys, id_col, ORDER, attrs)
