@@ -204,7 +204,8 @@ def lowess(
         if med <= 0.0:
             continue
         u = F.col("e") / F.lit(6.0 * med)
+        # no checkpoint needed: ``fit`` is already one, so this lineage is short
         robust = resid.select(
             "pos", F.when(F.abs(u) < 1, (1 - u * u) * (1 - u * u)).otherwise(F.lit(0.0)).alias("r")
-        ).checkpoint(eager=True)
+        )
     return fit.select(F.col("x").alias(x), F.col("y").alias(y), F.col("fit").alias(out))
