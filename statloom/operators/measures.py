@@ -5,11 +5,12 @@ same code runs on the indicator star schema and on any other panel.
 
 Scale notes:
 
-* Aggregations are hash aggregates with a partial (map-side) step, so only one
-  row per group and task crosses the shuffle, however hot a group is.
+* Aggregations have a partial (map-side) step, so only one row per group and
+  task crosses the shuffle, however hot a group is.
 * Scalars (a base-period value, the latest period) are scalar subqueries: Spark
   runs them as their own small job and inlines the value; nothing is pulled
-  into this program and no cross join is planned.
+  into this program and no cross join is planned. Their (small, aggregated)
+  input is checkpointed first, so the scalar does not rescan the sources.
 * Pivots take an explicit level list: fixed column order, no extra job to find
   the levels.
 """
@@ -105,8 +106,19 @@ def base_value(df: DataFrame, time_col: str, base, value: str) -> Column:
     return one.scalar()
 
 
-def rebase(df: DataFrame, time_col: str, base, value: str, out: str) -> DataFrame:
+def _once(df: DataFrame, materialize: bool) -> DataFrame:
+    """Checkpoint ``df`` when it is read twice (rows and a scalar over them).
+
+    The scalar subquery is planned on its own: with a filter pushed into it,
+    it would rescan every source table. A checkpoint of the (small, already
+    aggregated) input lets both reads use the same stored rows.
+    """
+    return df.checkpoint(eager=True) if materialize else df
+
+
+def rebase(df: DataFrame, time_col: str, base, value: str, out: str, materialize: bool = True) -> DataFrame:
     """Index with value 100 at the base period."""
+    df = _once(df, materialize)
     return df.withColumn(out, pct(value, base_value(df, time_col, base, value)))
 
 
@@ -150,8 +162,9 @@ def grouped_corr(df: DataFrame, keys: str | Sequence[str], x: str, y: str, out:
     return df.groupBy(*_keys(keys)).agg(pearson(x, y).alias(out))
 
 
-def latest(df: DataFrame, time_col: str) -> DataFrame:
+def latest(df: DataFrame, time_col: str, materialize: bool = True) -> DataFrame:
     """Rows of the latest period (global max, as a scalar subquery)."""
+    df = _once(df, materialize)
     return df.filter(F.col(time_col) == df.agg(F.max(time_col)).scalar())
 
 
