@@ -211,7 +211,7 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """All nine marts from the three blocks, with the reference's filters.
 
-    The Q1 frame feeds four marts and the annual CPI two. ``reuse`` (for
+    The Q1 frame feeds four marts, the annual CPI two and Q5 two. ``reuse`` (for
     example ``lambda df: df.checkpoint()``) materialises these small
     aggregates once, so the nine separate writes do not recompute them. The
     blocks themselves are not kept: each mart reads only its indicator's
@@ -222,6 +222,8 @@ def build_marts(
     if reuse is not None:
         by_region, cpi = reuse(by_region), reuse(cpi)
     q5 = unemployment_vs_wage(by_region, annual_unemployment(employment))
+    if reuse is not None:
+        q5 = reuse(q5)  # feeds the Q5 mart and the Q6 correlation
     return {
         "Evolucion_Salario_Comunidades": by_region,
         "Relacion_Poder_Adquisitivo": purchasing_power(by_region, cpi),
