@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.operators.joins import null_safe_keys
+from statloom.operators.joins import maybe_broadcast, null_safe_keys
 from statloom.operators.ranking import global_rank
 
 
@@ -80,8 +80,11 @@ def extend_dimension(
 def attach_ids(
     facts: DataFrame, dim: DataFrame, keys: Sequence[str], id_col: str, null_safe: bool = False
 ) -> DataFrame:
-    """Replace dimension members by their ids (inner join on the members)."""
-    d = dim.select(id_col, *keys)
+    """Replace dimension members by their ids (inner join on the members).
+
+    The dimension is broadcast when a bounded count proves it small;
+    otherwise this is a sort-merge join (null-safe keys plan as one too)."""
+    d = maybe_broadcast(dim.select(id_col, *keys))
     if not null_safe:
         return facts.join(d, list(keys))
     f = facts.alias("_f")
