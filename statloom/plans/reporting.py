@@ -34,7 +34,11 @@ def latest_gap(gap: DataFrame) -> DataFrame:
     return m.order_by(m.latest(gap, "anio"), "brecha_porcentual")
 
 
-def unemployment_wage_trend(q5: DataFrame, frac: float = 2.0 / 3.0, iterations: int = 3) -> DataFrame:
+# Fixed value: the chart library's default LOWESS fraction (not exactly 2/3).
+CHART_TREND_FRAC = 0.6666666
+
+
+def unemployment_wage_trend(q5: DataFrame, frac: float = CHART_TREND_FRAC, iterations: int = 3) -> DataFrame:
     """One LOWESS trend of wage against unemployment over all regions and
     years (the scatter's trend line)."""
     return lowess(q5, "tasa_paro_media", "salario_medio", frac=frac, iterations=iterations, out="tendencia")
