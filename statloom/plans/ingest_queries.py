@@ -13,7 +13,7 @@ from statloom.functions.labels import contains
 from statloom.functions.names import name_parts, norm_label, part, part_or
 from statloom.functions.periods import normalise_period
 from statloom.operators import star
-from statloom.plans.testdata import query
+from statloom.plans.testdata import REGISTRY, query
 from statloom.session import shared_path
 from statloom.sources.series_json import schema_report
 from statloom.sources.tables import Tables
@@ -311,28 +311,13 @@ def q_quality_rejects(spark, sf_dir):
     return out
 
 
-@query(
-    "sink_roundtrip",
-    None,  # filled below from the purchasing_ratio oracle
-)
+@query("sink_roundtrip", REGISTRY["purchasing_ratio"][1])  # same rows as the mart written
 def q_sink_roundtrip(spark, sf_dir):
     """Write a mart as CSV (header) and Parquet to the shared
     folder, read the CSV back with its declared schema."""
-    from statloom.plans.testdata import REGISTRY
     from statloom.sources.marts_io import read_mart_csv, write_mart
 
     mart = REGISTRY["purchasing_ratio"][0](spark, sf_dir)
     folder = shared_path(spark, "statloom-sinks", uuid.uuid4().hex)
     write_mart(mart, folder, "Relacion_Poder_Adquisitivo")
     return read_mart_csv(spark, folder, "Relacion_Poder_Adquisitivo", mart.schema)
-
-
-def _link_sink_oracle():
-    from statloom.plans.testdata import REGISTRY
-
-    fn, _ = REGISTRY["sink_roundtrip"]
-    REGISTRY["sink_roundtrip"] = (fn, REGISTRY["purchasing_ratio"][1])
-
-
-_link_sink_oracle()
-
