@@ -15,12 +15,23 @@ def _join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
-def write_mart(df: DataFrame, folder: str, name: str, formats=("csv", "parquet")) -> None:
-    """Write ``df`` to ``folder/csv/name`` and ``folder/parquet/name``."""
-    if "csv" in formats:
-        df.write.mode("overwrite").option("header", True).csv(_join(folder, "csv", name))
-    if "parquet" in formats:
-        df.write.mode("overwrite").parquet(_join(folder, "parquet", name))
+def write_mart(df: DataFrame, folder: str, name: str, order: tuple[str, ...] = (), csv: bool = True) -> None:
+    """Write ``df`` to ``folder/parquet/name`` and ``folder/csv/name``.
+
+    The mart is computed once: the Parquet copy is written first and the CSV
+    is written from it, so the sources are not scanned a second time. With
+    ``order``, both copies are sorted by those columns (ascending, NULLs
+    first); reading files back does not keep row order, so the CSV is sorted
+    again from the stored copy.
+    """
+    from statloom.operators.measures import order_by
+
+    parquet_path = _join(folder, "parquet", name)
+    (order_by(df, *order) if order else df).write.mode("overwrite").parquet(parquet_path)
+    if csv:
+        stored = df.sparkSession.read.parquet(parquet_path)
+        stored = order_by(stored, *order) if order else stored
+        stored.write.mode("overwrite").option("header", True).csv(_join(folder, "csv", name))
 
 
 def read_mart_csv(spark: SparkSession, folder: str, name: str, schema: StructType | str) -> DataFrame:
@@ -33,9 +44,6 @@ def read_mart_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def write_marts(marts: dict[str, DataFrame], folder: str, order: dict[str, tuple] | None = None) -> None:
-    """Write every mart; sort each by its keys first when ``order`` names them."""
-    from statloom.operators.measures import order_by
-
+    """Write every mart, sorted by its keys when ``order`` names them."""
     for name, df in marts.items():
-        keys = (order or {}).get(name) or ()
-        write_mart(order_by(df, *keys) if keys else df, folder, name)
+        write_mart(df, folder, name, tuple((order or {}).get(name) or ()))
