@@ -53,3 +53,17 @@ def test_insert_or_ignore_matches_model(spark, stored_rows, batch_rows):
     got = insert_or_ignore(spark.createDataFrame(stored, schema), spark.createDataFrame(batch, schema),
                            ["k1", "k2"], ["o"])
     assert sorted(map(tuple, got.collect()), key=_key) == _model(stored, batch)
+
+
+def test_name_parts_matches_python_split_strip(spark):
+    import random
+
+    from statloom.functions.names import name_parts
+
+    rng = random.Random(7)
+    alphabet = ["a", "b", "Í", " ", ".", "\t", " ", " ", "x y"]
+    names = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(300)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    got = {r.i: r.p for r in df.select("i", name_parts("n").alias("p")).collect()}
+    for i, n in enumerate(names):
+        assert got[i] == [p.strip() for p in n.split(".") if p.strip()], repr(n)
