@@ -117,7 +117,8 @@ def _contributions(pdf_iter):
 
 
 def _median(df: DataFrame, col: str, n: int) -> float:
-    ranked = global_rank(df.select(F.col(col).alias("v"), "pos"), ["v", "pos"], "rk")
+    # input derives from the checkpointed fit and the rank feeds one action
+    ranked = global_rank(df.select(F.col(col).alias("v"), "pos"), ["v", "pos"], "rk", freeze=False)
     mid = ranked.filter(F.col("rk").isin([(n - 1) // 2, n // 2])).agg(F.avg("v")).first()[0]
     return float(mid)
 
