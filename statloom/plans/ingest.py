@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,8 +185,8 @@ class StarStore:
         try:
             df = self.spark.read.schema(schema).parquet(self.path(table))
             return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        except Exception as exc:  # missing folder = empty table
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        except AnalysisException as exc:  # missing folder = empty table
+            if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
