@@ -87,3 +87,20 @@ def write_files(folder, docs=None):
         with open(os.path.join(folder, f"{code}.json"), "w", encoding="utf-8") as fh:
             json.dump(payload, fh, ensure_ascii=False, indent=1)
     return folder
+
+
+def extra_cases():
+    """More FIXTURES.md section-4 cases, kept apart from the base batch."""
+    return {
+        28191: [
+            {"Nombre": "Total. Murcia. Dato base. Media."},  # no Data at all
+            {"Nombre": f"Total. {NAT}. Dato base. 25.", "Data": [obs(2017, None, 18000.0)]},  # no period code
+            {"Nombre": f"Total.\u00a0{NAT}\u00a0. \t. Dato base. 10.", "Data": [obs(2017, 28, 9000.0)]},  # NBSP, blank part
+            {"Nombre": f"Total. {NAT}. Dato base. Media.", "Data": [obs(2018, 28, None)]},  # NULL wage
+        ],
+        28186: [
+            {"Nombre": f"Técnicos. Mujeres. Salario medio bruto. {NAT}. Dato base.", "Data": [obs(2015, 28, 30000.0)]},
+            {"Nombre": f"Operarios. Mujeres. Salario medio bruto. {NAT}. Dato base.", "Data": [obs(2015, 28, 20000.0)]},
+            {"Nombre": f"Operarios. Hombres. Salario medio bruto. {NAT}. Dato base.", "Data": [obs(2015, 28, 0.0)]},
+        ],
+    }

@@ -128,3 +128,21 @@ def test_report_shapes(spark, built):
     (trend,) = reps["unemployment_wage_trend"].collect()
     assert trend.tendencia == 22000.0  # one point: the trend is the point
     assert reps["housing_vs_wage"].count() == 2 and reps["real_wage"].count() == 2
+
+
+def test_fixture_edge_cases(spark, scratch):
+    from statloom.sources.series_json import read_series_lines
+
+    store = ingest.StarStore(spark, scratch + "/star")
+    ingest.load(read_series_lines(spark, sf.write_lines(scratch + "/a")), store)
+    rejects = ingest.load(read_series_lines(spark, sf.write_lines(scratch + "/b", sf.extra_cases())), store)
+    geo = {r.nombre for r in store.read("tbl_geografia").collect()}
+    assert "Murcia" in geo  # series without observations still registers its dimensions
+    ind = {r.nombre for r in store.read("tbl_indicador").collect()}
+    assert {"Salario_Anual_Cuartil inferior", "Salario_Anual_Percentil 10"} <= ind
+    assert [r.reject_reason for r in rejects["T_salarios"].collect()] == ["null_valor"]
+    sal, pri, emp = blocks.star_blocks(store.tables())
+    got = {(r.indicador, r.anio): r.salario for r in sal.filter(F.col("anio") == 2017).collect()}
+    assert got == {("Salario_Anual_Cuartil inferior", 2017): 18000.0, ("Salario_Anual_Percentil 10", 2017): 9000.0}
+    gap = {r.ocupacion for r in marts.occupation_gap(sal).collect()}
+    assert gap == {"Directores"}  # one-sex occupation and zero wage are dropped
