@@ -7,8 +7,14 @@ Settings that matter at scale:
   and a sort-merge join is the fallback beyond that size.
 * Skew-join splitting and partition coalescing stay on, so one hot key (one
   region or indicator holding a third of all rows) is split across tasks.
+* Partition sizes come from data volume, not fixed counts: AQE coalesces
+  shuffle partitions towards an advisory size, and scans split files at a
+  fixed byte size, so tasks stay within executor memory at any scale.
 * The checkpoint folder is read from the session (``spark.checkpoint.dir``).
   Only when it is unset (local tests) is a scratch folder created.
+
+Every default below is applied only where the cluster's configuration does
+not already set the key.
 """
 
 from __future__ import annotations
@@ -21,7 +27,9 @@ from pyspark.sql import SparkSession
 _SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -38,13 +46,15 @@ def build_session(
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for key, value in _SCALE_CONF.items():
-        builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    cluster = spark.sparkContext.getConf()
+    for key, value in _SCALE_CONF.items():
+        if not cluster.contains(key) and key not in (extra_conf or {}):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
