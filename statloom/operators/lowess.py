@@ -202,8 +202,8 @@ def lowess(
             break
         resid = fit.select("pos", (F.col("y") - F.col("fit")).alias("e"))
         med = _median(resid.select("pos", F.abs("e").alias("ae")), "ae", n)
-        if med <= 0.0:
-            continue
+        if med <= 0.0:  # weights stay as they are, so further passes give this same fit
+            break
         u = F.col("e") / F.lit(6.0 * med)
         # no checkpoint needed: ``fit`` is already one, so this lineage is short
         robust = resid.select(
