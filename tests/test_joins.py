@@ -16,3 +16,14 @@ def test_join_small_hints_only_small_sides(spark, capsys):
     assert "strategy=broadcast" in capsys.readouterr().out
     join_small(big, small, "k", max_rows=5).explain(True)
     assert "strategy=broadcast" not in capsys.readouterr().out
+
+
+def test_byte_bound_blocks_wide_rows(spark, capsys):
+    from pyspark.sql import functions as F
+
+    big = spark.range(0, 2000).withColumnRenamed("id", "k")
+    wide = spark.range(0, 10).withColumnRenamed("id", "k").withColumn("blob", F.repeat(F.lit("x"), 10_000))
+    assert has_at_most(wide, 100, max_bytes=1_000_000)
+    assert not has_at_most(wide, 100, max_bytes=50_000)
+    join_small(big, wide, "k", max_rows=100, max_bytes=50_000).explain(True)
+    assert "strategy=broadcast" not in capsys.readouterr().out

@@ -27,8 +27,8 @@ def cluster_shape(spark, monkeypatch):
     old = {k: spark.conf.get(k, None) for k in CLUSTER_SHAPE}
     for k, v in CLUSTER_SHAPE.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(joins, "maybe_broadcast", lambda df, max_rows=0: df)
-    monkeypatch.setattr(star, "maybe_broadcast", lambda df, max_rows=0: df)
+    monkeypatch.setattr(joins, "maybe_broadcast", lambda df, *args, **kw: df)
+    monkeypatch.setattr(star, "maybe_broadcast", lambda df, *args, **kw: df)
     yield spark
     for k, v in old.items():
         if v is None:
