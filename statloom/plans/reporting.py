@@ -44,6 +44,16 @@ def unemployment_wage_trend(q5: DataFrame, frac: float = CHART_TREND_FRAC, itera
     return lowess(q5, "tasa_paro_media", "salario_medio", frac=frac, iterations=iterations, out="tendencia")
 
 
+def unemployment_lines(q5: DataFrame) -> DataFrame:
+    """Unemployment rate per year, one series per region (one panel each)."""
+    return series_points(q5, "comunidad", "anio", "tasa_paro_media")
+
+
+def correlation_bars(corr: DataFrame) -> DataFrame:
+    """Correlation per region, most negative first."""
+    return m.order_by(corr, "correlacion_pearson")
+
+
 def real_wage_long(real: DataFrame) -> DataFrame:
     """Nominal and deflated wage as two series."""
     return wide_to_long(real, ["anio"], ["salario_nominal", "salario_real"], "serie", "valor")
@@ -66,6 +76,8 @@ def build_reports(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "housing_vs_wage": housing_vs_wage_long(marts["Comparativa_Vivienda_Salario"]),
         "latest_gap": latest_gap(marts["Brecha_Salarial_Ocupacion"]),
         "unemployment_wage_trend": unemployment_wage_trend(marts["Relacion_Paro_Salarios"]),
+        "unemployment_lines": unemployment_lines(marts["Relacion_Paro_Salarios"]),
+        "correlation_bars": correlation_bars(marts["Correlacion_Paro_Salarios"]),
         "real_wage": real_wage_long(marts["Salario_Nominal_vs_Real"]),
         "job_quality": job_quality_long(marts["Calidad_Empleo"]),
         "inequality_lines": inequality_lines(marts["Desigualdad_Salarial"]),

@@ -128,6 +128,8 @@ def test_report_shapes(spark, built):
     (trend,) = reps["unemployment_wage_trend"].collect()
     assert trend.tendencia == 22000.0  # one point: the trend is the point
     assert reps["housing_vs_wage"].count() == 2 and reps["real_wage"].count() == 2
+    assert [tuple(r) for r in reps["unemployment_lines"].collect()] == [("Andalucía", 2015, 29.0)]
+    assert reps["correlation_bars"].count() == 1
 
 
 def test_fixture_edge_cases(spark, scratch):
