@@ -1,0 +1 @@
+"""Column expressions: safe arithmetic, name parsing, periods, labels."""

@@ -1,0 +1 @@
+"""DataFrame operators: measures, joins, star maintenance, ranks, reshaping, LOWESS."""

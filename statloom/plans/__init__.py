@@ -1,0 +1 @@
+"""Composed jobs: ingest, master blocks, marts, reports, registered queries."""

@@ -1,0 +1 @@
+"""Readers and writers: Parquet tables, JSON series documents, marts."""

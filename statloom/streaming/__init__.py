@@ -1,0 +1 @@
+"""Structured Streaming loader for a landing folder of series documents."""
