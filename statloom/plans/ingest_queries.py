@@ -247,9 +247,10 @@ def q_facts_ignore(spark, sf_dir):
     )
     keys, order = ["user_id", "event_type", "day"], ["event_id"]
     cols = [*keys, "event_id", "value"]
+    # the stored facts are a materialised table, as in a real load
     stored = star.first_wins(
         ev.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")).select(*cols), keys, order
-    )
+    ).checkpoint(eager=True)
     new = star.insert_or_ignore(stored, ev.select(*cols), keys, order)
     return stored.unionByName(new)
 
