@@ -3,10 +3,12 @@
     python -m statloom load    --series DIR --star DIR [--files] [--rejects DIR]
     python -m statloom marts   --star DIR --out DIR
     python -m statloom reports --out DIR
+    python -m statloom schema  --series DIR
 
 ``load`` reads JSON Lines series documents (or ``<code>.json`` table files
 with ``--files``) into the star; ``marts`` builds and writes the nine marts
-(CSV and Parquet); ``reports`` writes the chart-ready shapes of those marts.
+(CSV and Parquet); ``reports`` writes the chart-ready shapes of those marts;
+``schema`` prints the merged schema of every raw document (one aggregate row).
 The session comes from the environment (``spark-submit`` settings); with no
 master set, a local one is used.
 """
@@ -53,6 +55,15 @@ def cmd_reports(spark, args) -> dict:
     return reports
 
 
+def cmd_schema(spark, args) -> str:
+    from statloom.sources.series_json import series_schema_report
+
+    row = series_schema_report(spark, args.series).first()
+    text = f"{row['n_rows']} documents\n{row['schema']}"
+    print(text)
+    return text
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="statloom")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
@@ -67,10 +78,12 @@ def parser() -> argparse.ArgumentParser:
     marts.add_argument("--out", required=True)
     rep = sub.add_parser("reports", help="write chart-ready shapes of the marts")
     rep.add_argument("--out", required=True)
+    sch = sub.add_parser("schema", help="print the merged schema of raw JSON Lines documents")
+    sch.add_argument("--series", required=True)
     return p
 
 
-COMMANDS = {"load": cmd_load, "marts": cmd_marts, "reports": cmd_reports}
+COMMANDS = {"load": cmd_load, "marts": cmd_marts, "reports": cmd_reports, "schema": cmd_schema}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -21,3 +21,10 @@ def test_load_marts_reports(spark, scratch):
     assert os.path.isdir(scratch + "/rej/series")
     quality = spark.read.parquet(scratch + "/out/parquet/Calidad_Empleo").first()
     assert quality["Temporal (%)"] == 25.0
+
+
+def test_schema_command(spark, scratch, capsys):
+    args = parser().parse_args(["schema", "--series", sf.write_lines(scratch + "/land")])
+    text = COMMANDS[args.cmd](spark, args)
+    n_docs = sum(len(v) for v in sf.series_by_code().values())
+    assert text.startswith(f"{n_docs} documents") and "Nombre" in capsys.readouterr().out
