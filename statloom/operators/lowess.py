@@ -29,7 +29,10 @@ How it runs without comparing every pair of points:
 5. Sum the node contributions per point and solve the 2x2 weighted fit.
 
 Work is O(n log n) rows in joins and aggregates. The per-row polynomial
-arithmetic is vectorised NumPy inside ``mapInPandas``.
+arithmetic is vectorised NumPy inside ``mapInPandas``. The point x node join
+is split by level: the top levels (few nodes, each met by almost every point)
+join a broadcast whose size is known from n; the lower levels (many nodes,
+each met by a bounded number of points) use a shuffle join.
 
 Edge cases, defined here: points tied in x are ordered by y; a window whose points all share x_i is weighted
 uniformly; a window with zero x-spread gives the weighted mean of y; zero
@@ -49,6 +52,9 @@ from pyspark.sql import functions as F
 from statloom.operators.ranking import global_rank
 
 DEGREE = 12  # power sums 0..11: tricube (degree 9) times up to x^2
+# Upper tree levels joined by broadcast: their node count is known exactly
+# (ceil(n / 2^level) per level), so this bound is proven before the join.
+MAX_BROADCAST_NODES = 65_536
 _A = {0: 1.0, 3: -3.0, 6: 3.0, 9: -1.0}  # (1 - s u^3)^3 = 1 - 3 s u^3 + 3 u^6 - s u^9 (s on odd terms)
 _BINOM = np.array([[comb(e, t) if t <= e else 0 for t in range(DEGREE)] for e in range(DEGREE)], dtype=float)
 
@@ -116,6 +122,14 @@ def _contributions(pdf_iter):
         })
 
 
+def _split_level(n: int, levels: int, cap: int = MAX_BROADCAST_NODES) -> int:
+    """Lowest level t such that all nodes on levels t..levels number <= cap."""
+    for t in range(levels + 1):
+        if sum(-(-n // (1 << lev)) for lev in range(t, levels + 1)) <= cap:
+            return t
+    return levels + 1
+
+
 def _median(df: DataFrame, col: str, n: int) -> float:
     # input derives from the checkpointed fit and the rank feeds one action
     ranked = global_rank(df.select(F.col(col).alias("v"), "pos"), ["v", "pos"], "rk", freeze=False)
@@ -176,6 +190,7 @@ def lowess(
         "level", "node", "pos", "c", (F.col("x") - F.col("c")).alias("dx"), "y"
     ).checkpoint(eager=True)
 
+    split = _split_level(n, levels)
     robust = pts.select("pos", F.lit(1.0).alias("r"))
     fit = None
     for it in range(iterations + 1):
@@ -186,7 +201,18 @@ def lowess(
             F.array(*[F.sum(e) for e in powers]).alias("m"),
             F.array(*[F.sum(e * F.col("y")) for e in powers]).alias("my"),
         )
-        contrib = pairs.join(moments, ["level", "node"]).select("pos", "side", "x", "h", "c", "m", "my")
+        # The top nodes meet almost every point (hot keys): join those levels
+        # against a broadcast of their moments; below ``split`` each node meets
+        # a bounded number of points, so a shuffle join there is balanced.
+        top = pairs.filter(F.col("level") >= split).join(
+            F.broadcast(moments.filter(F.col("level") >= split)), ["level", "node"]
+        )
+        if split > 0:
+            low = pairs.filter(F.col("level") < split).join(
+                moments.filter(F.col("level") < split), ["level", "node"]
+            )
+            top = top.unionByName(low)
+        contrib = top.select("pos", "side", "x", "h", "c", "m", "my")
         contrib = contrib.mapInPandas(_contributions, "pos long, s0 double, s1 double, s2 double, t0 double, t1 double")
         sums = contrib.groupBy("pos").agg(*[F.sum(c).alias(c) for c in ("s0", "s1", "s2", "t0", "t1")])
         f = win.select("pos", "x", "y", "h").join(sums, "pos", "left")

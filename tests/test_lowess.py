@@ -81,3 +81,25 @@ def test_nulls_dropped_and_outlier_damped(spark):
     out = {r.x: r.trend for r in lowess(df, "x", "y").collect()}
     assert len(out) == 15
     assert out[7.0] == pytest.approx(14.0, abs=1.0)
+
+
+def test_split_level_bounds_broadcast_nodes():
+    from statloom.operators.lowess import _split_level
+
+    assert _split_level(168, 8) == 0  # everything fits
+    t = _split_level(1_000_000, 20, cap=65_536)
+    assert sum(-(-1_000_000 // (1 << lev)) for lev in range(t, 21)) <= 65_536
+    assert sum(-(-1_000_000 // (1 << lev)) for lev in range(t - 1, 21)) > 65_536
+
+
+def test_matches_loop_with_shuffled_low_levels(spark, monkeypatch):
+    import statloom.operators.lowess as lw
+
+    monkeypatch.setattr(lw, "MAX_BROADCAST_NODES", 8)  # force both join paths
+    monkeypatch.setattr(lw, "_split_level", lambda n, levels, cap=8: 3)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.uniform(0, 10, 60), 1)
+    y = 3 * x + rng.normal(0, 1, 60)
+    got, want = run(spark, x, y)
+    for (gx, gy, gf), (wx, wy, wf) in zip(got, want):
+        assert gf == pytest.approx(wf, rel=1e-8, abs=1e-6)
