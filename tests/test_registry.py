@@ -58,3 +58,16 @@ def test_query_matches_oracle(spark, duck, name):
     want = _rows(cols, res.fetchall())
     assert sorted(sdf.columns) == sorted(cols)
     assert got == want
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, duck, name):
+    sdf = E.queries()[name](spark, SF)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    rel = duck.sql(E.oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
