@@ -191,10 +191,15 @@ class StarStore:
             return self.spark.createDataFrame([], schema)
 
     def append(self, table: str, df: DataFrame) -> None:
-        w = df.write.mode("append")
+        """Append rows. ``rebalance`` lets AQE size the output files by data
+        volume (a small batch writes few files; a hot indicator is split across
+        several writers instead of one)."""
         if table in FACT_SCHEMAS:
-            w = w.partitionBy("id_indicador")
-        w.parquet(self.path(table))
+            df.hint("rebalance", "id_indicador").write.mode("append").partitionBy("id_indicador").parquet(
+                self.path(table)
+            )
+        else:
+            df.hint("rebalance").write.mode("append").parquet(self.path(table))
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t) for t in [*DIMENSIONS, *FACT_SCHEMAS]}

@@ -27,7 +27,8 @@ def write_mart(df: DataFrame, folder: str, name: str, order: tuple[str, ...] = (
     from statloom.operators.measures import order_by
 
     parquet_path = _join(folder, "parquet", name)
-    (order_by(df, *order) if order else df).write.mode("overwrite").parquet(parquet_path)
+    # unsorted marts: AQE sizes the files (a small mart becomes one file)
+    (order_by(df, *order) if order else df.hint("rebalance")).write.mode("overwrite").parquet(parquet_path)
     if csv:
         stored = df.sparkSession.read.parquet(parquet_path)
         stored = order_by(stored, *order) if order else stored
