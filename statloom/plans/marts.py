@@ -46,7 +46,7 @@ BASE_YEAR = 2015
 
 MART_ORDER = {
     "Evolucion_Salario_Comunidades": ("comunidad", "anio"),
-    "Relacion_Poder_Adquisitivo": (),
+    "Relacion_Poder_Adquisitivo": ("comunidad", "anio"),  # inherits Q1's order through the join
     "Comparativa_Vivienda_Salario": ("anio",),
     "Brecha_Salarial_Ocupacion": (),
     "Relacion_Paro_Salarios": ("anio", "comunidad"),
