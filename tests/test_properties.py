@@ -67,3 +67,37 @@ def test_name_parts_matches_python_split_strip(spark):
     got = {r.i: r.p for r in df.select("i", name_parts("n").alias("p")).collect()}
     for i, n in enumerate(names):
         assert got[i] == [p.strip() for p in n.split(".") if p.strip()], repr(n)
+
+
+def test_grouped_corr_matches_numpy_on_random_groups(spark):
+    import math
+    import random
+
+    import numpy as np
+
+    from statloom.operators.measures import grouped_corr
+
+    rng = random.Random(3)
+    rows = []
+    for g in range(60):
+        size = rng.randint(1, 12)
+        const_x = rng.random() < 0.15
+        for _ in range(size):
+            x = 5.0 if const_x else round(rng.uniform(-10, 10), 2)
+            y = round(rng.uniform(-10, 10), 2)
+            if rng.random() < 0.15:
+                x = None
+            if rng.random() < 0.15:
+                y = None
+            rows.append((g, x, y))
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    got = {r.g: r.c for r in grouped_corr(df, "g", "x", "y", "c").collect()}
+    for g in range(60):
+        pairs = [(x, y) for gg, x, y in rows if gg == g and x is not None and y is not None]
+        xs = np.array([p[0] for p in pairs])
+        ys = np.array([p[1] for p in pairs])
+        if len(pairs) < 2 or xs.std() == 0 or ys.std() == 0:
+            assert got.get(g) is None
+        else:
+            want = float(np.corrcoef(xs, ys)[0, 1])
+            assert math.isclose(got[g], want, rel_tol=1e-9, abs_tol=1e-12)
