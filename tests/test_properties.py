@@ -101,3 +101,45 @@ def test_grouped_corr_matches_numpy_on_random_groups(spark):
         else:
             want = float(np.corrcoef(xs, ys)[0, 1])
             assert math.isclose(got[g], want, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def _period_model(year, month, code):
+    """The period table of functions/periods.py, written out plainly."""
+    import datetime
+
+    if year is None:
+        return None
+    if month is not None:
+        if not 1 <= month <= 12:
+            return None
+        return (year, month, None, datetime.date(year, month, 1))
+    if code is None or code == 28:
+        return (year, None, None, datetime.date(year, 1, 1))
+    if 19 <= code <= 22:
+        q = code - 18
+        return (year, 3 * q - 2, q, datetime.date(year, 3 * q - 2, 1))
+    return None
+
+
+def test_normalise_period_matches_model(spark):
+    import random
+
+    from statloom.functions.periods import normalise_period
+
+    rng = random.Random(11)
+    cases = []
+    for i in range(400):
+        year = rng.choice([None, 1999, 2015, 2024])
+        month = rng.choice([None, None, 0, 1, 6, 12, 13])
+        code = rng.choice([None, 19, 20, 21, 22, 28, 23, 5, 0])
+        cases.append((i, year, month, code))
+    df = spark.createDataFrame(cases, "i int, y int, m int, c int")
+    out = df.select("i", normalise_period("y", "m", "c").alias("p")).collect()
+    for r in out:
+        _, year, month, code = cases[r.i]
+        want = _period_model(year, month, code)
+        p = r.p
+        if want is None:
+            assert not p.period_ok
+        else:
+            assert p.period_ok and (p.anio, p.mes, p.trimestre, p.fecha_iso) == want
