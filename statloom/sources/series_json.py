@@ -4,7 +4,8 @@ Two landing forms:
 
 * JSON Lines, one series per line, with ``table_code`` and ``series_pos``
   added at landing (splittable: large files are read by many tasks);
-* downloaded table files ``<code>.json`` holding one JSON array of series or a
+* downloaded table files ``<code>.json`` (any prefix allowed before the code)
+  holding one JSON array of series or a
   lone series object. These are read whole per file (``multiLine``); the table
   code comes from the file name and the series position from the row order
   inside the file.
@@ -25,7 +26,8 @@ def read_series_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     """``<code>.json`` files: array of series or a lone object per file."""
     df = spark.read.schema(RAW_SERIES_FILE).option("multiLine", True).json(path)
-    code = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)", 1)
+    # the table code is the last number in the file name: 50913.json, tabla_50913.json
+    code = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)(?=\D*$)", 1)
     # A multiLine file is one task, so the id follows the order in the file.
     return df.select(
         F.when(code != "", code.cast("int")).alias("table_code"),
