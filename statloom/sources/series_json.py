@@ -26,8 +26,13 @@ def read_series_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     """``<code>.json`` files: array of series or a lone object per file."""
     df = spark.read.schema(RAW_SERIES_FILE).option("multiLine", True).json(path)
+    return files_to_series(df.select("Nombre", "Data", F.col("_metadata.file_name").alias("file_name")))
+
+
+def files_to_series(df: DataFrame) -> DataFrame:
+    """(Nombre, Data, file_name) rows of table files -> the landing form."""
     # the table code is the last number in the file name: 50913.json, tabla_50913.json
-    code = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)(?=\D*$)", 1)
+    code = F.regexp_extract(F.col("file_name"), r"(\d+)(?=\D*$)", 1)
     # A multiLine file is one task, so the id follows the order in the file.
     return df.select(
         F.when(code != "", code.cast("int")).alias("table_code"),

@@ -12,10 +12,12 @@ must be in the shared folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statloom.plans import ingest
-from statloom.schemas import RAW_SERIES
+from statloom.schemas import RAW_SERIES, RAW_SERIES_FILE
+from statloom.sources.series_json import files_to_series
 from statloom.session import shared_path
 
 
@@ -27,15 +29,27 @@ def start_landing_stream(
     rejects_dir: str | None = None,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
+    files: bool = False,
 ) -> StreamingQuery:
-    """Start loading ``landing_dir`` into the star at ``star_root``."""
-    reader = spark.readStream.schema(RAW_SERIES)
+    """Start loading ``landing_dir`` into the star at ``star_root``.
+
+    ``files=True`` reads downloaded ``<code>.json`` table files (one JSON
+    document each) instead of JSON Lines.
+    """
+    reader = spark.readStream.schema(RAW_SERIES_FILE if files else RAW_SERIES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(landing_dir)
+    if files:
+        raw = reader.option("multiLine", True).json(landing_dir).select(
+            "Nombre", "Data", F.col("_metadata.file_name").alias("file_name")
+        )
+    else:
+        raw = reader.json(landing_dir)
     store = ingest.StarStore(spark, star_root)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        if files:
+            batch = files_to_series(batch)
         rejects = ingest.load(batch, store)
         if rejects_dir:
             for name, df in rejects.items():

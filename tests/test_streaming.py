@@ -33,3 +33,12 @@ def test_stream_loads_new_files_idempotently(spark, scratch):
     assert second["tbl_periodo"] == first["tbl_periodo"] + 1
     assert second["T_precios"] == first["T_precios"]
     assert os.path.isdir(scratch + "/rejects/series")
+
+
+def test_stream_of_downloaded_table_files(spark, scratch):
+    land = sf.write_files(scratch + "/files")
+    q = start_landing_stream(spark, land, scratch + "/star", checkpoint=scratch + "/ckpt", available_now=True,
+                             files=True)
+    q.awaitTermination(300)
+    store = ingest.StarStore(spark, scratch + "/star")
+    assert store.read("T_precios").count() == 20 and store.read("T_salarios").count() == 9
