@@ -82,6 +82,8 @@ def _decompose(pdf_iter, levels: int):
                     "side": np.full(len(a_idx), side, dtype=np.int32),
                     "level": lev.astype(np.int32),
                     "node": (a_lo >> lev).astype(np.int64),
+                    "x": pdf["x"].to_numpy()[a_idx],
+                    "h": pdf["h"].to_numpy()[a_idx],
                 }))
                 lo[act] = a_lo + (np.int64(1) << lev)
         if outs:
@@ -178,10 +180,9 @@ def lowess(
         F.greatest(F.col("pos") + 1, F.col("lo")).alias("r_lo"), F.col("hi").alias("r_hi"),
     ).checkpoint(eager=True)
 
-    pairs = win.select("pos", "l_lo", "l_hi", "r_lo", "r_hi").mapInPandas(
-        lambda it: _decompose(it, levels), "pos long, side int, level int, node long"
-    )
-    pairs = pairs.join(win.select("pos", "x", "h"), "pos").checkpoint(eager=True)
+    pairs = win.select("pos", "x", "h", "l_lo", "l_hi", "r_lo", "r_hi").mapInPandas(
+        lambda it: _decompose(it, levels), "pos long, side int, level int, node long, x double, h double"
+    ).checkpoint(eager=True)
 
     per_level = pts.select("pos", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
     per_level = per_level.withColumn("node", F.expr("shiftright(pos, level)"))
