@@ -100,9 +100,10 @@ def q_label_map(spark, sf_dir):
     "json_observations",
     """WITH k AS (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)
 SELECT event_id, key, json_extract_string(props, '$.' || key) AS value_text,
-  TRY_CAST(coalesce(nullif(json_extract_string(props, '$.k'), '0'), json_extract_string(props, '$.K'))
-           AS INTEGER) AS k_value
+  CAST(TRY_CAST(coalesce(nullif(json_extract_string(props, '$.k'), '0'), json_extract_string(props, '$.K'))
+                AS INTEGER) AS DOUBLE) AS k_value
 FROM k""",
+    widen=("k_value",),
 )
 def q_json_observations(spark, sf_dir):
     """JSON text read with a declared map schema, flattened to one row
@@ -150,9 +151,14 @@ def _period_rows(t: Tables):
     )
 
 
+PORTABLE_PERIOD = ("anio, CAST(mes AS DOUBLE) AS mes, CAST(trimestre AS DOUBLE) AS trimestre, "
+                   "strftime(fecha_iso, '%Y-%m-%d') AS fecha_iso")
+
+
 @query(
     "period_keys",
-    "WITH " + PERIOD_SQL + "\nSELECT o_orderkey, anio, mes, trimestre, fecha_iso FROM periods",
+    "WITH " + PERIOD_SQL + f"\nSELECT o_orderkey, {PORTABLE_PERIOD} FROM periods",
+    widen=("mes", "trimestre"),
 )
 def q_period_keys(spark, sf_dir):
     """Month / quarter / year periods with ISO dates."""
@@ -199,12 +205,15 @@ all_c AS (
 new AS (
   SELECT a.* FROM all_c a WHERE NOT EXISTS (
     SELECT 1 FROM ex e WHERE e.anio IS NOT DISTINCT FROM a.anio AND e.mes IS NOT DISTINCT FROM a.mes
-      AND e.trimestre IS NOT DISTINCT FROM a.trimestre))
-SELECT * FROM ex
-UNION ALL
-SELECT CAST((SELECT max(id_periodo) FROM ex) + row_number() OVER (ORDER BY first_seen) AS BIGINT),
-       anio, mes, trimestre, fecha_iso
-FROM new""",
+      AND e.trimestre IS NOT DISTINCT FROM a.trimestre)),
+dims AS (
+  SELECT * FROM ex
+  UNION ALL
+  SELECT CAST((SELECT max(id_periodo) FROM ex) + row_number() OVER (ORDER BY first_seen) AS BIGINT),
+         anio, mes, trimestre, fecha_iso
+  FROM new)
+SELECT id_periodo, """ + PORTABLE_PERIOD + " FROM dims",
+    widen=("mes", "trimestre"),
 )
 def q_dim_period(spark, sf_dir):
     """D3: period dimension keyed on (year, month, quarter) where NULL = NULL;
@@ -232,12 +241,14 @@ ex AS (
   FROM e WHERE ts < TIMESTAMP '{CUT}' GROUP BY user_id, event_type, day),
 b AS (
   SELECT user_id, event_type, day, min(event_id) AS event_id, arg_min(value, event_id) AS value
-  FROM e GROUP BY user_id, event_type, day)
-SELECT * FROM ex
-UNION ALL
-SELECT * FROM b WHERE NOT EXISTS (
-  SELECT 1 FROM ex WHERE ex.user_id IS NOT DISTINCT FROM b.user_id
-    AND ex.event_type IS NOT DISTINCT FROM b.event_type AND ex.day IS NOT DISTINCT FROM b.day)""",
+  FROM e GROUP BY user_id, event_type, day),
+facts AS (
+  SELECT * FROM ex
+  UNION ALL
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM ex WHERE ex.user_id IS NOT DISTINCT FROM b.user_id
+      AND ex.event_type IS NOT DISTINCT FROM b.event_type AND ex.day IS NOT DISTINCT FROM b.day))
+SELECT user_id, event_type, strftime(day, '%Y-%m-%d') AS day, event_id, value FROM facts""",
 )
 def q_facts_ignore(spark, sf_dir):
     """Insert-or-ignore a batch into stored facts (null-safe

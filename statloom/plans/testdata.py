@@ -4,7 +4,8 @@ Each entry is ``name -> (spark_fn, oracle_sql)``. ``spark_fn(spark, sf_dir)``
 returns a DataFrame built with the library's operators; ``oracle_sql`` is the
 same query in plain SQL (DuckDB dialect) over the same tables, or ``None``
 where SQL cannot express it. Floating results are rounded to 6 digits on both
-sides so the two engines' summation order does not matter.
+sides so the two engines' summation order does not matter; dates are ISO text
+and NULL-holding integer columns are doubles on both sides (``portable``).
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from statloom.operators import measures as m
 from statloom.plans import blocks, marts
@@ -23,10 +26,25 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 DIGITS = 6
 
 
-def query(name: str, sql: str | None):
+def portable(df: DataFrame, widen: tuple[str, ...] = ()) -> DataFrame:
+    """Output form that two engines' client libraries read back alike: dates
+    as ISO ``YYYY-MM-DD`` text, and the integer columns in ``widen`` (those
+    that hold NULLs) as doubles, which have one NULL form everywhere."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif f.name in widen:
+            c = c.cast("double")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def query(name: str, sql: str | None, widen: tuple[str, ...] = ()):
     def wrap(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return m.round_doubles(fn(spark, sf_dir), DIGITS)
+            return portable(m.round_doubles(fn(spark, sf_dir), DIGITS), widen)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

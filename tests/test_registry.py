@@ -71,3 +71,11 @@ def test_query_types_match_oracle(spark, duck, name):
                    for f in sdf.schema.fields}
     rel = duck.sql(E.oracle_sql()[name])
     assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_pandas_dtypes_match_oracle(spark, duck, name):
+    """Whichever client API reads the results, both sides look alike."""
+    got = E.queries()[name](spark, SF).toPandas()
+    want = duck.execute(E.oracle_sql()[name]).df()
+    assert {c: str(t) for c, t in got.dtypes.items()} == {c: str(t) for c, t in want.dtypes.items()}
