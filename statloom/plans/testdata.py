@@ -100,7 +100,8 @@ def _with(*ctes: str) -> str:
 
 
 def _r(expr: str, alias: str) -> str:
-    return f"ROUND({expr}, {DIGITS}) AS \"{alias}\""
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's decimal rounding never gives -0.0)
+    return f"(ROUND({expr}, {DIGITS}) + CAST(0 AS DOUBLE)) AS \"{alias}\""
 
 
 def _by_region(t: Tables) -> DataFrame:
