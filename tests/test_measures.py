@@ -104,3 +104,15 @@ def test_round_doubles_keeps_names(spark):
     df = spark.createDataFrame([(1.23456789, "x")], "`Temporal (%)` double, s string")
     out = m.round_doubles(df, 3)
     assert out.columns == ["Temporal (%)", "s"] and out.first()[0] == 1.235
+
+
+def test_portable_output_form(spark):
+    import datetime
+
+    from statloom.plans.testdata import portable
+
+    df = spark.createDataFrame([(datetime.date(2015, 7, 1), 3, None), (datetime.date(2016, 1, 1), None, 2)],
+                               "d date, m int, k int")
+    out = portable(df, widen=("m",))
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["string", "double", "int"]
+    assert [tuple(r) for r in out.collect()] == [("2015-07-01", 3.0, None), ("2016-01-01", None, 2)]
