@@ -4,11 +4,14 @@
     python -m statloom marts   --star DIR --out DIR
     python -m statloom reports --out DIR
     python -m statloom schema  --series DIR
+    python -m statloom stream  --landing DIR --star DIR [--checkpoint DIR] [--files] [--once]
 
 ``load`` reads JSON Lines series documents (or ``<code>.json`` table files
 with ``--files``) into the star; ``marts`` builds and writes the nine marts
 (CSV and Parquet); ``reports`` writes the chart-ready shapes of those marts;
-``schema`` prints the merged schema of every raw document (one aggregate row).
+``schema`` prints the merged schema of every raw document (one aggregate row);
+``stream`` keeps loading new files from a landing folder (``--once``: load
+what is there, then stop).
 The session comes from the environment (``spark-submit`` settings); with no
 master set, a local one is used.
 """
@@ -64,6 +67,15 @@ def cmd_schema(spark, args) -> str:
     return text
 
 
+def cmd_stream(spark, args):
+    from statloom.streaming.landing import start_landing_stream
+
+    q = start_landing_stream(spark, args.landing, args.star, checkpoint=args.checkpoint,
+                             rejects_dir=args.rejects, available_now=args.once, files=args.files)
+    q.awaitTermination()
+    return q
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="statloom")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
@@ -80,10 +92,18 @@ def parser() -> argparse.ArgumentParser:
     rep.add_argument("--out", required=True)
     sch = sub.add_parser("schema", help="print the merged schema of raw JSON Lines documents")
     sch.add_argument("--series", required=True)
+    st = sub.add_parser("stream", help="load new landing files continuously")
+    st.add_argument("--landing", required=True)
+    st.add_argument("--star", required=True)
+    st.add_argument("--checkpoint", default=None, help="stream progress (default: under spark.checkpoint.dir)")
+    st.add_argument("--rejects", default=None)
+    st.add_argument("--files", action="store_true", help="input is <code>.json table files")
+    st.add_argument("--once", action="store_true", help="load the files present now, then stop")
     return p
 
 
-COMMANDS = {"load": cmd_load, "marts": cmd_marts, "reports": cmd_reports, "schema": cmd_schema}
+COMMANDS = {"load": cmd_load, "marts": cmd_marts, "reports": cmd_reports, "schema": cmd_schema,
+            "stream": cmd_stream}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -28,3 +28,13 @@ def test_schema_command(spark, scratch, capsys):
     text = COMMANDS[args.cmd](spark, args)
     n_docs = sum(len(v) for v in sf.series_by_code().values())
     assert text.startswith(f"{n_docs} documents") and "Nombre" in capsys.readouterr().out
+
+
+def test_stream_command_once(spark, scratch):
+    from statloom.plans import ingest
+
+    land = sf.write_lines(scratch + "/land")
+    args = parser().parse_args(["stream", "--landing", land, "--star", scratch + "/star",
+                                "--checkpoint", scratch + "/ckpt", "--once"])
+    COMMANDS[args.cmd](spark, args)
+    assert ingest.StarStore(spark, scratch + "/star").read("T_empleo").count() == 7
