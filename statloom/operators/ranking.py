@@ -28,14 +28,14 @@ def global_rank(
     order_cols: Sequence[str],
     out: str = "rank",
     partitions: int | None = None,
-    freeze: bool = True,
 ) -> DataFrame:
     """Add ``out`` = 0-based position in ``order_cols`` order.
 
     ``order_cols`` must form a total order (end with a unique column), so the
-    numbering is deterministic. ``freeze=False`` skips the checkpoint: only for
-    input that is itself read from a checkpoint (same rows in the same order
-    on every run) and a rank consumed by a single action.
+    numbering is deterministic. The tagged rows are checkpointed before the
+    per-partition counts are taken, so counts and positions always come from
+    the same partitioning (two separately planned shuffles could otherwise be
+    coalesced differently by AQE).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -48,9 +48,8 @@ def global_rank(
         .sortWithinPartitions(*cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
-    if freeze:
-        tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off")
