@@ -44,7 +44,8 @@ def _model(stored, batch):
     return sorted((r for key, r in first.items() if key not in seen), key=_key)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(ROW, max_size=6), st.lists(ROW, max_size=10))
 def test_insert_or_ignore_matches_model(spark, stored_rows, batch_rows):
     schema = "k1 string, k2 string, v int, o int"
