@@ -51,3 +51,21 @@ def test_all_oracles_hold_without_broadcast(cluster_shape):
         if got != want:
             bad.append(name)
     assert bad == []
+
+
+def test_trend_same_without_broadcast(spark, monkeypatch):
+    import math
+
+    base = {(r.tasa_paro_media, r.salario_medio): r.trend for r in E.queries()["local_trend"](spark, SF).collect()}
+    old = {k: spark.conf.get(k, None) for k in CLUSTER_SHAPE}
+    try:
+        for k, v in CLUSTER_SHAPE.items():
+            spark.conf.set(k, v)
+        monkeypatch.setattr(joins, "maybe_broadcast", lambda df, *args, **kw: df)
+        shaped = {(r.tasa_paro_media, r.salario_medio): r.trend
+                  for r in E.queries()["local_trend"](spark, SF).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert base.keys() == shaped.keys()
+    assert all(math.isclose(base[k], shaped[k], rel_tol=1e-9, abs_tol=1e-6) for k in base)
