@@ -52,8 +52,9 @@ def start_landing_stream(
             batch = files_to_series(batch)
         rejects = ingest.load(batch, store)
         if rejects_dir:
+            # one folder per batch, overwritten: a replayed batch writes its rejects once
             for name, df in rejects.items():
-                df.write.mode("append").parquet(f"{rejects_dir.rstrip('/')}/{name}/batch_id={batch_id}")
+                df.write.mode("overwrite").parquet(f"{rejects_dir.rstrip('/')}/{name}/batch_id={batch_id}")
 
     writer = raw.writeStream.foreachBatch(load_batch).option(
         "checkpointLocation", checkpoint or shared_path(spark, "statloom-streams", "landing")
