@@ -6,9 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import decontaminate, substring_dedup
+from statloom.llm import decontaminate, sentencepiece_bpe, substring_dedup
 from statloom.sources.tables import read_table
 
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer file (the installed vocabulary package names it)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.digests(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -55,6 +68,7 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op2_sentencepiece": (op2_sentencepiece, None),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, OP6_SQL),
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
 }
