@@ -74,15 +74,15 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that each holds about ``size`` bytes of text, one row at least."""
+def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that each holds about ``size`` bytes of text and at most ``rows`` rows, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, off = text_buffer(batch.column(batch.schema.get_field_index(text)))
         at = 0
         while at < batch.num_rows:
-            end = max(at + 1, int(np.searchsorted(off, off[at] + size, "right")) - 1)
+            end = min(at + rows, max(at + 1, int(np.searchsorted(off, off[at] + size, "right")) - 1))
             yield batch.slice(at, end - at)
             at = end
 
@@ -174,3 +174,21 @@ def window_hashes(words: Words, width: int, seed: int) -> tuple[np.ndarray, np.n
             total *= base
             total += words.hash[k : n - width + 1 + k]
     return at, mix(total[at])
+
+
+def narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in the smallest width that holds them: one byte for the width, then the values."""
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(values) or values.max() <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+
+
+def wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
+def cut_by(key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """Columns cut where a sorted key changes: (key, parts ...)."""
+    cuts = np.flatnonzero(np.diff(key)) + 1
+    for k, *parts in zip(np.split(key, cuts), *(np.split(c, cuts) for c in columns), strict=True):
+        if len(k):
+            yield (int(k[0]), *parts)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import decontaminate, sentencepiece_bpe, substring_dedup
+from statloom.llm import decontaminate, ngram_join, sentencepiece_bpe, substring_dedup
 from statloom.sources.tables import read_table
 
 
@@ -47,6 +47,25 @@ FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORDS}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, shingle FROM (
+        SELECT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)
+        UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n_both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.v, r.c FROM reach r JOIN edges e ON e.u = r.doc_id)
+SELECT r.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM reach r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
@@ -69,6 +88,7 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_sentencepiece": (op2_sentencepiece, None),
+    "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, OP5_SQL),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, OP6_SQL),
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
 }

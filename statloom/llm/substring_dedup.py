@@ -40,25 +40,15 @@ _WIRE = ["part", "docs", "counts", "hashes", "keys", "spans"]
 _WIRE_DDL = "part int, docs binary, counts binary, hashes binary, keys binary, spans binary"
 
 
-def _narrow(values: np.ndarray) -> bytes:
-    """Whole numbers in the smallest width that holds them: one byte for the width, then the values."""
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(values) or values.max() <= np.iinfo(k).max)
-    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
-
-
 def _pack_docs(doc: np.ndarray) -> tuple[bytes, bytes]:
     """Sorted doc_ids with repeats: the first id and the steps to the next ones, and how often each occurs."""
     own, counts = np.unique(doc, return_counts=True)
-    return own[:1].tobytes() + _narrow(np.diff(own.view(np.uint64))), _narrow(counts)
+    return own[:1].tobytes() + flat.narrow(np.diff(own.view(np.uint64))), flat.narrow(counts)
 
 
 def _unpack_docs(docs: bytes, counts: bytes) -> np.ndarray:
     first = np.frombuffer(docs, np.int64, 1)
-    return np.repeat(np.cumsum(np.concatenate([first, _wide(docs[8:])])), _wide(counts))
+    return np.repeat(np.cumsum(np.concatenate([first, flat.wide(docs[8:])])), flat.wide(counts))
 
 
 def _row_keys(words: flat.Words, ids: np.ndarray) -> np.ndarray:
@@ -96,14 +86,6 @@ def _group(ids: np.ndarray, groups: int) -> np.ndarray:
     return (flat.mix(ids.astype(np.uint64)) % np.uint64(groups)).astype(np.int32)
 
 
-def _split(key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    """Columns cut where a sorted key changes."""
-    cuts = np.flatnonzero(np.diff(key)) + 1
-    for k, *parts in zip(np.split(key, cuts), *(np.split(c, cuts) for c in columns), strict=True):
-        if len(k):
-            yield (int(k[0]), *parts)
-
-
 def _wire(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[] for _ in _WIRE]
     return pa.record_batch([pa.array(c, pa.binary() if i else pa.int32()) for i, c in enumerate(columns)], _WIRE)
@@ -117,13 +99,13 @@ def _window_entries(width: int, parts: int, groups: int):
             h, route, doc, settled = _block_entries(words, ids, width)
             part = (route % np.uint64(parts)).astype(np.int32)
             order = np.lexsort((doc, part))
-            rows = [(p, *_pack_docs(d), x.tobytes(), b"", b"") for p, d, x in _split(part[order], doc[order], h[order])]
+            rows = [(p, *_pack_docs(d), x.tobytes(), b"", b"") for p, d, x in flat.cut_by(part[order], doc[order], h[order])]
             # intervals the block settles itself go straight to their documents, under a negative part
             row, first, end = _runs(words, settled)
             grp, keys = _group(ids[row], groups), _row_keys(words, ids)[row]
             order = np.argsort(grp, kind="stable")
             rows += [(-1 - g, b"", b"", b"", k.tobytes(), np.stack([a, b]).tobytes())
-                     for g, k, a, b in _split(grp[order], keys[order], first[order], end[order])]
+                     for g, k, a, b in flat.cut_by(grp[order], keys[order], first[order], end[order])]
             for i in range(0, len(rows), 64):
                 yield _wire(rows[i : i + 64])
 
@@ -151,7 +133,7 @@ def _repeats(groups: int):
         doc, hashes = doc[later], hashes[later]
         grp = _group(doc, groups)
         order = np.lexsort((hashes, doc, grp))
-        rows = [(g, *_pack_docs(d), h.tobytes(), b"", b"") for g, d, h in _split(grp[order], doc[order], hashes[order])]
+        rows = [(g, *_pack_docs(d), h.tobytes(), b"", b"") for g, d, h in flat.cut_by(grp[order], doc[order], hashes[order])]
         return pa.Table.from_batches([_wire(rows)])
 
     return run
