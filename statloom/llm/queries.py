@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import decontaminate, ngram_join, sentencepiece_bpe, substring_dedup
+from statloom.llm import decontaminate, ngram_join, sentencepiece_bpe, substring_dedup, token_files
 from statloom.sources.tables import read_table
 
 
@@ -22,6 +22,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.TokenFiles(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+    done = files.digests().checkpoint()
+    files.drop()
+    return done
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -88,6 +95,7 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_sentencepiece": (op2_sentencepiece, None),
+    "op4_token_files": (op4_token_files, None),
     "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, OP5_SQL),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, OP6_SQL),
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
