@@ -145,17 +145,17 @@ def choose_prefix(size: np.ndarray, first: np.ndarray, often: np.ndarray, percen
     """
     total = np.concatenate([[0.0], np.cumsum(often, dtype=np.float64)])
     must = -(-percent * size // 100)  # tokens that a partner must share at least
-    best, best_cost = size - must + 1, np.full(len(size), np.inf)
+    best, best_cost = size, np.full(len(size), np.inf)
     k = 1
     while k <= max(1, int(must.max(initial=0))):
         use = np.minimum(k, np.maximum(must, 1))
-        length = size - must + use
+        length = np.minimum(size - must + use, size)
         scan = total[first[:-1] + length] - total[first[:-1]]
         cost = scan + VERIFY_COST * scan / use
         better = cost < best_cost
         best, best_cost = np.where(better, length, best), np.where(better, cost, best_cost)
         k *= 2
-    return np.minimum(best, size)
+    return best
 
 
 _POSTING = "part int, nodes binary, sizes binary, prefixes binary, counts binary, tokens binary"
