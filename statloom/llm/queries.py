@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statloom.llm import decontaminate, ngram_join, sentencepiece_bpe, substring_dedup, token_files
+from statloom.llm import decontaminate, language_id, ngram_join, sentencepiece_bpe, substring_dedup, token_files, toxicity
 from statloom.sources.tables import read_table
 
 
@@ -29,6 +30,18 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    done = language_id.predict(docs, language_id.train(docs))
+    return done.select("doc_id", F.coalesce(language_id.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "languages")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    done = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return done.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -98,5 +111,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_token_files": (op4_token_files, None),
     "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, OP5_SQL),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, OP6_SQL),
+    "op7_language_id": (op7_language_id, None),
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
+    "op9_toxicity": (op9_toxicity, None),
 }
