@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import decontaminate, language_id, ngram_join, sentencepiece_bpe, substring_dedup, token_files, toxicity
+from statloom.llm import decontaminate, edit_fingerprint, language_id, ngram_join, sentencepiece_bpe, substring_dedup, token_files, toxicity
 from statloom.sources.tables import read_table
 
 
@@ -42,6 +42,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op10_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.edit_report(read_table(spark, sf_dir, "documents"))
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -114,4 +118,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_language_id": (op7_language_id, None),
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
     "op9_toxicity": (op9_toxicity, None),
+    "op10_edit_fingerprint": (op10_edit_fingerprint, None),
 }
