@@ -25,6 +25,7 @@ Characters outside the vocabulary become their UTF-8 byte pieces.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +37,10 @@ from pyspark.sql.types import StructType
 from statloom.llm import flat
 
 SPACE = "▁"
+_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 NO_RANK = np.iinfo(np.int32).max
 #: Encoded words remembered by a Python worker; beyond it the memory starts anew.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 800_000
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
 
@@ -101,7 +103,10 @@ class Model:
                        for p, i in normal.items() for k in range(1, len(p)) if p[:k] in normal and p[k:] in normal)
         self.pair, self.rank, self.joined = (np.array(x, t) for x, t in zip(zip(*pairs, strict=True), (np.int64, np.int32, np.int32), strict=True))
         self.slots = self._slots()
-        self.char_id = {p: i for p, i in normal.items() if len(p) == 1}
+        self.char_id = np.full(0x110000, -1, np.int32)
+        for p, i in normal.items():
+            if len(p) == 1:
+                self.char_id[ord(p)] = i
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(SPACE, " ").encode("utf-8")
                       for p, _, kind in pieces]
         self.is_byte = np.array([kind == BYTE for _, _, kind in pieces])
@@ -143,8 +148,7 @@ class Model:
         """Initial symbols of words, flat, and the number of each word's symbols."""
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         size = np.fromiter(map(len, words), np.int64, len(words))
-        kinds, place = np.unique(code, return_inverse=True)
-        own = np.array([self.char_id.get(chr(c), -1) for c in kinds.tolist()], np.int32)[place]
+        own = self.char_id[code]
         missing = np.flatnonzero(own < 0)
         if not len(missing):
             return own, size
@@ -199,8 +203,9 @@ class Model:
         keep[at + 1] = False
         new = (np.cumsum(keep) - 1)[at]
         symbol, word, rank, joined = symbol[keep], word[keep], rank[keep], joined[keep]
-        touched = np.unique(np.concatenate([new, new[new > 0] - 1]))
-        touched = touched[touched < len(symbol) - 1]
+        changed = np.zeros(len(symbol) + 1, bool)  # pairs with a merged symbol on the right or on the left
+        changed[new], changed[new - 1] = True, True
+        touched = np.flatnonzero(changed[: len(symbol) - 1])
         if len(touched):
             r, j = self.look_up(symbol[touched], symbol[touched + 1])
             r[word[touched] != word[touched + 1]] = NO_RANK
@@ -213,8 +218,9 @@ class Model:
         again = np.flatnonzero(word[at[1:]] == word[at[:-1]])  # only words with several occurrences matter
         if not len(again):
             return at
-        several = np.unique(word[at[again]])
-        mine = np.flatnonzero(np.isin(word[at], several))
+        several = np.zeros(int(word[-1]) + 1, bool)
+        several[word[at[again]]] = True
+        mine = np.flatnonzero(several[word[at]])
         made, better = joined[at[mine]], np.zeros(len(mine), bool)
         place = np.full(len(symbol), -1, np.int64)
         place[at] = np.arange(len(at))
@@ -242,7 +248,7 @@ class Model:
     def encode(self, texts: list[str], memory: dict[str, bytes]) -> list[np.ndarray]:
         """Ids of whole texts (without an end id). ``memory`` keeps words that were encoded before."""
         cut = [_cut_words(t) for t in texts]
-        fresh = [w for w in dict.fromkeys(w for ws in cut for w in ws) if w not in memory]
+        fresh = list(set().union(*cut) - memory.keys())
         ids, size = self.encode_words(fresh)
         end = np.cumsum(size) * 4
         raw = ids.astype("<i4").tobytes()
@@ -286,17 +292,7 @@ def _cut_words(text: str) -> list[str]:
     """Escaped words of a text: each begins with its run of U+2581."""
     if not text:
         return []
-    parts = (SPACE + text.replace(" ", SPACE)).split(SPACE)
-    # split() leaves an empty part for each further U+2581 of a run
-    words, lead = [], 0
-    for p in parts[1:]:
-        lead += 1
-        if p:
-            words.append(SPACE * lead + p)
-            lead = 0
-    if lead:
-        words.append(SPACE * lead)
-    return words
+    return _WORD.findall(SPACE + text.replace(" ", SPACE))
 
 
 _MODELS: dict[int, Model] = {}
