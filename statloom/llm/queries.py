@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import decontaminate, edit_fingerprint, language_id, ngram_join, sentencepiece_bpe, sharding, substring_dedup, token_files, toxicity
+from statloom.llm import decontaminate, edit_fingerprint, html_text, language_id, ngram_join, sentencepiece_bpe, sharding, substring_dedup, token_files, toxicity
 from statloom.sources.tables import read_table
 
 
@@ -28,6 +28,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "linked")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.TokenFiles(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
     done = files.digests().checkpoint()
@@ -118,6 +122,7 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_sharding": (op1_sharding, None),
     "op2_sentencepiece": (op2_sentencepiece, None),
+    "op3_html_extraction": (op3_html_extraction, None),
     "op4_token_files": (op4_token_files, None),
     "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, OP5_SQL),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, OP6_SQL),
