@@ -25,6 +25,7 @@ Characters outside the vocabulary become their UTF-8 byte pieces.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -341,31 +342,34 @@ def encode_decode(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ())
     return chosen.mapInArrow(_run(file, extra, to_arrow_schema(out)), out)
 
 
-def _digest(file, schema: pa.Schema):
-    import hashlib
-
-    inner = pa.schema([pa.field("doc_id", schema.field("doc_id").type), pa.field("ids", pa.list_(pa.int32())), pa.field("decoded", pa.string())])
+def _digest(file, extra: list[str], schema: pa.Schema):
+    inner = pa.schema([*(schema.field(c) for c in extra), pa.field("ids", pa.list_(pa.int32())), pa.field("decoded", pa.string())])
+    sha = lambda data: hashlib.sha256(data).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = lambda data: hashlib.sha256(data).hexdigest()
-        model = _model(file.value)
-        text = [str(i) for i in range(model.size)]
-        for done in _run(file, ["doc_id"], inner)(batches):
+        text = [str(i) for i in range(_model(file.value).size)]
+        for done in _run(file, extra, inner)(batches):
             ids = done.column("ids")
-            values, off = ids.values.to_pylist(), ids.offsets.to_pylist()
-            spelt = [text[i] for i in values]
-            yield pa.RecordBatch.from_arrays([
-                done.column("doc_id"), pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()),
-                pa.array([sha(" ".join(spelt[a:b]).encode()) for a, b in zip(off[:-1], off[1:], strict=True)]),
-                pa.array([sha(t.encode("utf-8")) for t in done.column("decoded").to_pylist()]),
-            ], schema=schema)
+            off = ids.offsets.to_pylist()
+            spelt = [text[i] for i in ids.values.to_pylist()]
+            made = {
+                "n_tokens": pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()),
+                "ids_sha256": pa.array([sha(" ".join(spelt[a:b]).encode()) for a, b in zip(off[:-1], off[1:], strict=True)]),
+                "decoded_sha256": pa.array([sha(t.encode("utf-8")) for t in done.column("decoded").to_pylist()]),
+                "ids": ids,
+            }
+            columns = [done.column(c) for c in extra] + [made[c] for c in schema.names[len(extra) :]]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
 
-def digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """``encode_decode`` reduced, inside the same tasks, to doc_id, n_tokens, ids_sha256 and decoded_sha256."""
+def digests(docs: DataFrame, model_path: str, keep: tuple[str, ...] = (), ids: bool = False) -> DataFrame:
+    """``encode_decode`` reduced, inside the same tasks, to doc_id, the columns in ``keep``,
+    n_tokens, ids_sha256 and decoded_sha256 (and the ids themselves, if asked for)."""
     with open(model_path, "rb") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())
-    out = StructType([docs.schema["doc_id"], *StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string").fields])
-    return docs.select("doc_id", "text").mapInArrow(_digest(file, to_arrow_schema(out)), out)
+    extra = ["doc_id", *keep]
+    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
+    out = StructType([*docs.select(*extra).schema.fields, *StructType.fromDDL(made).fields])
+    return docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(_digest(file, extra, to_arrow_schema(out)), out)

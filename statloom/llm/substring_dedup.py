@@ -30,10 +30,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from statloom.llm import flat
+from statloom.llm.shared import text_groups
 
 WIDTH = 13
-#: The documents and what they are told meet in this many groups for each shuffle partition.
-GROUPS_PER_PARTITION = 4
+#: The documents and what they are told meet in this many groups for each group of windows.
+GROUPS_PER_GROUP = 4
 
 #: Wire format: window entries (docs, counts, hashes) or intervals already settled (keys, spans).
 _WIRE = ["part", "docs", "counts", "hashes", "keys", "spans"]
@@ -186,7 +187,7 @@ def _intervals(mask: np.ndarray) -> list[int]:
 _OUT = "n_words long, n_removed long, spans array<int>, kept_text string"
 
 
-def _remove(width: int, extra: list[str], schema: pa.Schema):
+def _remove(width: int, extra: list[str], schema: pa.Schema, as_is: bool):
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         told = Told(table)
         out = []
@@ -201,8 +202,11 @@ def _remove(width: int, extra: list[str], schema: pa.Schema):
                 n.append(len(own))
                 removed.append(int(own.sum()))
                 spans.append(_intervals(own) if removed[-1] else [])
-                pieces = raw[off[r] : off[r + 1]].split()
-                kept.append(b" ".join(compress(pieces, ~own) if removed[-1] else pieces))
+                whole = raw[off[r] : off[r + 1]]
+                if removed[-1]:
+                    kept.append(b" ".join(compress(whole.split(), ~own)))
+                else:
+                    kept.append(whole if as_is else b" ".join(whole.split()))
             made = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.int32())),
                     pa.array(kept, pa.binary()).cast(pa.string())]
             columns = [*(block.column(c) for c in extra), *made]
@@ -221,12 +225,13 @@ def _with_group(groups: int):
     return run
 
 
-def dedup_windows(docs: DataFrame, width: int = WIDTH, keep: tuple[str, ...] = ()) -> DataFrame:
+def dedup_windows(docs: DataFrame, width: int = WIDTH, keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
     """Remove every word covered by a window that also starts in a document with a smaller doc_id.
 
     Returns doc_id, the columns named in ``keep``, n_words, n_removed, spans
     (maximal removed intervals, flat: first word, end, ...) and kept_text (kept
-    words joined by one space).
+    words joined by one space; with ``as_is`` a text that loses nothing stays
+    as it is, white space included).
 
     NULL and empty texts have no words and come back empty. Texts shorter than
     a window keep everything. Rows that share a doc_id are one document for
@@ -234,16 +239,15 @@ def dedup_windows(docs: DataFrame, width: int = WIDTH, keep: tuple[str, ...] = (
     other document. Other columns are ignored unless named in ``keep``,
     whatever their names; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    groups = parts * GROUPS_PER_PARTITION
     last = F.lit(2**63 - 1)
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), "text", *keep)
+    parts = text_groups(docs)
+    groups = parts * GROUPS_PER_GROUP
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), *dict.fromkeys(["text", *keep]))
     sent = own.select("doc_id", "text").mapInArrow(_window_entries(width, parts, groups), _WIRE_DDL)
     told = sent.groupBy("part").applyInArrow(_repeats(groups), _WIRE_DDL)
     grouped = own.mapInArrow(_with_group(groups), StructType([StructField("part", IntegerType()), *own.schema.fields]))
     out = StructType([*(own.schema[c] for c in ("doc_id", *keep)), *StructType.fromDDL(_OUT).fields])
-    done = grouped.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_remove(width, ["doc_id", *keep], to_arrow_schema(out)), out)
+    done = grouped.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_remove(width, ["doc_id", *keep], to_arrow_schema(out), as_is), out)
     return done.withColumn("doc_id", F.nullif("doc_id", last))
 
 
