@@ -33,7 +33,7 @@ from statloom.llm import flat
 ORDERS = (4, 5, 6, 7, 8)
 TABLE_BITS = 18
 #: Documents of each class that the fit reads at most.
-PER_CLASS = 4000
+PER_CLASS = 3000
 SELECTED = 20_000
 SMOOTH = 1.0
 PENALTY = 2e-3
@@ -113,16 +113,15 @@ def fit(texts: pa.Array, toxic: np.ndarray, share: float) -> Model:
     flat_model = Model(np.zeros((len(ORDERS), size), np.float32), prior)
     if not toxic.any() or toxic.all():
         return flat_model
-    rows, found, times, at = [], [], [], 0
-    batch = pa.record_batch([texts], ["text"])
-    for block in flat.blocks(iter([batch]), size=1 << 20):
+    # first pass: how often toxic and other documents have each feature
+    sums, at = np.full((2, n), SMOOTH), 0
+    for block in flat.blocks(iter([pa.record_batch([texts], ["text"])]), size=1 << 19):
         row, feature, value = _counts(*flat.text_buffer(block.column(0)), None)
-        rows.append((row + at).astype(np.int32))
-        times.append(value)
-        found.append(feature.astype(np.int32))
+        marked = toxic[row + at]
+        for t in (0, 1):
+            sums[t] += np.bincount(feature[marked == t], value[marked == t], minlength=n)
         at += block.num_rows
-    row, feature, value = np.concatenate(rows), np.concatenate(found), np.concatenate(times)
-    yes, no = (np.bincount(feature[toxic[row] == t], value[toxic[row] == t], minlength=n) + SMOOTH for t in (True, False))
+    no, yes = sums
     n_yes, n_no = int(toxic.sum()), int((~toxic).sum())
     ratio = np.log(yes / (n_yes + 2 * SMOOTH)) - np.log(no / (n_no + 2 * SMOOTH))
     clear = np.abs(ratio) / np.sqrt(1 / yes + 1 / no)
@@ -130,8 +129,13 @@ def fit(texts: pa.Array, toxic: np.ndarray, share: float) -> Model:
     chosen = chosen[clear[chosen] > 1]
     place = np.full(n, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    keep = place[feature] >= 0
-    row, column, value = row[keep], place[feature[keep]], value[keep]
+    # second pass: the chosen features of each document
+    active, entries, at = (place >= 0).reshape(len(ORDERS), size), [], 0
+    for block in flat.blocks(iter([pa.record_batch([texts], ["text"])]), size=1 << 20):
+        row, feature, value = _counts(*flat.text_buffer(block.column(0)), active)
+        entries.append(((row + at).astype(np.int32), place[feature], value))
+        at += block.num_rows
+    row, column, value = (np.concatenate(x) for x in zip(*entries, strict=True))
     scale = ratio[chosen]
     weight, bias = _logistic(row, column, value, scale, toxic, len(chosen))
     out = np.zeros(n, np.float32)
