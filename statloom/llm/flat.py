@@ -42,15 +42,22 @@ class WordRule:
 
     inside: np.ndarray  # bool[256]
     value: np.ndarray  # uint64[256]
+    #: Bytes of kind 1 and of kind 2 don't share a word (None: no such cuts).
+    kind: np.ndarray | None = None
 
 
-def word_rule(separators, lower: bool) -> WordRule:
+def word_rule(separators, lower: bool, kinds: tuple[bytes, bytes] | None = None) -> WordRule:
     inside = np.ones(256, dtype=bool)
     inside[list(separators)] = False
     value = seeded(256, 11)
     if lower:
         value[0x41:0x5B] = value[0x61:0x7B]
-    return WordRule(inside, value)
+    kind = None
+    if kinds:
+        kind = np.zeros(256, np.uint8)
+        for k, members in enumerate(kinds, 1):
+            kind[list(members)] = k
+    return WordRule(inside, value, kind)
 
 
 #: ``[^\x20\x09-\x0D]+``, letters as they are, and with A-Z lower-cased.
@@ -146,6 +153,9 @@ def _segment(buf: np.ndarray, cuts: np.ndarray, rule: WordRule):
     before[1:] = inside[:-1]
     before[cuts[(cuts >= 0) & (cuts < n)]] = False
     first = inside & ~before
+    if rule.kind is not None and n:
+        kind = rule.kind[buf]
+        first[1:] |= inside[1:] & inside[:-1] & (kind[1:] + kind[:-1] == 3) & (kind[1:] > 0) & (kind[:-1] > 0)
     # a word ends where the next byte is outside, or starts another word
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]

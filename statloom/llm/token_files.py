@@ -22,9 +22,11 @@ are in the manifest, so lost executors leave at most files that nobody reads.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,15 +45,28 @@ FILE_BYTES = 128 << 20
 REMEMBERED_WORDS = 400_000
 ZSTD_LEVEL = 1
 
-_SPACES = bytes(range(0x09, 0x0E))
-_TO_SPACE = str.maketrans({chr(c): " " for c in _SPACES})
+#: Words that the tokenizer's split rule cuts like this pattern, and whose lower case needs no normaliser:
+#: ASCII without the apostrophe, and Latin-1 letters.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+_ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_SIGNS = bytes(c for c in range(0x21, 0x7F) if c not in _ALNUM and c != 0x27)
+#: Words are cut between letters or digits and signs too, and A-Z count as a-z.
+CUT_WORDS = flat.word_rule(flat.ASCII_SPACE, lower=True, kinds=(_ALNUM, _SIGNS))
 
 
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` file, each distinct word encoded once.
 
     Words are cut at ASCII white space, so the tokenizer must treat white space
-    as a plain separator: a probe text checks that it does.
+    as a plain separator. If it also cuts between letters or digits and signs
+    and lower-cases A-Z, words are cut there and lower-cased first: such parts
+    repeat more often. Plain words are cut further into the pieces that the
+    tokenizer's merges work on; the library encodes those. All other words go
+    to the library whole. Probe texts check on load what the tokenizer does;
+    blocks with a special token's brackets in them are cut at white space only.
     """
 
     def __init__(self, config: str):
@@ -59,23 +74,79 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(config)
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.memory: dict[str, bytes] = {}
-        ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("An a\tb,\n\nc's  9", "An", "a", "b,", "c's", "9")]
-        if ids[0] != sum(ids[1:], []):
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.memory: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        if self._whole(["An a\tb,\n\nc's  9"])[0] != b"".join(self._whole(["An", "a", "b,", "c's", "9"])):
             raise ValueError("the tokenizer does not treat white space as a plain separator")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as packed numbers."""
-        cut = [t.split(" ") for t in (t.translate(_TO_SPACE) for t in texts)]
-        if len(self.memory) > REMEMBERED_WORDS:
-            self.memory.clear()
+        letters = [chr(c) for c in range(0xDF, 0x100)]
+        self.letters = {ord(c): "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
+        probes = ["Ab12cD,.x!é", "ÀÉß7ÿ--Zz", "(a)_b[9]9", "#Über%%5é"]
+        self.merges = self.tokenizer.model.tokenize
+        self.by_piece = True
+        self.by_piece = [self._word(w) for w in probes] == self._whole(probes)
+
+    @property
+    def width(self) -> int:
+        return array(self.kind).itemsize
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        """Ids of words by the library, as packed numbers."""
+        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of a plain word from its pieces; None if it has to go to the library whole."""
+        if self.by_piece and word.isascii() and word.isalpha():
+            return array(self.kind, [t.id for t in self.merges(word.lower())]).tobytes()
+        if not (self.by_piece and _PLAIN.fullmatch(word)) or "<|" in word:
+            return None
+        return b"".join([self.pieces.get(p) or self._piece(p) for p in _PIECES.findall(word.lower())])
+
+    def _piece(self, piece: str) -> bytes:
+        # the letters that the tokenizer's merges work on stand for bytes
+        letters = piece if piece.isascii() else piece.translate(self.letters)
+        ids = array(self.kind, [t.id for t in self.merges(letters)]).tobytes()
+        if len(self.pieces) >= REMEMBERED_WORDS:
+            self.pieces.clear()
+        self.pieces[piece] = ids
+        return ids
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Encode words that are not in memory."""
+        known, rest = self.memory, []
+        for w in fresh:
+            ids = self.older.get(w)
+            if ids is None:
+                ids = self._word(w.decode("utf-8"))
+            if ids is None:
+                rest.append(w)
+            else:
+                known[w] = ids
+        for i in range(0, len(rest), 20_000):
+            part = rest[i : i + 20_000]
+            known.update(zip(part, self._whole([w.decode("utf-8") for w in part]), strict=True))
+
+    def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a block, flat, and the texts' offsets in them. Each distinct word is looked up once."""
+        raw, rule = buf.tobytes(), flat.SPACED
+        if self.by_piece and b"<|" not in raw:
+            raw, rule = raw.lower(), CUT_WORDS  # of bytes, this lowers A-Z only
+        words = flat.find_words(buf, off, rule)
+        if len(self.memory) > REMEMBERED_WORDS:  # words of the last stretch stay at hand
+            self.memory, self.older = {}, self.memory
+        _, at, which = np.unique(words.hash, return_index=True, return_inverse=True)
         known = self.memory
-        fresh = list({w for ws in cut for w in ws if w not in known})
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            known.update(zip(part, (np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
+        distinct = [raw[a:b] for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)]
+        self._learn([w for w in distinct if w not in known])
+        ids = [known[w] for w in distinct]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        store = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        count = size[which]
+        end = np.concatenate([[0], np.cumsum(count)])
+        # every token takes its place in the store: where its word's ids begin, and how far into the word it is
+        place = np.repeat((np.cumsum(size) - size)[which] - end[:-1], count) + np.arange(end[-1])
+        return store[place], end[words.row_first]
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -175,11 +246,11 @@ def _write(config, folder: str, end_id: int):
             if writer is None:
                 task = TaskContext.get()
                 path = f"{folder}/tokens-{task.partitionId():06d}-{task.taskAttemptId()}.tok"
-                writer, first = FileWriter(path, encoder.kind.itemsize), block.column("doc_id")[0].as_py()
-            end = np.array([end_id], encoder.kind).tobytes()
-            ids = encoder.encode([t or "" for t in block.column("text").to_pylist()])
-            for doc_id, own in zip(block.column("doc_id").to_pylist(), ids, strict=True):
-                writer.add(doc_id, own + end)
+                writer, first = FileWriter(path, encoder.width), block.column("doc_id")[0].as_py()
+            end = array(encoder.kind, [end_id]).tobytes()
+            ids, cuts = encoder.encode(*flat.text_buffer(block.column("text")))
+            for doc_id, a, b in zip(block.column("doc_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                writer.add(doc_id, ids[a:b].tobytes() + end)
         if writer is not None:
             writer.close()
             yield pa.record_batch([pa.array([path]), pa.array([first], pa.int64()), pa.array([len(writer.docs)]), pa.array([writer.tokens])],
