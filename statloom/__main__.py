@@ -1,15 +1,15 @@
 """Command line: the three phases of a run.
 
-    python -m statloom load    --series DIR --star DIR [--files] [--rejects DIR]
+    python -m statloom load    --series DIR --star DIR [--files] [--rejects DIR] [--load-id ID]
     python -m statloom marts   --star DIR --out DIR
     python -m statloom reports --out DIR
-    python -m statloom schema  --series DIR
-    python -m statloom stream  --landing DIR --star DIR [--checkpoint DIR] [--files] [--once]
+    python -m statloom schema  --series DIR [--files]
+    python -m statloom stream  --landing DIR --star DIR --checkpoint DIR [--files] [--once]
 
 ``load`` reads JSON Lines series documents (or ``<code>.json`` table files
 with ``--files``) into the star; ``marts`` builds and writes the nine marts
 (CSV and Parquet); ``reports`` writes the chart-ready shapes of those marts;
-``schema`` prints the merged schema of every raw document (one aggregate row);
+``schema`` prints the types of every path over all raw documents;
 ``stream`` keeps loading new files from a landing folder (``--once``: load
 what is there, then stop).
 The session comes from the environment (``spark-submit`` settings); with no
@@ -19,6 +19,7 @@ master set, a local one is used.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import sys
 
 from statloom.session import build_session
@@ -35,8 +36,10 @@ def cmd_load(spark, args) -> dict:
     raw = read_series_files(spark, args.series) if args.files else read_series_lines(spark, args.series)
     rejects = ingest.load(raw, ingest.StarStore(spark, args.star))
     if args.rejects:
+        # one folder per load, overwritten: a retried load writes its rejects once
+        load_id = args.load_id or hashlib.sha256(args.series.encode()).hexdigest()[:16]
         for name, df in rejects.items():
-            df.write.mode("append").parquet(f"{args.rejects.rstrip('/')}/{name}")
+            df.write.mode("overwrite").parquet(f"{args.rejects.rstrip('/')}/{name}/load_id={load_id}")
     return rejects
 
 
@@ -61,8 +64,8 @@ def cmd_reports(spark, args) -> dict:
 def cmd_schema(spark, args) -> str:
     from statloom.sources.series_json import series_schema_report
 
-    row = series_schema_report(spark, args.series).first()
-    text = f"{row['n_rows']} documents\n{row['schema']}"
+    rows = series_schema_report(spark, args.series, files=args.files).collect()  # one row per path and type
+    text = "\n".join(f"{r['path'] or ''}\t{r['type']}\t{r['n']}" for r in sorted(rows, key=lambda r: (r["path"] or "", r["type"])))
     print(text)
     return text
 
@@ -85,17 +88,19 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--star", required=True)
     load.add_argument("--files", action="store_true", help="input is <code>.json table files")
     load.add_argument("--rejects", default=None)
+    load.add_argument("--load-id", default=None, help="name of this load's reject folders (default: from --series)")
     marts = sub.add_parser("marts", help="build and write the nine marts")
     marts.add_argument("--star", required=True)
     marts.add_argument("--out", required=True)
     rep = sub.add_parser("reports", help="write chart-ready shapes of the marts")
     rep.add_argument("--out", required=True)
-    sch = sub.add_parser("schema", help="print the merged schema of raw JSON Lines documents")
+    sch = sub.add_parser("schema", help="print the types of every path of raw documents")
     sch.add_argument("--series", required=True)
+    sch.add_argument("--files", action="store_true", help="input is <code>.json table files")
     st = sub.add_parser("stream", help="load new landing files continuously")
     st.add_argument("--landing", required=True)
     st.add_argument("--star", required=True)
-    st.add_argument("--checkpoint", default=None, help="stream progress (default: under spark.checkpoint.dir)")
+    st.add_argument("--checkpoint", required=True, help="stream progress, the same folder at each start")
     st.add_argument("--rejects", default=None)
     st.add_argument("--files", action="store_true", help="input is <code>.json table files")
     st.add_argument("--once", action="store_true", help="load the files present now, then stop")

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from statloom.functions.safe import ColumnOrName, col
 
 ANNUAL_CODE = 28
-QUARTER_CODES = {19: 1, 20: 2, 21: 3, 22: 4}
 
 
 def quarter_first_month(quarter: Column) -> Column:

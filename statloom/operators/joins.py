@@ -1,12 +1,8 @@
-"""Joins with a checked broadcast.
+"""Join conditions.
 
-A side is broadcast only after a bounded check proves it holds at most
-``max_rows`` rows and at most ``max_bytes`` bytes (string size of its
-columns). The check runs on the executors; each task stops at ``max_rows + 1``
-rows, and only the columns the join side keeps are read, so it stays cheap
-on a table of any size. Beyond that bound the join is left to Spark: a
-sort-merge join on the keys, which AQE may still turn into a broadcast once
-it has measured the shuffled side.
+No side is hinted. Spark broadcasts a side whose files are small, and AQE one
+whose shuffled size it has measured to be small (``session.py`` sets the
+bound); everything else is a sort-merge join, which AQE splits where skewed.
 """
 
 from __future__ import annotations
@@ -14,59 +10,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Bounds for broadcasting a side: 200k rows and 32 MB of column data, well
-# inside executor memory and far below Spark's hard broadcast limit.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
-
-def _row_bytes(df: DataFrame) -> Column:
-    """String size of a row's columns (a proxy for its in-memory size)."""
-    total = F.lit(8)
-    for c in df.columns:
-        total = total + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-    return total
-
-
-def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (and, if given, at most
-    ``max_bytes`` bytes), by a bounded scan."""
-    limited = df.limit(max_rows + 1)
-    if max_bytes is None:
-        return limited.select(F.lit(1).alias("one")).count() <= max_rows
-    row = limited.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-
-
-def maybe_broadcast(
-    df: DataFrame,
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows, max_bytes) else df
-
-
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Join ``big`` with a side expected to be small (size checked first)."""
-    return big.join(maybe_broadcast(small, max_rows, max_bytes), on, how)
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition where NULL key parts match each other (``<=>``).
+def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], nullable: Sequence[str] | None = None) -> Column:
+    """Join condition on ``keys``: ``=`` where a key can't be NULL, ``<=>``
+    (NULL matches NULL) for those in ``nullable`` (all, if not given).
 
     Both sides must be aliased DataFrames (``df.alias(name)``)."""
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(right[k])
+        c = left[k].eqNullSafe(right[k]) if nullable is None or k in nullable else left[k] == right[k]
         cond = c if cond is None else cond & c
     return cond

@@ -96,29 +96,21 @@ def base_value(df: DataFrame, time_col: str, base, value: str) -> Column:
     """The value at the base period as a scalar subquery.
 
     Exactly one row must hold the base period; zero or several raise an error
-    when the query runs, as the reference's ``.item()`` did.
+    when the query runs, as the reference's ``.item()`` did. The base row is
+    picked by a conditional aggregate, not by a filter: the subquery then has
+    the frame's own plan, and Spark reuses the frame's shuffle for it.
     """
-    one = df.filter(F.col(time_col) == F.lit(base)).agg(
-        F.when(F.count(F.lit(1)) == 1, F.max(value)).otherwise(
+    hit = F.col(time_col) == F.lit(base)
+    one = df.agg(
+        F.when(F.count_if(hit) == 1, F.max(F.when(hit, F.col(value)))).otherwise(
             F.raise_error(F.lit(f"base period {time_col}={base} must hold exactly one row"))
         )
     )
     return one.scalar()
 
 
-def _once(df: DataFrame, materialize: bool) -> DataFrame:
-    """Checkpoint ``df`` when it is read twice (rows and a scalar over them).
-
-    The scalar subquery is planned on its own: with a filter pushed into it,
-    it would rescan every source table. A checkpoint of the (small, already
-    aggregated) input lets both reads use the same stored rows.
-    """
-    return df.checkpoint(eager=True) if materialize else df
-
-
-def rebase(df: DataFrame, time_col: str, base, value: str, out: str, materialize: bool = True) -> DataFrame:
+def rebase(df: DataFrame, time_col: str, base, value: str, out: str) -> DataFrame:
     """Index with value 100 at the base period."""
-    df = _once(df, materialize)
     return df.withColumn(out, pct(value, base_value(df, time_col, base, value)))
 
 
@@ -162,9 +154,9 @@ def grouped_corr(df: DataFrame, keys: str | Sequence[str], x: str, y: str, out:
     return df.groupBy(*_keys(keys)).agg(pearson(x, y).alias(out))
 
 
-def latest(df: DataFrame, time_col: str, materialize: bool = True) -> DataFrame:
-    """Rows of the latest period (global max, as a scalar subquery)."""
-    df = _once(df, materialize)
+def latest(df: DataFrame, time_col: str) -> DataFrame:
+    """Rows of the latest period (global max, as a scalar subquery over the
+    same plan, whose shuffle Spark reuses)."""
     return df.filter(F.col(time_col) == df.agg(F.max(time_col)).scalar())
 
 

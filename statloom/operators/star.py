@@ -5,8 +5,8 @@ All of it is joins and aggregates on keys:
 
 * ``first_wins`` is a ``groupBy(keys)`` with ``min_by`` (partial aggregation on
   the map side, so a hot key does not pile up in one task);
-* ``insert_or_ignore`` is a null-safe ``left_anti`` join against the stored
-  facts (sort-merge on the keys; NULL key parts match each other);
+* ``insert_or_ignore`` is a ``left_anti`` join against the stored facts on the
+  keys (``=`` where a key part can't be NULL, ``<=>`` where it can);
 * ``extend_dimension`` anti-joins the batch's distinct members against the
   dimension and numbers the new ones after the current maximum id.
 """
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.operators.joins import maybe_broadcast, null_safe_keys
+from statloom.operators.joins import key_condition
 from statloom.operators.ranking import global_rank
 
 
@@ -34,11 +34,14 @@ def first_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 
-def anti_join_null_safe(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing`` (NULL = NULL)."""
+def anti_join_null_safe(
+    batch: DataFrame, existing: DataFrame, keys: Sequence[str], nullable: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``existing`` (NULL = NULL in the
+    ``nullable`` key parts; all, if not given)."""
     ex = existing.select(*keys).alias("_ex")
     b = batch.alias("_b")
-    return b.join(ex, null_safe_keys(b, ex, keys), "left_anti").select(*[F.col(f"_b.`{c}`").alias(c) for c in batch.columns])
+    return b.join(ex, key_condition(b, ex, keys, nullable), "left_anti").select(*[F.col(f"_b.`{c}`").alias(c) for c in batch.columns])
 
 
 def insert_or_ignore(
@@ -46,11 +49,12 @@ def insert_or_ignore(
     batch: DataFrame,
     keys: Sequence[str],
     order_cols: Sequence[str] = (),
+    nullable: Sequence[str] | None = None,
 ) -> DataFrame:
     """New rows to append: the batch deduplicated first-wins, minus keys that
     already exist. Existing rows are never replaced (first write wins)."""
     dedup = first_wins(batch, keys, order_cols) if order_cols else batch.dropDuplicates(list(keys))
-    return anti_join_null_safe(dedup, existing, keys)
+    return anti_join_null_safe(dedup, existing, keys, nullable)
 
 
 def extend_dimension(
@@ -69,7 +73,9 @@ def extend_dimension(
     """
     keys, attrs, order_cols = list(keys), list(attrs), list(order_cols)
     members = first_wins(batch.select(*keys, *attrs, *order_cols), keys, order_cols)
-    new = anti_join_null_safe(members, existing, keys)
+    new = anti_join_null_safe(members, existing, keys).checkpoint(eager=True)
+    if new.isEmpty():  # nothing to number
+        return new.select(F.lit(0).cast("long").alias(id_col), *keys, *attrs)
     start = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()
     ranked = global_rank(new, order_cols + keys, out="_pos")
     return ranked.select(
@@ -82,14 +88,13 @@ def attach_ids(
 ) -> DataFrame:
     """Replace dimension members by their ids (inner join on the members).
 
-    The dimension is broadcast when a bounded count proves it small;
-    otherwise this is a sort-merge join (null-safe keys plan as one too)."""
-    d = maybe_broadcast(dim.select(id_col, *keys))
+    Spark chooses the join from the dimension's measured size."""
+    d = dim.select(id_col, *keys)
     if not null_safe:
         return facts.join(d, list(keys))
     f = facts.alias("_f")
     dd = d.alias("_d")
-    out = f.join(dd, null_safe_keys(f, dd, keys), "inner")
+    out = f.join(dd, key_condition(f, dd, keys), "inner")
     return out.select(*[F.col(f"_f.`{c}`").alias(c) for c in facts.columns], F.col(f"_d.{id_col}"))
 
 
@@ -115,3 +120,26 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None
     dk = dim_key or fact_key
     d = dim.select(F.col(dk).alias("_dk"))
     return fact.join(d, fact[fact_key] == d["_dk"], "left_anti")
+
+
+def constraint_counts(fact: DataFrame, required: Sequence[str], foreign: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows (check, n_rows): NOT NULL violations of ``required`` columns and
+    orphans of ``foreign`` keys (column -> (dimension, its key)).
+
+    One scan of the facts and one join: each row gives a (check, value) pair
+    for every constraint, pairs are counted first (a partial aggregate, so a
+    value that a third of all rows hold is one row per task), and the counted
+    pairs are looked up among the allowed ones. A NULL foreign key has no
+    dimension row, so it counts as an orphan."""
+    spark = fact.sparkSession
+    present = F.lit("present")
+    pairs = [(f"null_{c}", F.when(F.col(c).isNotNull(), present)) for c in required]
+    pairs += [(f"orphan_{k}", F.col(k).cast("string")) for k in foreign]
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("check"), v.alias("value")) for n, v in pairs])).alias("p")
+    counted = fact.select(each).groupBy(F.col("p.check").alias("check"), F.col("p.value").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    allowed = spark.createDataFrame([(f"null_{c}", "present") for c in required], "check string, value string")
+    for k, (dim, dim_key) in foreign.items():
+        allowed = allowed.unionByName(dim.select(F.lit(f"orphan_{k}").alias("check"), F.col(dim_key).cast("string").alias("value")).distinct())
+    broken = counted.join(allowed, ["check", "value"], "left_anti").groupBy("check").agg(F.sum("n").alias("n"))
+    checks = spark.createDataFrame([(n,) for n, _ in pairs], "check string")
+    return checks.join(broken, "check", "left").select("check", F.coalesce("n", F.lit(0)).alias("n_rows"))

@@ -14,9 +14,9 @@ on them unchanged:
   ship year; indicator = return flag, sex level = line status, age group =
   line number)
 
-Dimensions go through ``join_small`` (broadcast after a bounded row count);
-fact-to-fact joins (lineitem x orders) are left to a sort-merge join, which AQE
-re-plans from measured sizes.
+No join is hinted: Spark broadcasts dimensions whose files are small, AQE those
+it has measured to be small, and larger ones (and fact-to-fact joins) are
+sort-merge joins, split by AQE where a key is hot.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.operators.joins import join_small
 from statloom.sources.tables import Tables
 
 
@@ -32,9 +31,7 @@ def _star(fact: DataFrame, periods: DataFrame, indicators: DataFrame, regions: D
     per = periods.select("id_periodo", "anio")
     ind = indicators.select("id_indicador", F.col("nombre").alias("indicador"))
     reg = regions.select("id_geografia", F.col("nombre").alias("comunidad"))
-    out = join_small(fact, reg, "id_geografia")
-    out = join_small(out, per, "id_periodo")
-    return join_small(out, ind, "id_indicador")
+    return fact.join(reg, "id_geografia").join(per, "id_periodo").join(ind, "id_indicador")
 
 
 def salaries_block(wages: DataFrame, periods, indicators, regions) -> DataFrame:
@@ -74,8 +71,7 @@ def testdata_salaries(t: Tables) -> DataFrame:
     orders = t.orders.select("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
     customer = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    out = orders.join(customer, "o_custkey")
-    out = join_small(out, nation, "c_nationkey")
+    out = orders.join(customer, "o_custkey").join(nation, "c_nationkey")
     return out.select(
         F.col("o_totalprice").alias("salario"),
         F.col("n_name").alias("comunidad"),
@@ -106,8 +102,7 @@ def testdata_employment(t: Tables) -> DataFrame:
     )
     supplier = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nation = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    out = join_small(lines, supplier, "l_suppkey")
-    out = join_small(out, nation, "s_nationkey")
+    out = lines.join(supplier, "l_suppkey").join(nation, "s_nationkey")
     return out.select(
         F.col("l_discount").alias("valor_empleo"),
         F.col("n_name").alias("comunidad"),

@@ -3,15 +3,25 @@
 One Spark job per step instead of one lookup per observation:
 
 1. route each table code to its family and fact table (join with the fixed
-   7-row routing table; unknown codes are rejected);
+   7-row routing table);
 2. parse the series name by position, apply each family's series filters,
    name the indicator;
 3. flatten series x observations (``posexplode``; no observations, no rows);
 4. get-or-create the three dimensions (anti-join + new ids);
 5. attach dimension ids, reject rows breaking NOT NULL, and insert-or-ignore
-   into the fact tables (null-safe keys; first occurrence wins in a batch).
-
-Rejected rows are kept with a reason (nothing is dropped silently).
+   into the fact tables (first occurrence wins in a batch).
+
+Nothing is dropped silently: a series that is not loaded has a status, an
+observation that is not loaded a reject reason.
+
+    bad_document   the text is no series document (its text is kept)
+    bad_data       the document's observations can't be read (text kept)
+    unmapped_code  no family has the table code
+    short_name     the name has fewer parts than its layout needs
+    filtered       the family doesn't load this series (see ``labels``)
+    null_year      the observation has no readable year
+    bad_period     its period code is there but means no period
+    null_<column>  a column of the fact that can't be NULL is
 """
 
 from __future__ import annotations
@@ -19,14 +29,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions import labels as L
 from statloom.functions.names import name_parts
 from statloom.functions.periods import month_or_code, normalise_period
 from statloom.operators import star
-from statloom.schemas import FACT_KEYS, FACT_REQUIRED, FACT_SCHEMAS
+from statloom.schemas import BAD_RECORD, FACT_KEYS, FACT_REQUIRED, FACT_SCHEMAS
 
 ORDER = ["load_order", "series_pos", "obs_pos"]
 
@@ -36,19 +46,17 @@ def routing_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "table_code int, family string, fact_table string, load_order int")
 
 
-def route(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(routed series, rejected series with reason ``unmapped_code``)."""
-    routes = F.broadcast(routing_table(raw.sparkSession))  # fixed 7 rows
-    joined = raw.join(routes, "table_code", "left")
-    routed = joined.filter(F.col("family").isNotNull())
-    rejected = joined.filter(F.col("family").isNull()).select(
-        "table_code", "series_pos", "Nombre", F.lit("unmapped_code").alias("reject_reason")
-    )
-    return routed, rejected
+def route(raw: DataFrame) -> DataFrame:
+    """Raw series with family, fact table and load order; NULL where no family
+    has the code, so that the series stays and can be reported."""
+    if BAD_RECORD not in raw.columns:
+        raw = raw.withColumn(BAD_RECORD, F.lit(None).cast("string"))
+    return raw.join(F.broadcast(routing_table(raw.sparkSession)), "table_code", "left")  # fixed 7 rows
 
 
 def parse_series(routed: DataFrame) -> DataFrame:
-    """Series-level columns: dimensions by position, filter flag, indicator."""
+    """Series-level columns: dimensions by position, indicator, and the status
+    that says why a series is not loaded (NULL: it is)."""
     df = routed.withColumn("parts", name_parts("Nombre"))
     df = df.withColumns({f: L.field(f) for f in L.FIELDS})
     code = F.col("table_code")
@@ -66,6 +74,7 @@ def parse_series(routed: DataFrame) -> DataFrame:
         )
 
     too_short = F.coalesce(F.size("parts"), F.lit(0)) < L.required_parts(code)
+    bad = F.col(BAD_RECORD)
     return df.select(
         "table_code", "series_pos", "load_order", "family", "fact_table", "Nombre", "Data",
         F.coalesce(F.col("geografia"), F.lit(L.NATIONAL)).alias("geografia"),
@@ -79,22 +88,47 @@ def parse_series(routed: DataFrame) -> DataFrame:
         F.when(fam == "employment", F.col("grupo_edad")).alias("grupo_edad"),
         F.when(fam == "employment", F.col("tipo_jornada")).alias("tipo_jornada"),
         F.when(fam == "employment", F.col("tipo_contrato")).alias("tipo_contrato"),
-        F.when(too_short, F.lit("short_name"))
+        # reads Data too: a reader that is not asked for a field does not notice that it is broken
+        F.when(bad.isNotNull() & F.col("Nombre").isNotNull() & F.col("Data").isNull(), F.lit("bad_data"))
+        .when(bad.isNotNull(), F.lit("bad_document"))
+        .when(fam.isNull(), F.lit("unmapped_code"))
+        .when(too_short, F.lit("short_name"))
         .when(~F.coalesce(by_family("keep"), F.lit(False)), F.lit("filtered"))
         .alias("series_status"),
+        BAD_RECORD,
     )
 
 
+def whole_number(text: Column) -> Column:
+    """Integer written as such or as a float (``19``, ``19.0``); NULL if it is neither."""
+    number = text.try_cast("double")
+    return F.when((number == F.floor(number)) & (F.abs(number) < 1e9), number.cast("int"))
+
+
+#: Stands for a period code that is there but can't be read; it means no period.
+UNREADABLE = -1
+
+
 def observations(series: DataFrame) -> DataFrame:
-    """Series x observations with typed year, period code and value."""
+    """Series x observations with typed year, period code and value.
+
+    The period key has two spellings. In the prices tables a 0 counts as
+    missing, so the other spelling is read; elsewhere 0 is a code like any
+    other (and means no period). Only a missing code is an annual period: one
+    that is there but unreadable is not.
+    """
     obs = series.select("*", F.posexplode("Data").alias("obs_pos", "d")).drop("Data")
     d = F.col("d")
-    fk = F.coalesce(F.nullif(d["FK_Periodo"], F.lit("0")), d["Fk_Periodo"]).try_cast("int")
+    first, second = d["FK_Periodo"], d["Fk_Periodo"]
+    zero = (F.col("family") == "prices") & (whole_number(first) == 0)
+    text = F.coalesce(F.when(~F.coalesce(zero, F.lit(False)), first), second)
+    text = F.when((F.col("family") == "prices") & (whole_number(text) == 0), F.lit(None)).otherwise(text)
+    fk = F.when(text.isNotNull(), F.coalesce(whole_number(text), F.lit(UNREADABLE)))
     monthly = F.col("table_code") == F.lit(L.CPI)
     month, code = month_or_code(monthly, fk)
     return obs.select(
         "*",
-        normalise_period(d["Anyo"].try_cast("int"), month, code).alias("period"),
+        normalise_period(whole_number(d["Anyo"]), month, code).alias("period"),
         d["Valor"].try_cast("double").alias("valor"),
     ).drop("d")
 
@@ -103,31 +137,28 @@ def observations(series: DataFrame) -> DataFrame:
 class Batch:
     series: DataFrame  # kept series
     obs: DataFrame  # observations of kept series with a valid period
-    rejects: DataFrame  # (table_code, series_pos, obs_pos, reject_reason)
-
-
-def prepare(raw: DataFrame) -> Batch:
-    routed, unmapped = route(raw)
-    parsed = parse_series(routed)
-    kept = parsed.filter(F.col("series_status").isNull())
-    bad_series = parsed.filter(F.col("series_status") == "short_name").select(
-        "table_code", "series_pos", "Nombre", F.col("series_status").alias("reject_reason")
+    rejects: DataFrame  # (table_code, series_pos, Nombre, reject_reason, obs_pos, raw)
+    filtered: DataFrame  # series that their family doesn't load (table_code, series_pos, Nombre)
+
+
+def prepare(raw: DataFrame, keep=lambda df: df) -> Batch:
+    """Parse a batch. ``keep`` materialises a frame that is read several times
+    (for example ``lambda df: df.checkpoint()``): the raw text is then parsed once."""
+    parsed = keep(parse_series(route(raw)))
+    status = F.col("series_status")
+    obs = keep(observations(parsed.filter(status.isNull())))
+    none = F.lit(None)
+    bad_series = parsed.filter(status.isNotNull() & (status != "filtered")).select(
+        "table_code", "series_pos", "Nombre", status.alias("reject_reason"), none.cast("int").alias("obs_pos"), F.col(BAD_RECORD).alias("raw")
     )
-    obs = observations(kept)
     bad_period = obs.filter(~F.col("period.period_ok")).select(
         "table_code", "series_pos", "Nombre",
-        F.when(F.col("period.anio").isNull(), F.lit("null_year")).otherwise(F.lit("bad_period")).alias(
-            "reject_reason"
-        ),
-        "obs_pos",
-    )
-    rejects = (
-        unmapped.withColumn("obs_pos", F.lit(None).cast("int"))
-        .unionByName(bad_series.withColumn("obs_pos", F.lit(None).cast("int")))
-        .unionByName(bad_period)
+        F.when(F.col("period.anio").isNull(), F.lit("null_year")).otherwise(F.lit("bad_period")).alias("reject_reason"),
+        "obs_pos", none.cast("string").alias("raw"),
     )
     good = obs.filter(F.col("period.period_ok")).select("*", "period.*").drop("period", "period_ok")
-    return Batch(kept, good, rejects)
+    filtered = parsed.filter(status == "filtered").select("table_code", "series_pos", "Nombre")
+    return Batch(parsed.filter(status.isNull()), good, bad_series.unionByName(bad_period), filtered)
 
 
 def dimension_batches(b: Batch) -> dict[str, DataFrame]:
@@ -205,28 +236,44 @@ class StarStore:
         return {t: self.read(t) for t in [*DIMENSIONS, *FACT_SCHEMAS]}
 
 
+#: Distinct indicators of a batch up to which stored facts are pruned by their values.
+MAX_PRUNED = 10_000
+
+
+def stored_facts(store: StarStore, table: str, batch: DataFrame) -> DataFrame:
+    """The stored facts that a batch can collide with: those of its indicators.
+
+    Facts are partitioned by indicator, so only the folders of these indicators
+    are read. Indicators are members of a dimension; beyond ``MAX_PRUNED`` of
+    them the stored side is narrowed by a semi-join instead of by values.
+    """
+    stored = store.read(table)
+    ids = batch.select("id_indicador").distinct()
+    found = [r[0] for r in ids.limit(MAX_PRUNED + 1).collect()]
+    if len(found) > MAX_PRUNED:
+        return stored.join(ids, "id_indicador", "left_semi")
+    return stored.filter(F.col("id_indicador").isin(found)) if found else stored.limit(0)
+
+
 def load(raw: DataFrame, store: StarStore) -> dict[str, DataFrame]:
-    """Load one batch of raw series into the store. Returns the rejects.
+    """Load one batch of raw series into the store. Returns what was not loaded:
+    rejects per kind, and the filtered series.
 
-    The parsed series and observations are checkpointed once (shared folder):
-    three dimension writes and three fact writes then read them instead of
-    parsing the raw JSON six times, and a lost executor does not send the
-    later writes back to the raw files.
+    The parsed series and the observations are checkpointed once (shared
+    folder): three dimension writes, three fact writes and the rejects read
+    them instead of parsing the raw JSON again, and a lost executor does not
+    send the later writes back to the raw files.
     """
-    b = prepare(raw)
-    b = Batch(
-        series=b.series.drop("Data").checkpoint(eager=True),
-        obs=b.obs.checkpoint(eager=True),
-        rejects=b.rejects,
-    )
+    b = prepare(raw, keep=lambda df: df.checkpoint(eager=True))
     for table, cand in dimension_batches(b).items():
         keys, id_col, attrs = DIMENSIONS[table]
         new = star.extend_dimension(store.read(table), cand, keys, id_col, ORDER, attrs)
         store.append(table, new)
     dims = {t: store.read(t) for t in DIMENSIONS}
-    rejects = {"series": b.rejects}
+    rejects = {"series": b.rejects, "filtered": b.filtered}
     for table, (good, bad) in fact_batches(b, dims).items():
-        new = star.insert_or_ignore(store.read(table), good, FACT_KEYS[table], ORDER)
+        nullable = [k for k in FACT_KEYS[table] if k not in FACT_REQUIRED[table]]
+        new = star.insert_or_ignore(stored_facts(store, table, good), good, FACT_KEYS[table], ORDER, nullable)
         store.append(table, new.select(*FACT_SCHEMAS[table].fieldNames()))
         rejects[table] = bad
     return rejects
@@ -244,22 +291,12 @@ def quality_report(store: StarStore) -> DataFrame:
     """Rows (table, check, n_rows): NOT NULL violations and orphan foreign
     keys of every fact table (the declared but unenforced constraints)."""
     tables = store.tables()
-    parts = []
+    out = None
     for fact in FACT_SCHEMAS:
-        df = tables[fact]
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in FACT_REQUIRED[fact]])
-        parts.append(
-            nulls.unpivot([], [f"null_{c}" for c in FACT_REQUIRED[fact]], "check", "n_rows")
-            .withColumn("table", F.lit(fact))
-        )
-        for fk, (dim, dk) in FOREIGN_KEYS.items():
-            orphan = star.orphans(df.select(fk), tables[dim], fk, dk)
-            parts.append(orphan.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(fact).alias("table"), F.lit(f"orphan_{fk}").alias("check"), "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table", "check", "n_rows")
+        dims = {fk: (tables[dim], dk) for fk, (dim, dk) in FOREIGN_KEYS.items()}
+        part = star.constraint_counts(tables[fact], FACT_REQUIRED[fact], dims).select(F.lit(fact).alias("table"), "check", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def land_series_files(spark: SparkSession, src: str, dst: str) -> None:
@@ -267,4 +304,5 @@ def land_series_files(spark: SparkSession, src: str, dst: str) -> None:
     Lines landing form (with ``table_code`` and ``series_pos``)."""
     from statloom.sources.series_json import read_series_files
 
+    # the writer leaves NULL fields out, so good documents carry no _bad_record
     read_series_files(spark, src).write.mode("append").json(dst)

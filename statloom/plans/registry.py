@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_queries():
-    from statloom.plans import ingest_queries, testdata  # noqa: F401  (registration)
+    from statloom.plans import ingest_queries, series_queries, testdata  # noqa: F401  (registration)
 
     return dict(testdata.REGISTRY)

@@ -30,8 +30,13 @@ RAW_SERIES = StructType(
     ]
 )
 
+# Text of a document that could not be read with the schema, in whole or in part.
+BAD_RECORD = "_bad_record"
 # Same document without the landing fields (a downloaded table file).
 RAW_SERIES_FILE = StructType([_f("Nombre", StringType()), _f("Data", ArrayType(MapType(StringType(), StringType())))])
+# What the readers produce: a document that breaks the schema keeps its text.
+READ_SERIES = StructType([*RAW_SERIES.fields, _f(BAD_RECORD, StringType())])
+READ_SERIES_FILE = StructType([*RAW_SERIES_FILE.fields, _f(BAD_RECORD, StringType())])
 
 PERIOD = StructType(
     [

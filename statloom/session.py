@@ -11,7 +11,10 @@ Settings that matter at scale:
   shuffle partitions towards an advisory size, and scans split files at a
   fixed byte size, so tasks stay within executor memory at any scale.
 * The checkpoint folder is read from the session (``spark.checkpoint.dir``).
-  Only when it is unset (local tests) is a scratch folder created.
+  Only when it is unset and the master is local (tests) is a scratch folder
+  created; on a cluster a missing setting is an error, because executors don't
+  share the driver's disk.
+* Checkpoint files are removed when nothing refers to them any more.
 
 Every default below is applied only where the cluster's configuration does
 not already set the key.
@@ -29,6 +32,8 @@ _SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a side is broadcast once its shuffled size has been measured to be below this
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -45,6 +50,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -70,12 +76,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; create a scratch one only when unset."""
+    """Return the checkpoint folder; create a scratch one only when it is unset and the master is local."""
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="statloom-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
@@ -86,6 +95,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])
 
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -9,55 +9,92 @@ Two landing forms:
   lone series object. These are read whole per file (``multiLine``); the table
   code comes from the file name and the series position from the row order
   inside the file.
+
+A document that breaks the declared schema is not lost: the fields that could
+be read are kept and its text is in ``_bad_record`` (NULL for good documents).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.schemas import RAW_SERIES, RAW_SERIES_FILE
+from statloom.schemas import BAD_RECORD, READ_SERIES, READ_SERIES_FILE
+
+#: Options of every reader of raw documents (batch and stream).
+KEEP_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
 
 
 def read_series_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_SERIES).json(path)
+    return spark.read.schema(READ_SERIES).options(**KEEP_BAD).json(path)
 
 
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     """``<code>.json`` files: array of series or a lone object per file."""
-    df = spark.read.schema(RAW_SERIES_FILE).option("multiLine", True).json(path)
-    return files_to_series(df.select("Nombre", "Data", F.col("_metadata.file_name").alias("file_name")))
+    df = spark.read.schema(READ_SERIES_FILE).options(**KEEP_BAD).option("multiLine", True).json(path)
+    return files_to_series(df.select("Nombre", "Data", BAD_RECORD, F.col("_metadata.file_name").alias("file_name")))
 
 
 def files_to_series(df: DataFrame) -> DataFrame:
     """(Nombre, Data, file_name) rows of table files -> the landing form."""
     # the table code is the last number in the file name: 50913.json, tabla_50913.json
     code = F.regexp_extract(F.col("file_name"), r"(\d+)(?=\D*$)", 1)
+    bad = F.col(BAD_RECORD) if BAD_RECORD in df.columns else F.lit(None).cast("string")
     # A multiLine file is one task, so the id follows the order in the file.
     return df.select(
         F.when(code != "", code.cast("int")).alias("table_code"),
         F.monotonically_increasing_id().alias("series_pos"),
         "Nombre",
         "Data",
+        bad.alias(BAD_RECORD),
     )
 
 
+# ------------------------------------------------------------------ schema report
+
+#: Name of a variant's SQL type -> JSON type.
+_TYPES = {"OBJECT": "object", "ARRAY": "array", "BOOLEAN": "bool", "BIGINT": "int", "DOUBLE": "float", "FLOAT": "float", "STRING": "string", "VOID": "null"}
+#: Levels of objects and arrays below a document: a file's array, its series, their observations, their fields.
+DEPTH = 4
+
+
+def _kind(v: Column) -> Column:
+    """JSON type of a variant value; whole numbers are int whatever their size."""
+    name = F.schema_of_variant(v)
+    out = F.when(name.startswith("DECIMAL"), F.when(name.endswith(",0)"), F.lit("int")).otherwise(F.lit("float")))
+    for prefix, kind in _TYPES.items():
+        out = out.when(name.startswith(prefix), F.lit(kind))
+    return out
+
+
 def schema_report(df: DataFrame, json_col: str, group_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Merged schema of a JSON text column over all rows (per group).
+    """Types of every path of a JSON text column over all rows (per group).
+
+    Rows (group columns, path, type, n): how many values a path has of each
+    JSON type (object, array, bool, int, float, string, null). Paths are like
+    ``$``, ``$.Data``, ``$.Data[]`` (elements of an array) and
+    ``$.Data[].Valor``, ``DEPTH`` levels deep. One more row per group has the
+    type ``invalid`` and no path: the texts that are not JSON (NULL included).
 
-    ``schema_of_variant_agg`` merges field types across every row with a
-    partial aggregate per task, so no row set is gathered in one place.
+    The result has a row per path and type, and the counting has a partial
+    aggregate: no value grows with the number of documents.
     """
-    parsed = F.try_parse_json(F.col(json_col))
-    agg = F.schema_of_variant_agg(parsed).alias("schema")
-    cnt = F.count(F.lit(1)).alias("n_rows")
-    if group_cols:
-        return df.groupBy(*group_cols).agg(agg, cnt)
-    return df.agg(agg, cnt)
-
-
-def series_schema_report(spark: SparkSession, path: str) -> DataFrame:
-    """Merged schema of raw series documents in JSON Lines files, over every
-    document (the reference looked at the first document only)."""
-    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    return schema_report(lines, "value")
+    keys = list(group_cols)
+    level = df.select(*keys, F.lit("$").alias("path"), F.try_parse_json(F.col(json_col)).alias("v"))
+    invalid = (level.groupBy(*keys) if keys else level).agg(F.count_if(F.col("v").isNull()).alias("n"))
+    found = level = level.filter(F.col("v").isNotNull())
+    for _ in range(DEPTH):
+        inner = level.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
+        step = F.when(F.col("key").isNull(), F.lit("[]")).otherwise(F.concat(F.lit("."), F.col("key")))
+        level = inner.select(*keys, F.concat("path", step).alias("path"), F.col("value").alias("v"))
+        found = found.unionByName(level)
+    counts = found.groupBy(*keys, "path", _kind(F.col("v")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(invalid.select(*keys, F.lit(None).cast("string").alias("path"), F.lit("invalid").alias("type"), "n"))
+
+
+def series_schema_report(spark: SparkSession, path: str, files: bool = False) -> DataFrame:
+    """Types of every path of raw series documents, over every document (the
+    reference looked at the first one only): JSON Lines, one document a line,
+    or with ``files`` whole ``<code>.json`` files (an array or a lone object)."""
+    texts = spark.read.text(path, wholetext=files).filter(F.length(F.trim("value")) > 0)
+    return schema_report(texts, "value")

@@ -5,8 +5,10 @@ batch runs the same load as the batch path (get-or-create dimensions,
 insert-or-ignore facts) through ``foreachBatch``. Because the load ignores
 keys that are already stored, a micro-batch replayed after a failure (the
 sink is at-least-once) leaves the tables unchanged: the result is
-exactly-once. The stream's progress lives in the checkpoint location, which
-must be in the shared folder.
+exactly-once. The stream's progress lives in the checkpoint location. It has
+to be named, must be in a shared folder, and must be the same at each start,
+or the stream would begin anew. Rejects are written per batch, so a replayed
+batch overwrites its own.
 """
 
 from __future__ import annotations
@@ -16,16 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statloom.plans import ingest
-from statloom.schemas import RAW_SERIES, RAW_SERIES_FILE
-from statloom.sources.series_json import files_to_series
-from statloom.session import shared_path
+from statloom.schemas import BAD_RECORD, READ_SERIES, READ_SERIES_FILE
+from statloom.sources.series_json import KEEP_BAD, files_to_series
 
 
 def start_landing_stream(
     spark: SparkSession,
     landing_dir: str,
     star_root: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     rejects_dir: str | None = None,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
@@ -36,12 +37,12 @@ def start_landing_stream(
     ``files=True`` reads downloaded ``<code>.json`` table files (one JSON
     document each) instead of JSON Lines.
     """
-    reader = spark.readStream.schema(RAW_SERIES_FILE if files else RAW_SERIES)
+    reader = spark.readStream.schema(READ_SERIES_FILE if files else READ_SERIES).options(**KEEP_BAD)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if files:
         raw = reader.option("multiLine", True).json(landing_dir).select(
-            "Nombre", "Data", F.col("_metadata.file_name").alias("file_name")
+            "Nombre", "Data", BAD_RECORD, F.col("_metadata.file_name").alias("file_name")
         )
     else:
         raw = reader.json(landing_dir)
@@ -56,8 +57,6 @@ def start_landing_stream(
             for name, df in rejects.items():
                 df.write.mode("overwrite").parquet(f"{rejects_dir.rstrip('/')}/{name}/batch_id={batch_id}")
 
-    writer = raw.writeStream.foreachBatch(load_batch).option(
-        "checkpointLocation", checkpoint or shared_path(spark, "statloom-streams", "landing")
-    )
+    writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -27,7 +27,7 @@ def test_schema_command(spark, scratch, capsys):
     args = parser().parse_args(["schema", "--series", sf.write_lines(scratch + "/land")])
     text = COMMANDS[args.cmd](spark, args)
     n_docs = sum(len(v) for v in sf.series_by_code().values())
-    assert text.startswith(f"{n_docs} documents") and "Nombre" in capsys.readouterr().out
+    assert f"$\tobject\t{n_docs}" in text and "$.Nombre\tstring" in capsys.readouterr().out
 
 
 def test_stream_command_once(spark, scratch):

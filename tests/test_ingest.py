@@ -1,5 +1,8 @@
 """Ingest: routing, name parsing, periods, dimensions, insert-or-ignore."""
 
+import json
+import os
+
 import series_fixture as sf
 from pyspark.sql import functions as F
 
@@ -97,13 +100,69 @@ def test_empty_batch_loads_nothing(spark, scratch):
     assert all(df.count() == 0 for df in store.tables().values())
 
 
-def test_series_schema_report_merges_all_documents(spark, scratch):
+def test_series_schema_report_counts_every_path(spark, scratch):
     from statloom.sources.series_json import series_schema_report
 
+    n = sum(len(v) for v in sf.series_by_code().values())
     folder = sf.write_lines(scratch + "/land")
-    (row,) = series_schema_report(spark, folder).collect()
-    assert row.n_rows == sum(len(v) for v in sf.series_by_code().values())
-    assert "Fk_Periodo" in row.schema and "FK_Periodo" in row.schema and "Nombre" in row.schema
+    with open(folder + "/broken.json", "w") as fh:
+        fh.write('{"table_code": 1, "Nomb\n')
+    rows = {(r.path, r.type): r.n for r in series_schema_report(spark, folder).collect()}
+    assert rows[("$", "object")] == n and rows[("$.Nombre", "string")] == n and rows[(None, "invalid")] == 1
+    assert rows[("$.Data[].Fk_Periodo", "int")] == 2 and ("$.Data[].FK_Periodo", "int") in rows
+    assert rows[("$.Data[].Valor", "null")] == 2
+
+    files = {(r.path, r.type): r.n for r in series_schema_report(spark, sf.write_files(scratch + "/files"), files=True).collect()}
+    assert files[("$", "object")] == 1 and files[("$", "array")] == len(sf.series_by_code()) - 1
+    assert files[("$[].Nombre", "string")] + files[("$.Nombre", "string")] == n
+
+
+def _write(folder, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(folder + "/batch.json", "w", encoding="utf-8") as fh:
+        fh.write("\n".join(lines) + "\n")
+    return folder
+
+
+def _doc(code, pos, name, data):
+    return json.dumps({"table_code": code, "series_pos": pos, "Nombre": name, "Data": data}, ensure_ascii=False)
+
+
+PERCENTILE = "Total. Total Nacional. Dato base. Media."
+PRICE = "Total Nacional. General. Índice."
+
+
+def test_nothing_is_lost_silently(spark, scratch):
+    lines = [
+        '{"table_code": 28191, "series_pos": 0, "Nombre": "Total. To',  # cut off
+        _doc(28191, 1, PERCENTILE, {"Anyo": 2015}),  # an object is no list
+        _doc(28191, 2, PERCENTILE, "none"),
+        _doc(28191, 3, PERCENTILE, [sf.obs(2015, "T1", 1.0), sf.obs(2016, 0, 2.0), sf.obs(2017, 28.0, 3.0), sf.obs(2018, None, 4.0), sf.obs("x", 28, 5.0)]),
+        _doc(25171, 4, PRICE, [sf.obs(2015, 0, 6.0), sf.obs(2016, 19.0, 7.0), sf.obs(2017, "", 8.0)]),
+        _doc(28191, 5, "Total. Total Nacional. Dato base. 75.", [sf.obs(2015, 28, 9.0)]),
+    ]
+    raw = read_series_lines(spark, _write(scratch + "/land", lines))
+    store = ingest.StarStore(spark, scratch + "/star")
+    rejects = ingest.load(raw, store)
+    got = sorted((r.series_pos if r.reject_reason != "bad_document" else -1, r.obs_pos if r.obs_pos is not None else -1, r.reject_reason)
+                 for r in rejects["series"].collect())
+    assert got == [(-1, -1, "bad_document"), (1, -1, "bad_data"), (2, -1, "bad_data"), (3, 0, "bad_period"), (3, 1, "bad_period"),
+                   (3, 4, "null_year"), (4, 2, "bad_period")]
+    assert {r.raw for r in rejects["series"].collect() if r.reject_reason == "bad_document"} == {lines[0]}
+    assert [r.series_pos for r in rejects["filtered"].collect()] == [5]
+    assert sorted(r.valor for r in store.read("T_salarios").collect()) == [3.0, 4.0]
+    prices = store.read("T_precios").join(store.read("tbl_periodo"), "id_periodo")
+    assert sorted((r.anio, r.trimestre, r.valor) for r in prices.collect()) == [(2015, None, 6.0), (2016, 1, 7.0)]  # 0 counts as missing in prices only
+
+
+def test_second_load_reads_only_its_indicators(spark, scratch, capsys):
+    store, _ = _load(spark, scratch)
+    raw = read_series_lines(spark, sf.write_lines(scratch + "/again", {6061: sf.series_by_code()[6061]}))
+    batch = ingest.prepare(raw)
+    dims = {t: store.read(t) for t in ingest.DIMENSIONS}
+    good, _ = ingest.fact_batches(batch, dims)["T_salarios"]
+    ingest.stored_facts(store, "T_salarios", good).explain("formatted")
+    assert "PartitionFilters: [id_indicador" in capsys.readouterr().out
 
 
 def test_quality_report_counts_orphans(spark, scratch):

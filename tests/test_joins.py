@@ -1,29 +1,25 @@
-"""Checked broadcast: hint only when a bounded count proves the side small."""
+"""Join conditions, and that plans bring no rows of data to a single task."""
 
-from statloom.operators.joins import has_at_most, join_small
+from statloom.operators.joins import key_condition
+from statloom.plans import blocks
+from statloom.sources.tables import Tables
 
+SF = "/root/testdata/sf0.001"
 
-def test_has_at_most_bounds(spark):
-    df = spark.range(0, 1000)
-    assert has_at_most(df, 1000) and not has_at_most(df, 999)
-    assert has_at_most(df.filter("id < 0"), 0)
 
+def test_null_matches_null_only_where_nullable(spark):
+    left = spark.createDataFrame([(1, None), (2, "a"), (None, "b")], "k int, j string").alias("l")
+    right = spark.createDataFrame([(1, None), (2, "a"), (None, "b")], "k int, j string").alias("r")
+    both = left.join(right, key_condition(left, right, ["k", "j"]))
+    assert both.count() == 3
+    some = left.join(right, key_condition(left, right, ["k", "j"], nullable=["j"]))
+    assert some.count() == 2
 
-def test_join_small_hints_only_small_sides(spark, capsys):
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    join_small(big, small, "k", max_rows=100).explain(True)
-    assert "strategy=broadcast" in capsys.readouterr().out
-    join_small(big, small, "k", max_rows=5).explain(True)
-    assert "strategy=broadcast" not in capsys.readouterr().out
 
-
-def test_byte_bound_blocks_wide_rows(spark, capsys):
-    from pyspark.sql import functions as F
-
-    big = spark.range(0, 2000).withColumnRenamed("id", "k")
-    wide = spark.range(0, 10).withColumnRenamed("id", "k").withColumn("blob", F.repeat(F.lit("x"), 10_000))
-    assert has_at_most(wide, 100, max_bytes=1_000_000)
-    assert not has_at_most(wide, 100, max_bytes=50_000)
-    join_small(big, wide, "k", max_rows=100, max_bytes=50_000).explain(True)
-    assert "strategy=broadcast" not in capsys.readouterr().out
+def test_blocks_run_no_job_while_they_are_planned(spark, capsys):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    df = blocks.testdata_employment(Tables(spark, SF))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    df.explain()
+    assert "SinglePartition" not in capsys.readouterr().out

@@ -20,7 +20,8 @@ def lowess_loop(x, y, frac=2 / 3, iterations=3):
                 left += 1
             right = left + k
             h = max(xs[i] - xs[left], xs[right - 1] - xs[i])
-            d = np.abs(xs[left:right] - xs[i]) / (h if h > 0 else 1.0)
+            h = h if h > 0 else 1.0  # all points of the window share x_i
+            d = np.abs(xs[left:right] - xs[i]) / h
             w = (1 - d ** 3) ** 3 * r[left:right]
             tot = w.sum()
             if tot <= 0:
@@ -69,7 +70,7 @@ def test_matches_loop(spark, seed, n, frac, iters):
     got, want = run(spark, x, y, frac=frac, iterations=iters)
     assert len(got) == len(want)
     for (gx, gy, gf), (wx, wy, wf) in zip(got, want):
-        assert (gx, gy) == (wx, wy)
+        assert gx == wx and gy == pytest.approx(wy, rel=1e-12, abs=1e-9)
         assert gf == pytest.approx(wf, rel=1e-8, abs=1e-6)
 
 
@@ -83,23 +84,51 @@ def test_nulls_dropped_and_outlier_damped(spark):
     assert out[7.0] == pytest.approx(14.0, abs=1.0)
 
 
-def test_split_level_bounds_broadcast_nodes():
-    from statloom.operators.lowess import _split_level
+def assert_close(got, want):
+    assert len(got) == len(want)
+    for (gx, gy, gf), (wx, wy, wf) in zip(got, want):
+        assert gx == wx and gy == pytest.approx(wy, rel=1e-12, abs=1e-9)
+        assert gf == pytest.approx(wf, rel=1e-6, abs=1e-6)
 
-    assert _split_level(168, 8) == 0  # everything fits
-    t = _split_level(1_000_000, 20, cap=65_536)
-    assert sum(-(-1_000_000 // (1 << lev)) for lev in range(t, 21)) <= 65_536
-    assert sum(-(-1_000_000 // (1 << lev)) for lev in range(t - 1, 21)) > 65_536
 
+@pytest.mark.parametrize("iters", [0, 1])
+def test_isolated_points_far_from_the_rest(spark, iters):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.uniform(0, 1, 57), [999.0, 1000.0, 1001.0]])
+    y = np.concatenate([rng.normal(0, 1, 57), [1700.0, 1750.0, 1790.0]])
+    got, want = run(spark, x, y, iterations=iters)
+    assert_close(got, want)
 
-def test_matches_loop_with_shuffled_low_levels(spark, monkeypatch):
+
+@pytest.mark.parametrize("frac", [0.05, 0.4, 2 / 3, 1.0])
+def test_many_blocks(spark, monkeypatch, frac):
     import statloom.operators.lowess as lw
 
-    monkeypatch.setattr(lw, "MAX_BROADCAST_NODES", 8)  # force both join paths
-    monkeypatch.setattr(lw, "_split_level", lambda n, levels, cap=8: 3)
+    monkeypatch.setattr(lw, "BLOCK", 8)  # windows then span whole blocks and tree nodes
     rng = np.random.default_rng(5)
-    x = np.round(rng.uniform(0, 10, 60), 1)
-    y = 3 * x + rng.normal(0, 1, 60)
-    got, want = run(spark, x, y)
-    for (gx, gy, gf), (wx, wy, wf) in zip(got, want):
-        assert gf == pytest.approx(wf, rel=1e-8, abs=1e-6)
+    x = np.concatenate([np.round(rng.uniform(0, 10, 90), 1), rng.lognormal(3, 2, 40)])
+    y = 3 * x + rng.normal(0, 1, len(x))
+    got, want = run(spark, x, y, frac=frac, iterations=2)
+    assert_close(got, want)
+
+
+def test_all_x_tied_over_several_blocks(spark, monkeypatch):
+    import statloom.operators.lowess as lw
+
+    monkeypatch.setattr(lw, "BLOCK", 4)
+    y = np.arange(30.0)
+    got, want = run(spark, np.full(30, 2.0), y, iterations=1)
+    assert_close(got, want)
+
+
+def test_tree_cover_is_exact():
+    import statloom.operators.lowess as lw
+
+    n = 37
+    edges = np.arange(n, dtype=float)
+    m = np.zeros((n, lw.DEGREE))
+    m[:, 0] = 2.0 ** np.arange(n)  # each block's weight is a bit of its own
+    tree = lw.Tree(edges, edges + 0.5, m, m.copy())
+    for a in range(n):
+        for b in range(a, n):
+            assert sum(z[2][0] for z in tree.cover(a, b)) == sum(2.0**i for i in range(a, b + 1))

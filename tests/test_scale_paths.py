@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from statloom.operators import joins, star
 from statloom.sources.tables import TABLES
 from test_registry import SF, _rows
 
@@ -23,12 +22,10 @@ CLUSTER_SHAPE = {
 
 
 @pytest.fixture()
-def cluster_shape(spark, monkeypatch):
+def cluster_shape(spark):
     old = {k: spark.conf.get(k, None) for k in CLUSTER_SHAPE}
     for k, v in CLUSTER_SHAPE.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(joins, "maybe_broadcast", lambda df, *args, **kw: df)
-    monkeypatch.setattr(star, "maybe_broadcast", lambda df, *args, **kw: df)
     yield spark
     for k, v in old.items():
         if v is None:
@@ -53,7 +50,7 @@ def test_all_oracles_hold_without_broadcast(cluster_shape):
     assert bad == []
 
 
-def test_trend_same_without_broadcast(spark, monkeypatch):
+def test_trend_same_without_broadcast(spark):
     import math
 
     base = {(r.tasa_paro_media, r.salario_medio): r.trend for r in E.queries()["local_trend"](spark, SF).collect()}
@@ -61,7 +58,6 @@ def test_trend_same_without_broadcast(spark, monkeypatch):
     try:
         for k, v in CLUSTER_SHAPE.items():
             spark.conf.set(k, v)
-        monkeypatch.setattr(joins, "maybe_broadcast", lambda df, *args, **kw: df)
         shaped = {(r.tasa_paro_media, r.salario_medio): r.trend
                   for r in E.queries()["local_trend"](spark, SF).collect()}
     finally:
