@@ -36,7 +36,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEAD_PARTS = frozenset("base link meta title style script noscript template".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 TEXT_ONLY = frozenset("title textarea".split())
-HIDDEN = frozenset("head script style template iframe noembed noframes noscript object audio video canvas svg math datalist".split())
+HIDDEN = frozenset("head title rp script style template iframe noembed noframes noscript object audio video canvas svg math datalist".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl table pre listing xmp blockquote figure hr fieldset form".split())
 BLOCK = SPACED | frozenset(
     "address article aside body center dd details dialog dir div dt fieldset figcaption footer header hgroup html legend li main nav "
@@ -72,7 +72,7 @@ WIDEST = 60
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<close>>|\Z)"
+    r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"'=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[=\"'])*)(?P<close>>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>(?:[^<]|<(?![A-Za-z!?/]))+)",
     re.S,
