@@ -14,14 +14,19 @@ the one of least estimated cost, postings read plus candidates left, where at
 most (postings / k) candidates can share k tokens.
 
 1. Signatures: node and size of each document, and the bucket counts.
-2. Postings: prefix tokens, shuffled by token. Tokens of a single node go.
-   Each token names a pivot among its nodes.
-3. Pivot links: every node with its best pivot, verified exactly. This joins
+2. Postings: prefix tokens, shuffled by token. Tokens of a single node go,
+   then nodes that share fewer tokens than any link needs.
+3. Pivot links: each token names the node of most shared tokens as its pivot
+   (of a group of near copies, the one with fewest edits), and every node is
+   verified exactly with the pivot that it shares most tokens with. This joins
    large groups of near copies with one pair per node.
 4. Remaining links: all pairs of nodes *in different components* that share
    enough prefix tokens, verified exactly. Pairs inside a component can't
-   change it, so no link between components is lost, and a group of near
-   copies is never expanded into pairs. ``similar_pairs`` lists all pairs.
+   change it, so no link between components is lost. At a token, a pair goes
+   on only if both nodes' lists of shared tokens can have enough in common:
+   parity bits of the lists differ in at most as many places as the lists
+   differ in tokens, which bounds the overlap from above. Large token groups
+   are split into pairs of blocks. ``similar_pairs`` lists all pairs instead.
 5. Components of the links, and the smallest doc_id of each.
 
 Verification reads the full token sets of both nodes. Sets are rebuilt from
@@ -50,8 +55,18 @@ BLOCK_ROWS = 1 << (64 - TOKEN_BITS)
 BUCKETS = 1 << 20
 NODE_BITS = 1 << 23
 SLICES = 64
-#: Cost of verifying a candidate, in postings.
-VERIFY_COST = 4.0
+#: Cost of comparing two sets, in postings for each of their tokens.
+VERIFY_COST = 0.5
+#: Documents that share a token which the bucket counts show nothing of.
+UNSEEN = 0.02
+#: Every multiplicity is at least this part (a tenth) of the set, so that partners can rely on it.
+LEAST_PART = 10
+#: Bytes of text that are cut into sets at a time.
+BLOCK_BYTES = 2 << 20
+#: Nodes of a block of a token group.
+GROUP_NODES = 2048
+#: Postings of a part in which pairs are looked for, and the least number of parts.
+PART_POSTINGS, LEAST_PARTS = 500_000, 16
 #: Tokens of one group of postings.
 GROUP_TOKENS = 1 << 21
 
@@ -103,7 +118,7 @@ _SIGNATURE = "doc_id long, node long, n int, slice int, counts binary"
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
-    for block in flat.blocks(batches, rows=BLOCK_ROWS):
+    for block in flat.blocks(batches, size=BLOCK_BYTES, rows=BLOCK_ROWS):
         sets = Sets(block)
         fresh = np.zeros(block.num_rows, bool)
         fresh[sets.distinct_rows()] = True
@@ -123,11 +138,11 @@ def _add_counts(table: pa.Table) -> pa.Table:
 
 
 def _levels(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(level, estimated frequency) of each bucket: 0 and 1 for what random tokens would fill it with."""
+    """(level, documents beyond the first) of each bucket: the level is 0 where random tokens would fill it as much."""
     usual = float(np.median(counts))
     often = counts - usual
     often[often < 5 * np.sqrt(usual + 1)] = 0
-    return np.ceil(np.log2(often + 1)).astype(np.uint8), (often + 1).astype(np.float32)
+    return np.ceil(np.log2(often + 1)).astype(np.uint8), np.maximum(often, UNSEEN).astype(np.float32)
 
 
 # ------------------------------------------------------------------ 2. postings
@@ -138,20 +153,22 @@ def needed(n, m, percent: int):
     return -(-percent * (n + m) // (100 + percent))
 
 
-def choose_prefix(size: np.ndarray, first: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+def choose_prefix(size: np.ndarray, first: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
     """Prefix length of each row: its multiplicity k has the least estimated cost.
 
-    ``often`` are the estimated frequencies of all tokens, each row's in prefix order.
+    ``others`` estimates, for every token in prefix order, how many more
+    documents have it. A prefix costs its own postings, and the candidates
+    that may share k of its tokens: at most (others in the prefix) / k, each
+    at the cost of comparing two whole sets.
     """
-    total = np.concatenate([[0.0], np.cumsum(often, dtype=np.float64)])
+    total = np.concatenate([[0.0], np.cumsum(others, dtype=np.float64)])
     must = -(-percent * size // 100)  # tokens that a partner must share at least
     best, best_cost = size, np.full(len(size), np.inf)
     k = 1
-    while k <= max(1, int(must.max(initial=0))):
-        use = np.minimum(k, np.maximum(must, 1))
+    while k < 2 * max(1, int(must.max(initial=0))):
+        use = np.minimum(np.maximum(k, size // LEAST_PART), np.maximum(must, 1))
         length = np.minimum(size - must + use, size)
-        scan = total[first[:-1] + length] - total[first[:-1]]
-        cost = scan + VERIFY_COST * scan / use
+        cost = length + VERIFY_COST * size * (total[first[:-1] + length] - total[first[:-1]]) / use
         better = cost < best_cost
         best, best_cost = np.where(better, length, best), np.where(better, cost, best_cost)
         k *= 2
@@ -174,7 +191,7 @@ def unpack7(data: bytes) -> np.ndarray:
 def _prefixes(tables, parts: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, often = tables.value
-        for block in flat.blocks(batches, rows=BLOCK_ROWS):
+        for block in flat.blocks(batches, size=BLOCK_BYTES, rows=BLOCK_ROWS):
             sets = Sets(block)
             fresh = np.zeros(block.num_rows, bool)
             fresh[sets.distinct_rows()] = True
@@ -202,11 +219,11 @@ def _prefixes(tables, parts: int, percent: int):
     return run
 
 
-_SHARED = "part int, token long, node long, n int, prefix int, pivot long, pivot_n int, pivot_prefix int"
+_SHARED = "token long, node long, n int, prefix int"
 
 
 def _shared_tokens(table: pa.Table) -> pa.Table:
-    """Postings of the tokens that two nodes or more have, each token with its pivot node."""
+    """Postings of the tokens that two nodes or more have."""
     rows = table.to_pylist()
     token = np.concatenate([unpack7(r["tokens"]) for r in rows])
     ranked = np.sort(token)
@@ -218,21 +235,16 @@ def _shared_tokens(table: pa.Table) -> pa.Table:
         run = np.repeat(np.arange(len(r["nodes"]) // 8), flat.wide(r["counts"]))[hit]
         kept.append((t[hit], np.frombuffer(r["nodes"], np.int64)[run], flat.wide(r["sizes"])[run], flat.wide(r["prefixes"])[run]))
     token, node, n, prefix = (np.concatenate(x) for x in zip(*kept, strict=True))
-    # pivots: the node of lowest hash, the same choice for every token of a family
-    order = np.lexsort((flat.mix(node.view(np.uint64)), token))
+    order = np.lexsort((node, token))
     token, node, n, prefix = token[order], node[order], n[order], prefix[order]
-    once = np.ones(len(token), bool)
+    once = np.ones(len(token), bool)  # a node may come from several blocks
     once[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
     token, node, n, prefix = token[once], node[once], n[once], prefix[once]
     first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(token)))
     several = np.repeat(count > 1, count)
-    pivot = np.repeat(first, count)
-    columns = (token.view(np.int64), node, n, prefix, node[pivot], n[pivot], prefix[pivot])
-    part = np.full(int(several.sum()), rows[0]["part"], np.int32)
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-    return pa.table([pa.array(part), *(pa.array(c[several], t) for c, t in zip(columns, kinds, strict=True))],
-                    ["part", "token", "node", "n", "prefix", "pivot", "pivot_n", "pivot_prefix"])
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    return pa.table([pa.array(c[several], t) for c, t in zip((token.view(np.int64), node, n, prefix), kinds, strict=True)], ["token", "node", "n", "prefix"])
 
 
 def _required(n: str, prefix: str, m: str, prefix2: str, percent: int) -> F.Column:
@@ -247,51 +259,104 @@ def _alike(n: str, m: str, percent: int) -> F.Column:
 
 # ------------------------------------------------------------------ 3, 4. candidates and verification
 
-_PAIRS = "u long, v long, n int, m int, n_prefix int, m_prefix int, shared int"
+#: Bits of a list entry that hold the token's frequency among open postings, above the token itself.
+FREQUENCY_TOP = (1 << (64 - TOKEN_BITS)) - 1
+#: 64-bit words of parity bits of a list.
+PARITY_WORDS = 8
+_LISTED = ["part", "node", "n", "prefix", "component", "c", "parity", "keys", "low", "high", "own"]
+_LISTED_DDL = "part int, node long, n int, prefix int, component long, c int, parity binary, keys binary, low binary, high binary, own binary"
+_PAIR = "u long, v long"
 
 
-def _mixed_pairs(percent: int):
+def parity(keys: np.ndarray) -> np.ndarray:
+    """Parity bits of a list of tokens: a bit is set if an odd number of tokens fall on it."""
+    place = (flat.mix(keys & np.uint64((1 << TOKEN_BITS) - 1)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64)
+
+
+def _generators(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per node and part: the node's parity bits, and those of its shared tokens that belong to the part.
+
+        Lists are in the common order: rare tokens first, then by hash. A link
+        shares ``least`` tokens or more, so its first common token is among all
+        but the last least - 1 of either list; only those are dealt to parts.
+        A token of many nodes is dealt as pairs of blocks (low, high) of nodes.
+        """
+        for batch in batches:
+            tokens, dfs = (batch.column(c) for c in ("tokens", "dfs"))
+            rows = []
+            for r, (node, n, prefix, component, least) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "n", "prefix", "component", "least")), strict=True)):
+                token, df = np.array(tokens[r].as_py(), np.int64).view(np.uint64), np.array(dfs[r].as_py(), np.int64)
+                keys = (np.minimum(df, FREQUENCY_TOP).astype(np.uint64) << np.uint64(TOKEN_BITS)) | token
+                order = np.argsort(keys)[: max(len(keys) - least + 1, 0)]
+                bits, c = parity(keys).tobytes(), len(keys)
+                keys, blocks = keys[order], -(-df[order] // GROUP_NODES)
+                own = (flat.mix(keys ^ flat.mix(np.array([node], np.int64).view(np.uint64))) % blocks.astype(np.uint64)).astype(np.int64)
+                other = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                keys, own = np.repeat(keys, blocks), np.repeat(own, blocks)
+                low, high = np.minimum(own, other), np.maximum(own, other)
+                part = (flat.mix(keys ^ flat.mix((low * (1 << 20) + high).astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                rows += [(p, node, n, prefix, component, c, bits, k.tobytes(), *(x.astype(np.uint32).tobytes() for x in blocks_of))
+                         for p, k, *blocks_of in flat.cut_by(part[order], keys[order], low[order], high[order], own[order])]
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5)
+            for i in range(0, max(len(rows), 1), 5000):
+                columns = list(zip(*rows[i : i + 5000], strict=True)) or [()] * len(kinds)
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], _LISTED)
+
+    return run
+
+
+def _listed(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        """Pairs of nodes of different components that share a token of this group, with the number of such tokens."""
-        col = lambda c: table.column(c).to_numpy()
-        order = np.lexsort((col("node"), col("token")))
-        token, node, n, prefix, comp = (col(c)[order] for c in ("token", "node", "n", "prefix", "component"))
-        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        end = np.append(first[1:], len(token))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        held, pairs, seen = 0, np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-        # one entry per node: pairs are held as two places in this list
-        nodes, place = np.unique(node, return_index=True)
-        at = np.searchsorted(nodes, node)
-        mixed = np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first)
-        for a, b in zip(first[mixed].tolist(), end[mixed].tolist(), strict=True):
-            for i in range(a, b - 1):
-                j = np.arange(i + 1, b)
-                low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-                j = j[(comp[j] != comp[i]) & (low * 100 >= high * percent)]
-                if len(j):
-                    found.append((np.full(len(j), at[i]), at[j]))
-                    held += len(j)
-            if held > 1 << 20:
-                pairs, seen = _count_pairs(found, pairs, seen, len(nodes))
-                found, held = [], 0
-        pairs, seen = _count_pairs(found, pairs, seen, len(nodes))
-        u, v = place[pairs[:, 0]], place[pairs[:, 1]]
-        columns = (node[u], node[v], n[u], n[v], prefix[u], prefix[v], seen)
-        kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["u", "v", "n", "m", "n_prefix", "m_prefix", "shared"])
+        """Pairs of this part's token groups that can share enough tokens, each once."""
+        node, n, prefix, comp, c = (table.column(x).to_numpy().astype(np.int64) for x in ("node", "n", "prefix", "component", "c"))
+        bits = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY_WORDS)
+        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        low, high, own = (np.frombuffer(b"".join(table.column(x).to_pylist()), np.uint32).astype(np.int64) for x in ("low", "high", "own"))
+        row, key = np.repeat(np.arange(len(keys)), [len(k) for k in keys]), np.concatenate(keys)
+        order = np.lexsort((row, high, low, key))
+        row, key, low, high, own = row[order], key[order], low[order], high[order], own[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(row)))
+        found = [np.zeros(0, np.int64)]
+
+        def test(a: np.ndarray, b: np.ndarray) -> None:
+            """Keep the pairs of places (a, b) that may be links."""
+            x, y = row[a], row[b]
+            ok = comp[x] != comp[y]
+            ok &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent
+            ok &= (low[a] == high[a]) | (own[a] != own[b])  # of two blocks, pairs inside one are tested where it meets itself
+            x, y = x[ok], y[ok]
+            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            least = needed(n[x], n[y], percent) - np.maximum(n[x] - prefix[x], n[y] - prefix[y])
+            ok = c[x] + c[y] - differ >= 2 * least
+            found.append(np.unique(np.minimum(x[ok], y[ok]) * len(keys) + np.maximum(x[ok], y[ok])))
+
+        for k in np.unique(size[(size > 1) & (size <= FEW_NODES)]).tolist():  # small groups: all of one size together
+            i, j = np.triu_indices(k, 1)
+            starts = first[size == k]
+            for at in range(0, len(starts), max(1, (1 << 19) // len(i))):
+                some = starts[at : at + max(1, (1 << 19) // len(i))]
+                test((some[:, None] + i[None, :]).ravel(), (some[:, None] + j[None, :]).ravel())
+        for a, k in zip(first[size > FEW_NODES].tolist(), size[size > FEW_NODES].tolist(), strict=True):
+            step = max(1, (1 << 19) // k)
+            for at in range(0, k, step):
+                i = np.arange(at, min(at + step, k))
+                i, j = (z.ravel() for z in np.meshgrid(i, np.arange(at, k), indexing="ij"))
+                test(a + i[i < j], a + j[i < j])
+        pair = np.unique(np.concatenate(found))
+        return pa.table({"u": pa.array(node[pair // len(keys)]), "v": pa.array(node[pair % len(keys)])})
 
     return run
 
 
-def _count_pairs(found, pairs: np.ndarray, seen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Add new pairs to the distinct pairs and their counts."""
-    if not found:
-        return pairs, seen
-    key = np.concatenate([pairs[:, 0] * n + pairs[:, 1], *(a * n + b for a, b in found)])
-    times = np.concatenate([seen, np.ones(len(key) - len(seen), np.int64)])
-    key, place = np.unique(key, return_inverse=True)
-    return np.stack([key // n, key % n], 1), np.bincount(place, times, len(key)).astype(np.int64)
+#: Token groups up to this size are tested many at a time.
+FEW_NODES = 64
 
 
 def _bits_of(pairs: DataFrame) -> np.ndarray:
@@ -307,7 +372,7 @@ def _bits_of(pairs: DataFrame) -> np.ndarray:
 def _sets_of(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = bits.value
-        for block in flat.blocks(batches, rows=BLOCK_ROWS):
+        for block in flat.blocks(batches, size=BLOCK_BYTES, rows=BLOCK_ROWS):
             sets = Sets(block)
             rows = sets.distinct_rows()
             rows = rows[wanted[sets.node[rows] % NODE_BITS]]
@@ -367,23 +432,39 @@ class _Join:
         sent = self.docs.select("text").mapInArrow(_prefixes(tables, self.parts, percent), _POSTING)
         self.postings = self.tables.write(sent.groupBy("part").applyInArrow(_shared_tokens, _SHARED), "postings")
 
-    def pivot_pairs(self) -> DataFrame:
+    def open_postings(self, postings: DataFrame, comps: DataFrame | None) -> DataFrame:
+        """Postings that a link between components can share, with how many such tokens the node has (c), how many
+        of them a link of the node shares at least, and how many nodes have the token (df)."""
+        own = postings.select("token", "node", "n", "prefix").withColumn("component", F.col("node"))
+        if comps is not None:
+            own = own.drop("component").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        groups = own.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
+        own = own.join(groups.where("low < high").select("token", "df"), "token")
+        # a partner has percent of n tokens or more, so it shares as many as the least multiplicity of that size, or the node's own
+        own_k = F.col("prefix") - F.col("n") + F.ceil(F.lit(self.percent) * F.col("n") / 100)
+        partner_k = F.greatest(F.lit(1), F.floor(F.ceil(F.lit(self.percent) * F.col("n") / 100) / LEAST_PART))
+        nodes = own.groupBy("node").agg(F.count("*").alias("c"), F.first(F.least(own_k, partner_k)).cast("int").alias("least")).where("c >= least")
+        return own.join(nodes, "node")
+
+    def pivot_pairs(self, postings: DataFrame) -> DataFrame:
         """Each node with the pivot that it shares most tokens with (half of those required at least)."""
-        shared = self.postings.where(F.col("node") != F.col("pivot")).where(_alike("n", "pivot_n", self.percent))
+        chosen = postings.groupBy("token").agg(F.max(F.struct("c", "node", "n", "prefix")).alias("p")).select(
+            "token", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.prefix").alias("pivot_prefix")
+        )
+        shared = postings.join(chosen, "token").where(F.col("node") != F.col("pivot")).where(_alike("n", "pivot_n", self.percent))
         shared = shared.groupBy("node", "pivot", "n", "prefix", "pivot_n", "pivot_prefix").agg(F.count("*").alias("c"))
         enough = shared.where(F.col("c") * 2 >= _required("n", "prefix", "pivot_n", "pivot_prefix", self.percent))
-        return enough.groupBy(F.col("node").alias("u")).agg(F.max_by("pivot", "c").alias("v"))
+        return enough.groupBy(F.col("node").alias("u")).agg(F.max_by("pivot", F.struct("c", "pivot")).alias("v"))
 
-    def other_pairs(self, comps: DataFrame | None) -> DataFrame:
-        """All pairs of nodes in different components that share as many prefix tokens as a link must."""
-        own = self.postings.select("part", "token", "node", "n", "prefix")
-        if comps is None:
-            own = own.withColumn("component", F.col("node"))
-        else:
-            own = own.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = own.groupBy("part").applyInArrow(_mixed_pairs(self.percent), _PAIRS)
-        pairs = pairs.groupBy("u", "v", "n", "m", "n_prefix", "m_prefix").agg(F.sum("shared").alias("shared"))
-        return pairs.where(F.col("shared") >= _required("n", "n_prefix", "m", "m_prefix", self.percent)).select("u", "v")
+    def other_pairs(self, postings: DataFrame, postings_count: int) -> DataFrame:
+        """All pairs of nodes in different components that can share as many prefix tokens as a link must."""
+        lists = [F.collect_list("token").alias("tokens"), F.collect_list("df").alias("dfs")]  # at most a prefix
+        nodes = postings.groupBy("node", "n", "prefix", "component", "least").agg(*lists)
+        # as many parts as the volume asks for: a pair is met in each part that holds one of its tokens
+        parts = max(LEAST_PARTS, postings_count // PART_POSTINGS)
+        rows = nodes.mapInArrow(_generators(parts), _LISTED_DDL)
+        pairs = rows.groupBy("part").applyInArrow(_listed(self.percent), _PAIR)
+        return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def similar_pairs(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -393,7 +474,7 @@ def similar_pairs(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     overlap; members has doc_id, node and n for every document (node NULL: no words).
     """
     join = _Join(docs, percent)
-    pairs = join.tables.write(join.other_pairs(None), "pairs")
+    pairs = join.tables.write(join.other_pairs(join.open_postings(join.postings, None), join.postings.count()), "pairs")
     return _links(join.docs, pairs, percent), join.rows
 
 
@@ -411,14 +492,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     join = _Join(docs, percent)
     tables = join.tables
-    pairs = tables.write(join.pivot_pairs(), "pivot_pairs")
+    postings = tables.write(join.open_postings(join.postings, None), "open_postings")
+    tables.drop("postings")
+    pairs = tables.write(join.pivot_pairs(postings), "pivot_pairs")
     links = tables.write(_links(join.docs, pairs, percent).select("u", "v"), "pivot_links")
     comps = tables.write(components(links), "pivot_components")
-    pairs = tables.write(join.other_pairs(comps), "pairs")
-    tables.drop("postings")
+    pairs = tables.write(join.other_pairs(join.open_postings(postings, comps), postings.count()), "pairs")
     if not pairs.isEmpty():
-        links = links.unionByName(_links(join.docs, pairs, percent).select("u", "v"))
-        comps = tables.write(components(tables.write(links, "links")), "components")
+        links = tables.write(links.unionByName(_links(join.docs, pairs, percent).select("u", "v")), "links")
+        comps = tables.write(components(links), "components")
     nodes = join.rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
