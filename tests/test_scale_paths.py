@@ -6,9 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as E
 from statloom.sources.tables import TABLES
-from test_registry import SF, _rows
+from test_registry import ORACLES, QUERIES, SF, _rows
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
@@ -40,8 +39,8 @@ def test_all_oracles_hold_without_broadcast(cluster_shape):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     bad = []
-    for name, sql in E.oracle_sql().items():
-        sdf = E.queries()[name](spark, SF)
+    for name, sql in ORACLES.items():
+        sdf = QUERIES[name](spark, SF)
         got = _rows(sdf.columns, [tuple(r) for r in sdf.collect()])
         res = con.execute(sql)
         want = _rows([d[0] for d in res.description], res.fetchall())
@@ -53,13 +52,13 @@ def test_all_oracles_hold_without_broadcast(cluster_shape):
 def test_trend_same_without_broadcast(spark):
     import math
 
-    base = {(r.tasa_paro_media, r.salario_medio): r.trend for r in E.queries()["local_trend"](spark, SF).collect()}
+    base = {(r.tasa_paro_media, r.salario_medio): r.trend for r in QUERIES["local_trend"](spark, SF).collect()}
     old = {k: spark.conf.get(k, None) for k in CLUSTER_SHAPE}
     try:
         for k, v in CLUSTER_SHAPE.items():
             spark.conf.set(k, v)
         shaped = {(r.tasa_paro_media, r.salario_medio): r.trend
-                  for r in E.queries()["local_trend"](spark, SF).collect()}
+                  for r in QUERIES["local_trend"](spark, SF).collect()}
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
