@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from statloom.operators.joins import key_condition
 from statloom.operators.ranking import global_rank
+from statloom.session import ensure_checkpoint_dir
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -72,6 +73,7 @@ def extend_dimension(
     continue after the dimension's current maximum, in first-seen order.
     """
     keys, attrs, order_cols = list(keys), list(attrs), list(order_cols)
+    ensure_checkpoint_dir(existing.sparkSession)
     members = first_wins(batch.select(*keys, *attrs, *order_cols), keys, order_cols)
     new = anti_join_null_safe(members, existing, keys).checkpoint(eager=True)
     if new.isEmpty():  # nothing to number

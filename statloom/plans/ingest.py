@@ -37,6 +37,7 @@ from statloom.functions.names import name_parts
 from statloom.functions.periods import month_or_code, normalise_period
 from statloom.operators import star
 from statloom.schemas import BAD_RECORD, FACT_KEYS, FACT_REQUIRED, FACT_SCHEMAS
+from statloom.session import ensure_checkpoint_dir
 
 ORDER = ["load_order", "series_pos", "obs_pos"]
 
@@ -264,6 +265,7 @@ def load(raw: DataFrame, store: StarStore) -> dict[str, DataFrame]:
     them instead of parsing the raw JSON again, and a lost executor does not
     send the later writes back to the raw files.
     """
+    ensure_checkpoint_dir(raw.sparkSession)
     b = prepare(raw, keep=lambda df: df.checkpoint(eager=True))
     for table, cand in dimension_batches(b).items():
         keys, id_col, attrs = DIMENSIONS[table]
