@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statloom.session import ensure_checkpoint_dir
+
 
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star step and one small-star step over edges (u, v) with u > v."""
@@ -30,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges may repeat and go either way; loops are ignored. No edges give no rows.
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct().checkpoint()
     mark = _mark(now)
     while mark[0]:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from statloom.llm import flat
 from statloom.llm.components import components
 from statloom.llm.shared import Tables, text_groups
+from statloom.session import ensure_checkpoint_dir
 
 SLOTS = 512
 #: The shared bits repeat after this many steps.
@@ -268,6 +269,7 @@ def near_groups(marks: DataFrame, near: float = NEAR) -> DataFrame:
     are. Returns doc_id, fingerprint and group_id, the smallest doc_id of the
     group. NULL fingerprints form no group (group_id is the own doc_id).
     """
+    ensure_checkpoint_dir(marks.sparkSession)
     nodes = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least")).checkpoint()
     digits = BAND_BITS // 4
     band = F.posexplode(F.array(*(F.substring("fingerprint", digits * k + 1, digits) for k in range(BANDS)))).alias("band", "bits")
