@@ -162,7 +162,7 @@ def test_second_load_reads_only_its_indicators(spark, scratch, capsys):
     dims = {t: store.read(t) for t in ingest.DIMENSIONS}
     good, _ = ingest.fact_batches(batch, dims)["T_salarios"]
     ingest.stored_facts(store, "T_salarios", good).explain("formatted")
-    assert "PartitionFilters: [id_indicador" in capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(id_indicador" in capsys.readouterr().out
 
 
 def test_quality_report_counts_orphans(spark, scratch):
