@@ -40,8 +40,8 @@ from statloom.llm import flat
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 NO_RANK = np.iinfo(np.int32).max
-#: Encoded words remembered by a Python worker; beyond it the memory starts anew.
-REMEMBERED_WORDS = 800_000
+#: Encoded words remembered during a task; beyond it the memory starts anew.
+REMEMBERED_WORDS = 300_000
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
 
@@ -321,6 +321,8 @@ def _run(file, extra: list[str], schema: pa.Schema):
                     pa.array([model.decode(x) for x in ids], pa.string())]
             columns = [*(block.column(c) for c in extra), *made]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        _MEMORY.clear()
+        flat.give_back()
 
     return run
 
