@@ -51,11 +51,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = substring_dedup.dedup_windows(docs, keep=("lang", "source", "n_chars", "text"), as_is=True)
+    marked = docs.select(*COLUMNS, F.col("text").isNull().alias("no_text"))
+    done = substring_dedup.dedup_windows(marked, keep=("lang", "source", "n_chars", "no_text"), as_is=True)
     changed = F.col("n_removed") > 0
     done = done.where(~changed | (F.col("kept_text") != ""))
     return done.select(
-        "doc_id", F.when(changed, F.col("kept_text")).otherwise(F.col("text")).alias("text"), "lang", "source",
+        "doc_id", F.when(~F.col("no_text"), F.col("kept_text")).alias("text"), "lang", "source",
         F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
     )
 

@@ -33,6 +33,8 @@ from statloom.llm import flat
 from statloom.llm.shared import text_groups
 
 WIDTH = 13
+#: Bytes of text whose windows are held at a time.
+BLOCK_BYTES = 3 << 20
 #: The documents and what they are told meet in this many groups for each group of windows.
 GROUPS_PER_GROUP = 4
 
@@ -94,7 +96,7 @@ def _wire(rows: list[tuple]) -> pa.RecordBatch:
 
 def _window_entries(width: int, parts: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in flat.blocks(batches):
+        for block in flat.blocks(batches, size=BLOCK_BYTES):
             ids = block.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             words = flat.find_words(*flat.text_buffer(block.column("text")), flat.SPACED)
             h, route, doc, settled = _block_entries(words, ids, width)
@@ -191,7 +193,7 @@ def _remove(width: int, extra: list[str], schema: pa.Schema, as_is: bool):
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         told = Told(table)
         out = []
-        for block in flat.blocks(docs.combine_chunks().to_batches()):
+        for block in flat.blocks(docs.to_batches(), size=BLOCK_BYTES):
             ids = block.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             buf, off = flat.text_buffer(block.column("text"))
             words = flat.find_words(buf, off, flat.SPACED)
