@@ -36,12 +36,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
+#: Rows of an Arrow batch: whole texts are long, and a batch is held by the JVM and the Python worker at once.
+BATCH_ROWS = 2000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     model = tox.train(docs, read_table(spark, sf_dir, "labels"))
     return tox.score(docs, model, keep=tuple(COLUMNS)).where("predicted = 0").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     named = docs.select(*COLUMNS).where("doc_id IS NOT NULL")
     stay = ngram_join.near_duplicates(named).where("doc_id = component_id").select("doc_id").distinct()
     kept = named.join(stay, "doc_id")
@@ -51,6 +61,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     marked = docs.select(*COLUMNS, F.col("text").isNull().alias("no_text"))
     done = substring_dedup.dedup_windows(marked, keep=("lang", "source", "n_chars", "no_text"), as_is=True)
     changed = F.col("n_removed") > 0
@@ -62,12 +73,14 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = hits.find_hits(docs, read_table(spark, sf_dir, "benchmark"), keep=tuple(COLUMNS[1:]))
     done = hits.remove_hits(found.withColumn("cut", F.size("hits") > 0), [*COLUMNS, "cut"])
     return done.withColumn("n_chars", F.when(F.col("cut"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return sentencepiece_bpe.digests(docs, tokenizer_file("piece_bpe_32k.model"), keep=("lang", "source"), ids=True)
 
 
