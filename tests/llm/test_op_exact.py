@@ -56,6 +56,20 @@ def test_sharding_of_one_group_of_copies_is_even(spark):
     assert len(size) == 8 and max(size.values()) <= 1.03 * min(size.values())
 
 
+@pytest.mark.parametrize("hot,pairs,rows", [(1000, 300, 3000)])
+def test_sharding_leaves_no_group_cut_that_a_shard_can_hold(spark, hot, pairs, rows):
+    key = f"CASE WHEN id < {hot} THEN 0 WHEN id < {hot + 2 * pairs} THEN 1000 + (id - {hot}) DIV 2 ELSE 100000 + id END"
+    docs = spark.range(rows).selectExpr("id AS doc_id", f"concat('text ', lpad({key}, 9, '0')) AS text")
+    done, size, shards = sharding.shard_documents(docs, 8).collect(), {}, {}
+    for r in done:
+        size[r.shard] = size.get(r.shard, 0) + r.size
+        shards.setdefault(r.text_crc32, set()).add(r.shard)
+    assert sorted(r.doc_id for r in done) == list(range(rows))
+    assert len(size) == 8 and max(size.values()) <= 1.03 * min(size.values())
+    # the hot group, a third of the rows, fills three of eight shards; pairs lie whole
+    assert sorted(map(len, shards.values()))[-2:] == ([1, 3] if hot else [1, 1])
+
+
 def test_sharding_by_rows(spark):
     docs = spark.range(0, 1003).selectExpr("id AS doc_id", "repeat('x', CAST(id % 50 AS INT)) AS text")
     count = {r.shard: r["count"] for r in sharding.shard_documents(docs, 8, even="rows").groupBy("shard").count().collect()}
