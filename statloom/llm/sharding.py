@@ -225,6 +225,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, even: str = "bytes") -> D
     cells = own.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"))
     linked = cells.groupBy("grp").agg(F.sum("n").alias("docs"), F.sum("weight").alias("total")).where("docs > 1").select("grp", "total")
     cells = tables.write(cells.join(linked, "grp"), "cells")
+    every = cells.select("grp", "cell")
     hot = tables.write(_hot(cells, shards, share, rows), "hot")
     base = _loads(hot, "weight", shards)
     room = [max(share - base[s], 0.0) for s in range(shards)]
@@ -235,7 +236,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, even: str = "bytes") -> D
     kept = tables.write(kept.where(F.col("before") + F.col("total") <= _of({s: math.ceil(share) - base[s] for s in base}, "shard")).select("grp", "total", "shard"), "kept")
     # groups without a shard: whole where that leaves the shards even
     load = _loads(kept, "total", shards)
-    alone = own.join(linked.select("grp"), "grp", "left_anti")
+    alone = own.join(every, ["grp", "cell"], "left_anti")
     smaller, fill = _classes(alone, "weight"), []
     lost = whole.join(kept.select("grp"), "grp", "left_anti").select("grp", "total")
     lost = tables.write(lost.unionByName(cut.select("grp", "total")), "lost")
@@ -252,7 +253,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, even: str = "bytes") -> D
     homes = homes.unionByName(cells.join(pieces, ["grp", "shard"]).select("grp", "cell", "shard", F.lit(False).alias("unit")))
     homes = homes.unionByName(cells.join(units.select("grp"), "grp").select("grp", "cell", F.lit(None).cast("int").alias("shard"), F.lit(True).alias("unit")))
     homes = homes.unionByName(hot.select("grp", "cell", "shard", F.lit(False).alias("unit")))
-    placed = own.join(homes, ["grp", "cell"], "left").join(linked.select("grp", F.lit(True).alias("linked")), "grp", "left")
+    # by cell, so that no group is a hot key of the documents
+    placed = own.join(every.join(homes, ["grp", "cell"], "left").withColumn("linked", F.lit(True)), ["grp", "cell"], "left")
     placed = tables.write(placed.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("unit", "linked")}), "placed")
     placed = _fill(placed, shards, share, rows, tables)
     done = running_sum(placed.withColumn("one", F.lit(1)), "one", ["shard"], ["doc_id", "grp"], rows)

@@ -56,7 +56,7 @@ def test_sharding_of_one_group_of_copies_is_even(spark):
     assert len(size) == 8 and max(size.values()) <= 1.03 * min(size.values())
 
 
-@pytest.mark.parametrize("hot,pairs,rows", [(1000, 300, 3000)])
+@pytest.mark.parametrize("hot,pairs,rows", [(1000, 300, 3000), (1000, 950, 3000), (0, 400, 800)])
 def test_sharding_leaves_no_group_cut_that_a_shard_can_hold(spark, hot, pairs, rows):
     key = f"CASE WHEN id < {hot} THEN 0 WHEN id < {hot + 2 * pairs} THEN 1000 + (id - {hot}) DIV 2 ELSE 100000 + id END"
     docs = spark.range(rows).selectExpr("id AS doc_id", f"concat('text ', lpad({key}, 9, '0')) AS text")
