@@ -219,7 +219,7 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def _cut(schema: pa.Schema, max_words: int, max_share: float):
+def _cut(schema: pa.Schema, max_words: int, max_share: float, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in flat.blocks(batches):
             buf, off = flat.text_buffer(block.column("text"))
@@ -229,9 +229,10 @@ def _cut(schema: pa.Schema, max_words: int, max_share: float):
             raw = buf.tobytes()
             cut: dict[int, str] = {}
             for r in some:
-                spans = [(a, b) for a, b in zip(hits[r][::2], hits[r][1::2], strict=True) if b - a >= max_words]
+                every = list(zip(hits[r][::2], hits[r][1::2], strict=True))
+                spans = [(a, b) for a, b in every if b - a >= max_words or b - a < window]  # below the window: whole short items
                 base, n = words.row_first[r], words.row_first[r + 1] - words.row_first[r]
-                if sum(b - a for a, b in spans) > max_share * n:
+                if sum(b - a for a, b in every) > max_share * n:
                     cut[r] = ""
                     continue
                 at, pieces = off[r], []
@@ -252,8 +253,9 @@ def _cut(schema: pa.Schema, max_words: int, max_share: float):
     return run
 
 
-def remove_hits(found: DataFrame, columns: list[str], max_words: int = WINDOW, max_share: float = 0.5) -> DataFrame:
-    """Cut hit spans of at least ``max_words`` words out of the texts; drop documents with more than
-    ``max_share`` of their words in such spans. Documents without hits keep their text unchanged (NULL too)."""
+def remove_hits(found: DataFrame, columns: list[str], max_words: int = WINDOW, max_share: float = 0.5, window: int = WINDOW) -> DataFrame:
+    """Cut hit spans of at least ``max_words`` words out of the texts, and shorter ones that are whole items
+    of fewer words than ``window`` (that of ``find_hits``); drop documents with more than ``max_share`` of
+    their words in hit spans. Documents without hits keep their text unchanged (NULL too)."""
     schema = found.select(*columns).schema
-    return found.select(*columns, "hits").mapInArrow(_cut(to_arrow_schema(schema), max_words, max_share), schema)
+    return found.select(*columns, "hits").mapInArrow(_cut(to_arrow_schema(schema), max_words, max_share, window), schema)

@@ -41,3 +41,13 @@ def test_stages(spark, tmp_path):
         assert r.ids == ids and r.n_tokens == len(ids) and r.decoded_sha256 == plain.sha(library.decode(ids))
     result = {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()}
     assert result == {r.doc_id: r.ids_sha256 for r in docs.collect()}
+
+
+def test_short_benchmark_items_are_cut(spark, tmp_path):
+    nine = "alpha beta gamma delta epsilon zeta eta theta iota"
+    spark.createDataFrame([(1, nine), (2, "lone")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    around = " ".join(f"w{i}" for i in range(20))
+    texts = [(1, nine), (2, f"{around} {nine} {around}"), (3, f"{around} lone end"), (4, nine.replace("iota", "other")), (5, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: (r.text and " ".join(r.text.split()), r.n_chars == len(r.text or "")) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()}
+    assert left == {2: (f"{around} {around}", True), 3: (f"{around} end", True), 4: (texts[3][1], True), 5: (None, True)}
