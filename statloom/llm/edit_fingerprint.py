@@ -258,7 +258,7 @@ def _word(column: str, k: int) -> Column:
     return F.conv(F.substring(column, 8 * k + 1, 8), 16, 10).cast("long")
 
 
-def near_groups(marks: DataFrame, near: float = NEAR) -> DataFrame:
+def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()) -> DataFrame:
     """Groups of documents whose fingerprints are alike.
 
     ``marks`` has doc_id and fingerprint. Candidates share a band (``BAND_BITS``
@@ -266,8 +266,8 @@ def near_groups(marks: DataFrame, near: float = NEAR) -> DataFrame:
     likeness is ``near`` or more. Documents with one fingerprint are one node.
     Each node is first verified against its bands' least fingerprints, which
     joins large groups with few pairs; then all candidates of different groups
-    are. Returns doc_id, fingerprint and group_id, the smallest doc_id of the
-    group. NULL fingerprints form no group (group_id is the own doc_id).
+    are. Returns doc_id, fingerprint, the columns in ``keep`` and group_id, the
+    smallest doc_id of the group. NULL fingerprints form no group (group_id is the own doc_id).
     """
     ensure_checkpoint_dir(marks.sparkSession)
     nodes = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least")).checkpoint()
@@ -288,6 +288,6 @@ def near_groups(marks: DataFrame, near: float = NEAR) -> DataFrame:
     named = nodes.join(group, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
     least = named.groupBy("component").agg(F.min("least").alias("group_id"))
     named = named.join(least, "component").select("fingerprint", "group_id")
-    return marks.select("doc_id", "fingerprint").join(named, "fingerprint", "left").select(
-        "doc_id", "fingerprint", F.coalesce("group_id", "doc_id").alias("group_id")
+    return marks.select("doc_id", "fingerprint", *keep).join(named, "fingerprint", "left").select(
+        "doc_id", "fingerprint", *keep, F.coalesce("group_id", "doc_id").alias("group_id")
     )

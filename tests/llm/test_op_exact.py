@@ -234,3 +234,12 @@ def test_near_fingerprints_are_grouped(spark):
     docs = [(1, text), (2, text), (3, text[:300] + "X" + text[300:]), (4, TEXTS[5][1] * 2)]
     marks = edit_fingerprint.edit_report(spark.createDataFrame(docs, "doc_id long, text string"))
     assert {r.doc_id: r.group_id for r in edit_fingerprint.near_groups(marks, 0.6).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_edit_fingerprint_query_groups_near_documents(spark, tmp_path):
+    text = TEXTS[2][1] * 3
+    docs = [(1, text), (2, text), (3, text[:2000] + "X" + text[2001:]), (4, TEXTS[5][1] * 2), (5, None), (6, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = run(spark, "op10_edit_fingerprint", str(tmp_path)).collect()
+    assert {r.doc_id: r.group_id for r in rows} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5} and len(rows) == 6
+    assert {r.doc_id: r.n_chars for r in rows} == {d: len(t or "") for d, t in docs}
