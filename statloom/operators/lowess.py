@@ -22,9 +22,11 @@ How it runs without comparing every pair of points:
 3. Each pass takes one row of moments per block to the driver (power sums of
    (x - c) and (x - c) y around the block's centre, weighted by r; bounded),
    adds them up a binary tree of blocks, and broadcasts the tree.
-4. A block of points shares its window's interior: O(log n) tree nodes cover
-   the whole blocks inside all its windows. The points at the windows' ends
-   and around the block itself are read as points, from the blocks concerned.
+4. A block is split where its window starts leave two neighbouring blocks (at
+   a gap in x they jump far), so that a part reads six blocks at most. A part
+   shares its windows' interior: O(log n) tree nodes cover the whole blocks
+   inside all its windows. The points at the windows' ends and around the part
+   itself are read as points, from the blocks concerned.
 5. Each node or point gives weight, means and centred second moments, which
    combine to the weighted line.
 
@@ -158,9 +160,9 @@ def _line(x: np.ndarray, h: np.ndarray, nodes, side, px, py, pw) -> tuple[np.nda
     return np.where(steep, ym - dm * cov / np.where(steep, var, 1.0), ym), total
 
 
-def _fit_block(q: int, lo: np.ndarray, blocks: dict[int, tuple], tree: Tree, size: int, k: int) -> np.ndarray:
-    """Fits at the points of block q; ``blocks`` holds (x, y, r) of the blocks that are read as points."""
-    x, y = blocks[q][0], blocks[q][1]
+def _fit_block(q: int, at: int, lo: np.ndarray, blocks: dict[int, tuple], tree: Tree, size: int, k: int) -> np.ndarray:
+    """Fits at the points of block q from its point ``at`` on; ``blocks`` holds (x, y, r) of the blocks that are read as points."""
+    x, y = (blocks[q][i][at : at + len(lo)] for i in range(2))
     hi = lo + k - 1
     point = sorted(blocks)
     px, py, pr = (np.concatenate([blocks[b][i] for b in point]) for i in range(3))
@@ -185,15 +187,25 @@ def _fit_block(q: int, lo: np.ndarray, blocks: dict[int, tuple], tree: Tree, siz
 
 def _fitter(tree, size: int, k: int):
     def fit(key, left, right):
-        (q,) = key
+        q, at = key
         held = {r.b: (np.asarray(r.xs), np.asarray(r.ys), np.asarray(r.rs)) for r in right.itertuples()}
-        return pd.DataFrame({"b": [q], "fits": [_fit_block(q, np.asarray(left["lo"].iloc[0]), held, tree.value, size, k)]})
+        return pd.DataFrame({"b": [q], "at": [at], "fits": [_fit_block(q, at, np.asarray(left["lo"].iloc[0]), held, tree.value, size, k)]})
 
     return fit
 
 
+def _parts(lo: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """(first, end) of the runs of a block's points whose windows start in the same two blocks."""
+    block, out, first = lo // size, [], 0
+    while first < len(lo):
+        end = int(np.searchsorted(block, block[first] + 1, "right"))
+        out.append((first, end))
+        first = end
+    return out
+
+
 def _needed(q: int, lo: np.ndarray, size: int, k: int) -> list[int]:
-    """Blocks that block q reads as points: those of its window ends and itself."""
+    """Blocks that a part of block q reads as points: those of its window ends and itself (six at most)."""
     hi = lo + k - 1
     out = set(range(lo.min() // size, lo.max() // size + 1)) | set(range(hi.min() // size, hi.max() // size + 1)) | {q}
     return sorted(out)
@@ -267,23 +279,25 @@ def lowess(
     def starts(key, left, right):
         (b,) = key
         if left.empty:
-            return pd.DataFrame({"b": [], "lo": []})
+            return pd.DataFrame({"b": [], "at": [], "lo": []})
         xs = np.asarray(left["xs"].iloc[0])
         lo = np.searchsorted(last_mid, xs[:1]).astype(np.int64) * size * np.ones(len(xs), np.int64)
         for r in right.sort_values("m").itertuples():
             lo += np.searchsorted(r.mids, xs)
         full = n - k
-        return pd.DataFrame({"b": [b], "lo": [np.minimum(lo, full)]})
+        lo = np.minimum(lo, full)
+        parts = _parts(lo, size)
+        return pd.DataFrame({"b": [b] * len(parts), "at": [p for p, _ in parts], "lo": [lo[p:e] for p, e in parts]})
 
-    windows = blocks.select("b", "xs").groupBy("b").cogroup(met.groupBy("b")).applyInPandas(starts, "b long, lo array<long>")
+    windows = blocks.select("b", "xs").groupBy("b").cogroup(met.groupBy("b")).applyInPandas(starts, "b long, at long, lo array<long>")
     windows = windows.checkpoint(eager=True)
 
     def wants(batches):
         for pdf in batches:
-            rows = [(r.b, need) for r in pdf.itertuples() for need in _needed(r.b, np.asarray(r.lo), size, k)]
-            yield pd.DataFrame(rows, columns=["q", "b"]).astype("int64")
+            rows = [(r.b, r.at, need) for r in pdf.itertuples() for need in _needed(r.b, np.asarray(r.lo), size, k)]
+            yield pd.DataFrame(rows, columns=["q", "at", "b"]).astype("int64")
 
-    wanted = windows.mapInPandas(wants, "q long, b long")
+    wanted = windows.mapInPandas(wants, "q long, at long, b long")
 
     def leaf(batches):
         for pdf in batches:
@@ -299,8 +313,9 @@ def lowess(
             Tree(*(np.array([r[c] for r in leaves], dtype=float) for c in ("first", "last", "m", "my")))
         )
 
-        read = wanted.join(state, "b").select("q", "b", "xs", "ys", "rs")
-        fitted = windows.groupBy("b").cogroup(read.groupBy("q")).applyInPandas(_fitter(tree, size, k), "b long, fits array<double>")
+        read = wanted.join(state, "b").select("q", "at", "b", "xs", "ys", "rs")
+        fitted = windows.groupBy("b", "at").cogroup(read.groupBy("q", "at")).applyInPandas(_fitter(tree, size, k), "b long, at long, fits array<double>")
+        fitted = fitted.groupBy("b").agg(F.sort_array(F.collect_list(F.struct("at", "fits"))).alias("parts")).select("b", F.flatten("parts.fits").alias("fits"))
         fitted = blocks.join(fitted, "b").withColumn("es", F.zip_with("ys", "fits", lambda a, b: a - b)).checkpoint(eager=True)
         if it == iterations:
             break

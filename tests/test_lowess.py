@@ -132,3 +132,24 @@ def test_tree_cover_is_exact():
     for a in range(n):
         for b in range(a, n):
             assert sum(z[2][0] for z in tree.cover(a, b)) == sum(2.0**i for i in range(a, b + 1))
+
+
+def test_block_at_a_gap_reads_few_blocks(spark, monkeypatch):
+    import statloom.operators.lowess as lw
+
+    rng = np.random.default_rng(8)
+    # two dense clusters and a few points between them: the window starts of one block run over a third of all points
+    x = np.concatenate([rng.uniform(0, 1, 119), [20.0, 50.0, 51.0, 80.0], rng.uniform(100, 101, 117)])
+    y = x + rng.normal(0, 1, len(x))
+    k, size, xs = 160, 8, np.sort(x)
+    lo = np.searchsorted((xs[: len(xs) - k] + xs[k:]) / 2, xs)
+    whole = [lw._needed(b, lo[b * size : (b + 1) * size], size, k) for b in range(30)]
+    assert max(map(len, whole)) > 15
+    for b in range(30):
+        own = lo[b * size : (b + 1) * size]
+        parts = lw._parts(own, size)
+        assert [i for p, e in parts for i in range(p, e)] == list(range(size))
+        assert all(len(lw._needed(b, own[p:e], size, k)) <= 6 for p, e in parts)
+    monkeypatch.setattr(lw, "BLOCK", size)
+    got, want = run(spark, x, y, iterations=1)
+    assert_close(got, want)
