@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import decontaminate, edit_fingerprint, html_text, language_id, ngram_join, sentencepiece_bpe, sharding, substring_dedup, token_files, toxicity
+from statloom.llm import (
+    decontaminate, edit_fingerprint, html_text, language_id, ngram_join, quality_rules, sentencepiece_bpe, sharding, source_divergence, substring_dedup,
+    token_files, toxicity, vector_codes,
+)
 from statloom.sources.tables import read_table
 
 
@@ -120,6 +123,73 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(read_table(spark, sf_dir, "embeddings"))
+
+
+def _floor_div(a: str, b: str) -> str:
+    """Whole-number division towards minus infinity (b > 0); DuckDB's goes towards zero."""
+    return f"(({a}) // ({b}) - CASE WHEN ({a}) % ({b}) < 0 THEN 1 ELSE 0 END)"
+
+
+def _op11_sql(rounds: int = 2) -> str:
+    """Each round by comparing every part with every entry."""
+    sql = """
+WITH kept AS (SELECT row_number() OVER () AS r, vec_id, label, embedding AS e FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT r, vec_id, label, list_transform(e, lambda v: CAST(floor(CAST(v AS DOUBLE) * 256) AS BIGINT)) AS v, len(e) // 16 AS w FROM kept),
+parts AS (SELECT r, vec_id, label, p, v[p * w + 1:(p + 1) * w] AS v FROM x, range(16) t(p)),
+seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM x QUALIFY k < 64),
+b0 AS (SELECT p, k, v FROM parts JOIN seeds USING (r))"""
+    near = "SELECT r, vec_id, label, parts.p, parts.v, k, list_sum(list_transform(list_zip(parts.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d\n  FROM parts JOIN b{i} b USING (p) QUALIFY row_number() OVER (PARTITION BY r, parts.p ORDER BY d, k) = 1"
+    for i in range(rounds):
+        sql += f""",
+a{i} AS ({near.format(i=i)}),
+s{i} AS (SELECT p, k, j, CAST(sum(c) AS BIGINT) AS s, count(*) AS n FROM (SELECT p, k, unnest(v) AS c, generate_subscripts(v, 1) AS j FROM a{i}) GROUP BY p, k, j),
+m{i} AS (SELECT p, k, list({_floor_div('s', 'n')} ORDER BY j) AS v FROM s{i} GROUP BY p, k),
+b{i + 1} AS (SELECT b.p, b.k, coalesce(m.v, b.v) AS v FROM b{i} b LEFT JOIN m{i} m USING (p, k))"""
+    return sql + f""",
+last AS ({near.format(i=rounds)}),
+coded AS (SELECT r, vec_id, label, string_agg(format('{{:02x}}', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM last GROUP BY r, vec_id, label),
+digest AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, j)) AS h
+           FROM (SELECT p, k, unnest(v) AS c, generate_subscripts(v, 1) AS j FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded, digest
+"""
+
+
+OP11_SQL = _op11_sql()
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+#: Every kept term against every group, in 128-bit integers.
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  unnest(regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+g AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+kept AS (SELECT lang, term, count(*) AS ln FROM d GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM d JOIN kept USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v, sum(ln)::HUGEINT AS lt FROM kept GROUP BY lang),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS tot FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (coalesce(tot, 0) + v) AS p,
+             1 + (1000000000::HUGEINT * (ln + 1)) // (lt + v) AS q
+      FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS f
+                     FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_sharding": (op1_sharding, None),
     "op2_sentencepiece": (op2_sentencepiece, None),
@@ -131,4 +201,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_substring_dedup": (op8_substring_dedup, OP8_SQL),
     "op9_toxicity": (op9_toxicity, None),
     "op10_edit_fingerprint": (op10_edit_fingerprint, None),
+    "op11_vector_codes": (op11_vector_codes, OP11_SQL),
+    "op12_source_divergence": (op12_source_divergence, OP12_SQL),
+    "op13_quality_rules": (op13_quality_rules, None),
 }

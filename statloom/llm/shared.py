@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.session import shared_path
@@ -38,3 +38,31 @@ def text_groups(docs: DataFrame, column: str = "text", size: int = GROUP_BYTES)
     """How many groups of about ``size`` bytes the texts make (the shuffle partitions at least)."""
     total = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
     return max(shuffle_partitions(docs.sparkSession), -(-total // size))
+
+
+#: A side of at most so many rows may be broadcast by ``attach``.
+BROADCAST_ROWS = 100_000
+SALTS = 32
+
+
+def attach(big: DataFrame, small: DataFrame, keys: list[str], salt: Column) -> DataFrame:
+    """Left join of ``small`` (one row per key, NULL equals NULL) on ``keys``, safe where one key holds most of ``big``.
+
+    ``small`` is counted first (pass a checkpointed table): up to
+    ``BROADCAST_ROWS`` rows it is broadcast. Beyond that each row of it is
+    repeated ``SALTS`` times and ``big`` is dealt by key and ``salt``, a
+    column that differs between the rows of one key.
+    """
+    names = {k: f"{k} of small" for k in keys}
+    right = small.select(*(F.col(k).alias(names.get(k, k)) for k in small.columns))
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        right = F.broadcast(right)
+    else:
+        big = big.withColumn("dealt salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
+        right = right.withColumn("own salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"`{names[k]}`"))
+    if "dealt salt" in big.columns:
+        on = on & (F.col("`dealt salt`") == F.col("`own salt`"))
+    return big.join(right, on, "left").drop(*names.values(), "dealt salt", "own salt")
