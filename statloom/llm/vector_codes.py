@@ -144,7 +144,9 @@ def train(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds: int =
     rows = usable(vectors.select(F.col(id_column).alias("id"), F.col(column).cast("array<double>").alias("v")), "v").select("id", "v")
     longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
     width = -(-longest // parts)
-    seeds = rows.orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).select("v").collect()  # 256 rows at most
+    ids = [r.id for r in rows.where("id IS NOT NULL").select("id").orderBy("id").limit(entries).collect()]  # narrow rows first
+    early = rows.where(F.col("id") <= ids[-1]) if len(ids) == entries else rows
+    seeds = early.orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).select("v").collect()  # 256 rows at most
     first = integers(pa.array([r.v for r in seeds], pa.list_(pa.float64())), parts * width)
     books = Codebooks(first.reshape(len(seeds), parts, width).transpose(1, 0, 2).copy())
     for _ in range(rounds if seeds else 0):
