@@ -234,8 +234,8 @@ def held_out() -> Column:
 
 def _sample(stats: DataFrame, n: int, limit: int) -> DataFrame:
     """The ``limit`` rows of smallest hash, out of those below a hash that about twice as many of the ``n`` rows have: tasks send few more than needed."""
-    mark = F.shiftrightunsigned(F.xxhash64("doc_id", *STATISTICS), 1)
-    below = stats.where(mark < int(min(1.0, 2 * limit / max(n, 1)) * ((1 << 63) - 1)))
+    mark = F.shiftrightunsigned(F.xxhash64("doc_id", *STATISTICS), 2)
+    below = stats.where(mark <= int(min(1.0, 2 * limit / max(n, 1)) * (1 << 62)))
     return below.orderBy(mark, "doc_id", *STATISTICS).limit(limit)
 
 
