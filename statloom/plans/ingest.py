@@ -118,20 +118,27 @@ def observations(series: DataFrame) -> DataFrame:
     other (and means no period). Only a missing code is an annual period: one
     that is there but unreadable is not.
     """
+    # one step per select: a step that is used several times is a column, not an expression repeated in the next
+    texts = {"_year": "Anyo", "_first": "FK_Periodo", "_second": "Fk_Periodo", "_value": "Valor"}
     obs = series.select("*", F.posexplode("Data").alias("obs_pos", "d")).drop("Data")
-    d = F.col("d")
-    first, second = d["FK_Periodo"], d["Fk_Periodo"]
-    zero = (F.col("family") == "prices") & (whole_number(first) == 0)
-    text = F.coalesce(F.when(~F.coalesce(zero, F.lit(False)), first), second)
-    text = F.when((F.col("family") == "prices") & (whole_number(text) == 0), F.lit(None)).otherwise(text)
-    fk = F.when(text.isNotNull(), F.coalesce(whole_number(text), F.lit(UNREADABLE)))
-    monthly = F.col("table_code") == F.lit(L.CPI)
-    month, code = month_or_code(monthly, fk)
-    return obs.select(
-        "*",
-        normalise_period(whole_number(d["Anyo"]), month, code).alias("period"),
-        d["Valor"].try_cast("double").alias("valor"),
-    ).drop("d")
+    base = obs.columns[:-1]
+    obs = obs.select(*base, *(F.col("d")[key].alias(name) for name, key in texts.items()))
+    prices = F.col("family") == "prices"
+    obs = obs.select(
+        *base, "_value", "_first", "_second", whole_number(F.col("_year")).alias("_year"),
+        whole_number(F.col("_first")).alias("_n1"), whole_number(F.col("_second")).alias("_n2"),
+    )
+    obs = obs.withColumn("_use", F.col("_first").isNotNull() & ~F.coalesce(prices & (F.col("_n1") == 0), F.lit(False)))
+    obs = obs.select(
+        *base, "_value", "_year",
+        F.when(F.col("_use"), F.col("_first")).otherwise(F.col("_second")).alias("_text"),
+        F.when(F.col("_use"), F.col("_n1")).otherwise(F.col("_n2")).alias("_n"),
+    )
+    missing = F.col("_text").isNull() | F.coalesce(prices & (F.col("_n") == 0), F.lit(False))
+    obs = obs.select(*base, "_value", "_year", F.when(~missing, F.coalesce("_n", F.lit(UNREADABLE))).alias("_key"))
+    month, code = month_or_code(F.col("table_code") == F.lit(L.CPI), "_key")
+    obs = obs.select(*base, "_value", "_year", month.alias("_month"), code.alias("_code"))
+    return obs.select(*base, normalise_period("_year", "_month", "_code").alias("period"), F.col("_value").try_cast("double").alias("valor"))
 
 
 @dataclass
