@@ -1,6 +1,6 @@
 """Command line: the three phases of a run.
 
-    python -m statloom load    --series DIR --star DIR [--files] [--rejects DIR] [--load-id ID]
+    python -m statloom load    --series DIR --star DIR [--files] [--rejects DIR] [--load-id ID] [--conflict ignore|update|fail]
     python -m statloom marts   --star DIR --out DIR
     python -m statloom reports --out DIR
     python -m statloom schema  --series DIR [--files]
@@ -34,7 +34,7 @@ def cmd_load(spark, args) -> dict:
     from statloom.sources.series_json import read_series_files, read_series_lines
 
     raw = read_series_files(spark, args.series) if args.files else read_series_lines(spark, args.series)
-    rejects = ingest.load(raw, ingest.StarStore(spark, args.star))
+    rejects = ingest.load(raw, ingest.StarStore(spark, args.star), args.conflict)
     if args.rejects:
         # one folder per load, overwritten: a retried load writes its rejects once
         load_id = args.load_id or hashlib.sha256(args.series.encode()).hexdigest()[:16]
@@ -89,6 +89,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--files", action="store_true", help="input is <code>.json table files")
     load.add_argument("--rejects", default=None)
     load.add_argument("--load-id", default=None, help="name of this load's reject folders (default: from --series)")
+    load.add_argument("--conflict", default="ignore", choices=["ignore", "update", "fail"], help="what becomes of a fact that is stored already")
     marts = sub.add_parser("marts", help="build and write the nine marts")
     marts.add_argument("--star", required=True)
     marts.add_argument("--out", required=True)

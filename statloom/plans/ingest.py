@@ -27,8 +27,8 @@ observation that is not loaded a reject reason.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +36,9 @@ from statloom.functions import labels as L
 from statloom.functions.names import name_parts
 from statloom.functions.periods import month_or_code, normalise_period
 from statloom.operators import star
-from statloom.schemas import BAD_RECORD, FACT_KEYS, FACT_REQUIRED, FACT_SCHEMAS
+from statloom.schemas import BAD_RECORD, DIMENSION_SCHEMAS, FACT_KEYS, FACT_REQUIRED, FACT_SCHEMAS
 from statloom.session import ensure_checkpoint_dir
+from statloom.sources.versioned import Load, VersionedTables, together
 
 ORDER = ["load_order", "series_pos", "obs_pos"]
 
@@ -203,89 +204,83 @@ def fact_batches(b: Batch, dims: dict[str, DataFrame]) -> dict[str, tuple[DataFr
     return out
 
 
-class StarStore:
-    """Star tables as Parquet folders under one root (facts partitioned by
-    indicator id, so an indicator filter prunes files)."""
+class StarStore(VersionedTables):
+    """The six star tables under one root (facts partitioned by indicator id,
+    so an indicator filter prunes files). A load changes them together."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        super().__init__(spark, root, {**DIMENSION_SCHEMAS, **FACT_SCHEMAS}, dict.fromkeys(FACT_SCHEMAS, "id_indicador"))
 
     def schema(self, table: str):
-        from statloom.schemas import DIMENSION_SCHEMAS
+        return self.schemas[table]
 
-        return {**DIMENSION_SCHEMAS, **FACT_SCHEMAS}[table]
 
-    def read(self, table: str) -> DataFrame:
-        schema = self.schema(table)
-        try:
-            df = self.spark.read.schema(schema).parquet(self.path(table))
-            return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        except AnalysisException as exc:  # missing folder = empty table
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+def stored_facts(new: Load, table: str, batch: DataFrame) -> DataFrame:
+    """The stored facts that a batch can collide with: those of its indicators.
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Append rows. ``rebalance`` lets AQE size the output files by data
-        volume (a small batch writes few files; a hot indicator is split across
-        several writers instead of one)."""
-        if table in FACT_SCHEMAS:
-            df.hint("rebalance", "id_indicador").write.mode("append").partitionBy("id_indicador").parquet(
-                self.path(table)
-            )
-        else:
-            df.hint("rebalance").write.mode("append").parquet(self.path(table))
+    Facts are partitioned by indicator, so only the folders of these indicators
+    are listed and read (one value per indicator comes to the driver, as one
+    name per indicator folder does)."""
+    return new.read(table, [r[0] for r in batch.select("id_indicador").distinct().collect()])
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {t: self.read(t) for t in [*DIMENSIONS, *FACT_SCHEMAS]}
 
+#: What a load does with a fact whose key is stored already (within a batch the first wins, with ``update`` the last).
+CONFLICT = ("ignore", "update", "fail")
 
-#: Distinct indicators of a batch up to which stored facts are pruned by their values.
-MAX_PRUNED = 10_000
 
+def _write_facts(new: Load, table: str, good: DataFrame, conflict: str) -> None:
+    keys, columns = FACT_KEYS[table], FACT_SCHEMAS[table].fieldNames()
+    nullable = [k for k in keys if k not in FACT_REQUIRED[table]]
+    stored = stored_facts(new, table, good)
+    if conflict == "update":
+        rows, changed = star.insert_or_update(stored, good, keys, ORDER, "id_indicador", nullable)
+        new.write(table, rows.select(*columns), replaces=[new.store.folder_name(table, c) for c in changed])
+        return
+    if conflict == "fail":
+        clash = star.stored_or_twice(stored, good, keys, nullable).first()
+        if clash is not None:
+            raise ValueError(f"{table}: the key {clash.asDict()} is stored already or comes twice")
+    new.write(table, star.insert_or_ignore(stored, good, keys, ORDER, nullable).select(*columns))
 
-def stored_facts(store: StarStore, table: str, batch: DataFrame) -> DataFrame:
-    """The stored facts that a batch can collide with: those of its indicators.
-
-    Facts are partitioned by indicator, so only the folders of these indicators
-    are read. Indicators are members of a dimension; beyond ``MAX_PRUNED`` of
-    them the stored side is narrowed by a semi-join instead of by values.
-    """
-    stored = store.read(table)
-    ids = batch.select("id_indicador").distinct()
-    found = [r[0] for r in ids.limit(MAX_PRUNED + 1).collect()]
-    if len(found) > MAX_PRUNED:
-        return stored.join(ids, "id_indicador", "left_semi")
-    return stored.filter(F.col("id_indicador").isin(found)) if found else stored.limit(0)
 
-
-def load(raw: DataFrame, store: StarStore) -> dict[str, DataFrame]:
+def load(raw: DataFrame, store: StarStore, conflict: str = "ignore") -> dict[str, DataFrame]:
     """Load one batch of raw series into the store. Returns what was not loaded:
     rejects per kind, and the filtered series.
 
+    ``conflict`` says what becomes of a fact whose key is stored already:
+
+    * ``ignore``: the stored one stays, and in a batch the first occurrence wins;
+    * ``update``: the new one replaces it, and in a batch the last occurrence
+      wins; only indicator partitions in which a value changes are rewritten;
+    * ``fail``: the load raises ValueError; so does a key that comes twice in the batch.
+
+    All six tables change together, at the end. A load that stops half way
+    leaves the star as it was and can be run again; if another load ended in
+    between, ``LoadConflict`` is raised and it has to be run again.
+
     The parsed series and the observations are checkpointed once (shared
     folder): three dimension writes, three fact writes and the rejects read
     them instead of parsing the raw JSON again, and a lost executor does not
-    send the later writes back to the raw files.
+    send the later writes back to the raw files. Dimensions don't depend on each
+    other, nor do facts: each three are written at the same time.
     """
+    if conflict not in CONFLICT:
+        raise ValueError(f"conflict is one of {CONFLICT}, not {conflict!r}")
     ensure_checkpoint_dir(raw.sparkSession)
+    new = store.begin()
     b = prepare(raw, keep=lambda df: df.checkpoint(eager=True))
-    for table, cand in dimension_batches(b).items():
+
+    def extend(table: str, candidates: DataFrame) -> None:
         keys, id_col, attrs = DIMENSIONS[table]
-        new = star.extend_dimension(store.read(table), cand, keys, id_col, ORDER, attrs)
-        store.append(table, new)
-    dims = {t: store.read(t) for t in DIMENSIONS}
-    rejects = {"series": b.rejects, "filtered": b.filtered}
-    for table, (good, bad) in fact_batches(b, dims).items():
-        nullable = [k for k in FACT_KEYS[table] if k not in FACT_REQUIRED[table]]
-        new = star.insert_or_ignore(stored_facts(store, table, good), good, FACT_KEYS[table], ORDER, nullable)
-        store.append(table, new.select(*FACT_SCHEMAS[table].fieldNames()))
-        rejects[table] = bad
-    return rejects
+        rows = star.extend_dimension(new.read(table), candidates, keys, id_col, ORDER, attrs)
+        if not rows.isEmpty():
+            new.write(table, rows)
+
+    together(store.spark, *(partial(extend, t, c) for t, c in dimension_batches(b).items()))
+    facts = fact_batches(b, {t: new.read(t) for t in DIMENSIONS})
+    together(store.spark, *(partial(_write_facts, new, t, good, conflict) for t, (good, _) in facts.items()))
+    new.commit(conflict=conflict)
+    return {"series": b.rejects, "filtered": b.filtered, **{t: bad for t, (_, bad) in facts.items()}}
 
 
 FOREIGN_KEYS = {
@@ -297,13 +292,13 @@ FOREIGN_KEYS = {
 
 
 def quality_report(store: StarStore) -> DataFrame:
-    """Rows (table, check, n_rows): NOT NULL violations and orphan foreign
-    keys of every fact table (the declared but unenforced constraints)."""
+    """Rows (table, check, n_rows): NOT NULL violations, orphan foreign keys and
+    repeated unique keys of every fact table (constraints that are declared only)."""
     tables = store.tables()
     out = None
     for fact in FACT_SCHEMAS:
         dims = {fk: (tables[dim], dk) for fk, (dim, dk) in FOREIGN_KEYS.items()}
-        part = star.constraint_counts(tables[fact], FACT_REQUIRED[fact], dims).select(F.lit(fact).alias("table"), "check", "n_rows")
+        part = star.constraint_counts(tables[fact], FACT_REQUIRED[fact], dims, {fact: FACT_KEYS[fact]}).select(F.lit(fact).alias("table"), "check", "n_rows")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from statloom.functions.labels import contains
 from statloom.functions.names import name_parts, norm_label, part, part_or
@@ -16,6 +17,7 @@ from statloom.operators import star
 from statloom.plans.testdata import REGISTRY, query
 from statloom.session import shared_path
 from statloom.sources.tables import Tables
+from statloom.sources.versioned import VersionedTables
 
 
 @query(
@@ -260,6 +262,45 @@ def q_facts_ignore(spark, sf_dir):
     return stored.unionByName(new)
 
 
+EVENT_FACTS = StructType.fromDDL("user_id long, day date, event_id long, value double, event_type string")
+
+
+@query(
+    "facts_update",
+    f"""WITH e AS (SELECT user_id, nullif(event_type, 'view') AS event_type, CAST(ts AS DATE) AS day, event_id, value, ts FROM events),
+ex AS (
+  SELECT user_id, event_type, day, min(event_id) AS event_id, arg_min(value, event_id) AS value
+  FROM e WHERE ts < TIMESTAMP '{CUT}' GROUP BY user_id, event_type, day),
+b AS (
+  SELECT user_id, event_type, day, max(event_id) AS event_id, arg_max(value, event_id) AS value
+  FROM e WHERE event_type IS DISTINCT FROM 'purchase' GROUP BY user_id, event_type, day),
+facts AS (
+  SELECT * FROM b
+  UNION ALL
+  SELECT * FROM ex WHERE NOT EXISTS (
+    SELECT 1 FROM b WHERE ex.user_id IS NOT DISTINCT FROM b.user_id
+      AND ex.event_type IS NOT DISTINCT FROM b.event_type AND ex.day IS NOT DISTINCT FROM b.day))
+SELECT user_id, event_type, strftime(day, '%Y-%m-%d') AS day, event_id, value FROM facts""",
+)
+def q_facts_update(spark, sf_dir):
+    """I4-I6 T6 with ``update``: a batch of all events but purchases replaces
+    stored facts of the same key (null-safe; the last by id wins) in a versioned
+    table partitioned by event type. Only partitions in which a value changes
+    are rewritten."""
+    ev = Tables(spark, sf_dir).events.select(
+        "user_id", F.nullif("event_type", F.lit("view")).alias("event_type"), F.to_date("ts").alias("day"), "event_id", "value", "ts"
+    )
+    keys, order, cols = ["user_id", "event_type", "day"], ["event_id"], EVENT_FACTS.fieldNames()
+    store = VersionedTables(spark, shared_path(spark, "statloom-events", uuid.uuid4().hex), {"facts": EVENT_FACTS}, {"facts": "event_type"})
+    store.append("facts", star.first_wins(ev.filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")).select(*cols), keys, order))
+    new = store.begin()
+    batch = ev.filter(~F.col("event_type").eqNullSafe("purchase")).select(*cols)
+    rows, changed = star.insert_or_update(new.read("facts"), batch, keys, order, "event_type", nullable=["event_type"])
+    new.write("facts", rows, replaces=[store.folder_name("facts", c) for c in changed])
+    new.commit()
+    return store.read("facts").select("user_id", "event_type", "day", "event_id", "value")
+
+
 # Routing of event types to target tables (3 rows).
 EVENT_ROUTES = [("view", "impressions"), ("click", "interactions"), ("purchase", "sales")]
 
@@ -287,23 +328,27 @@ REQUIRED_LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"]
 # PROMO parts, suppliers in debt left out. Prices of small quantities count as not given.
 LINE_KEYS = {"l_orderkey": ("orders", "o_orderkey", "o_orderstatus = 'F'"), "l_partkey": ("part", "p_partkey", "p_type <> 'PROMO'"),
              "l_suppkey": ("supplier", "s_suppkey", "s_acctbal >= 0")}
+UNIQUE_KEYS = {"line": ("l_orderkey", "l_linenumber"), "price": ("l_suppkey", "l_linenumber", "l_extendedprice")}
 
 
 @query(
     "quality_rejects",
-    "WITH f AS (SELECT l_orderkey, l_partkey, l_suppkey, CASE WHEN l_quantity >= 5 THEN l_extendedprice END AS l_extendedprice FROM lineitem)\n"
+    "WITH f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_quantity >= 5 THEN l_extendedprice END AS l_extendedprice FROM lineitem)\n"
     + "\nUNION ALL\n".join(
         [f"SELECT 'null_{c}' AS check_name, count(*) FILTER (WHERE {c} IS NULL) AS n_rows FROM f" for c in REQUIRED_LINE_COLS]
         + [f"SELECT 'orphan_{k}' AS check_name, count(*) AS n_rows FROM f WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{dk} = f.{k} AND {cond})"
            for k, (t, dk, cond) in LINE_KEYS.items()]
+        + [f"SELECT 'unique_{name}' AS check_name, CAST(count(*) - count(DISTINCT ({', '.join(keys)})) AS BIGINT) AS n_rows FROM f" for name, keys in UNIQUE_KEYS.items()]
     ),
 )
 def q_quality_rejects(spark, sf_dir):
-    """NOT NULL violations and orphan foreign keys, counted."""
+    """NOT NULL violations, orphan foreign keys and repeated
+    unique keys (NULL key parts equal each other), counted. The price key repeats
+    where prices are missing."""
     t = Tables(spark, sf_dir)
     price = F.when(F.col("l_quantity") >= 5, F.col("l_extendedprice")).alias("l_extendedprice")
     dims = {k: (getattr(t, table).filter(cond).select(dk), dk) for k, (table, dk, cond) in LINE_KEYS.items()}
-    checks = star.constraint_counts(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", price), REQUIRED_LINE_COLS, dims)
+    checks = star.constraint_counts(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", price), REQUIRED_LINE_COLS, dims, UNIQUE_KEYS)
     return checks.withColumnRenamed("check", "check_name")
 
 

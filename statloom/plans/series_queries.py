@@ -197,7 +197,11 @@ def q_series_load(spark, sf_dir):
     store = ingest.StarStore(spark, shared_path(spark, "statloom-stars", uuid.uuid4().hex))
     ingest.load(_raw(spark, lines.filter("st = 'F'")), store)
     ingest.load(_raw(spark, lines), store)
-    tables = store.tables()
+    return _named_facts(store.tables()).drop("unidad")
+
+
+def _named_facts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Facts of all three tables with the members of their dimensions."""
     out = None
     for fact in ingest.FACT_SCHEMAS:
         df = tables[fact].join(tables["tbl_periodo"], "id_periodo").join(tables["tbl_geografia"].withColumnRenamed("nombre", "geografia"), "id_geografia")
@@ -205,7 +209,42 @@ def q_series_load(spark, sf_dir):
         for c in ("categoria_gasto", "sexo", "sector_cnae", "ocupacion_cno11", "grupo_edad", "tipo_jornada", "tipo_contrato"):
             if c not in df.columns:
                 df = df.withColumn(c, F.lit(None).cast("string"))
-        part = _named(df.withColumn("fact_table", F.lit(fact))).drop("unidad")
+        part = _named(df.withColumn("fact_table", F.lit(fact)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "versioned_load",
+    "WITH " + SERIES_SQL + """, f AS (
+  SELECT *, list_position([50913, 25171, 65334, 65132, 28186, 28191, 6061], code) * 100000000000 + k AS place
+  FROM p WHERE reason IS NULL AND valor IS NOT NULL),
+v1 AS (
+  SELECT fact_table, indicador, anio, mes, trimestre, """ + ", ".join(DETAILS) + """, arg_min(valor, place) AS valor
+  FROM f WHERE st = 'F' GROUP BY fact_table, indicador, anio, mes, trimestre, """ + ", ".join(DETAILS) + """),
+v2 AS (
+  SELECT fact_table, indicador, anio, mes, trimestre, """ + ", ".join(DETAILS) + """, arg_max(valor, place) AS valor
+  FROM f GROUP BY fact_table, indicador, anio, mes, trimestre, """ + ", ".join(DETAILS) + """)
+SELECT 1 AS version, fact_table, indicador, count(*) AS n, round(sum(valor), 6) AS total FROM v1 GROUP BY fact_table, indicador
+UNION ALL SELECT 2, fact_table, indicador, count(*), round(sum(valor), 6) FROM v2 GROUP BY fact_table, indicador""",
+)
+def q_versioned_load(spark, sf_dir):
+    """Finished orders are loaded; a load of all orders stops before
+    it ends, which changes nothing; then it runs again with ``update``. Both
+    versions are read from the same folders."""
+    lines = series_lines(Tables(spark, sf_dir).orders)
+    store = ingest.StarStore(spark, shared_path(spark, "statloom-stars", uuid.uuid4().hex))
+    ingest.load(_raw(spark, lines.filter("st = 'F'")), store)
+    raw = _raw(spark, lines)
+    stopped = store.begin()
+    batch = ingest.prepare(raw)
+    stopped.write("tbl_geografia", star.extend_dimension(stopped.read("tbl_geografia"), ingest.dimension_batches(batch)["tbl_geografia"],
+                                                         ["nombre"], "id_geografia", ingest.ORDER))
+    ingest.load(raw, store, conflict="update")  # what was written above is never seen
+    out = None
+    for version in store.numbers():
+        facts = _named_facts(store.tables(version)).groupBy("fact_table", F.col("indicador").alias("indicador"))
+        part = facts.agg(F.count("*").alias("n"), F.sum("valor").alias("total")).select(F.lit(version).alias("version"), "*")
         out = part if out is None else out.unionByName(part)
     return out
 

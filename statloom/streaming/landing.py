@@ -2,8 +2,8 @@
 
 New JSON Lines files in a landing folder are picked up as micro-batches; each
 batch runs the same load as the batch path (get-or-create dimensions,
-insert-or-ignore facts) through ``foreachBatch``. Because the load ignores
-keys that are already stored, a micro-batch replayed after a failure (the
+insert-or-ignore facts, one new version of the star) through ``foreachBatch``. Because the load ignores
+keys that are already stored (with ``update``, stored values that are the same), a micro-batch replayed after a failure (the
 sink is at-least-once) leaves the tables unchanged: the result is
 exactly-once. The stream's progress lives in the checkpoint location. It has
 to be named, must be in a shared folder, and must be the same at each start,
@@ -31,8 +31,9 @@ def start_landing_stream(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
     files: bool = False,
+    conflict: str = "ignore",
 ) -> StreamingQuery:
-    """Start loading ``landing_dir`` into the star at ``star_root``.
+    """Start loading ``landing_dir`` into the star at ``star_root``; ``conflict`` as in ``ingest.load``.
 
     ``files=True`` reads downloaded ``<code>.json`` table files (one JSON
     document each) instead of JSON Lines.
@@ -51,7 +52,7 @@ def start_landing_stream(
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         if files:
             batch = files_to_series(batch)
-        rejects = ingest.load(batch, store)
+        rejects = ingest.load(batch, store, conflict)
         if rejects_dir:
             # one folder per batch, overwritten: a replayed batch writes its rejects once
             for name, df in rejects.items():

@@ -161,7 +161,10 @@ def test_second_load_reads_only_its_indicators(spark, scratch, capsys):
     batch = ingest.prepare(raw)
     dims = {t: store.read(t) for t in ingest.DIMENSIONS}
     good, _ = ingest.fact_batches(batch, dims)["T_salarios"]
-    ingest.stored_facts(store, "T_salarios", good).explain("formatted")
+    stored = ingest.stored_facts(store.begin(), "T_salarios", good)
+    only = store.read("tbl_indicador").where("nombre = 'Salario_Coste_Trimestral'").first().id_indicador
+    assert {f.split("/")[-2] for f in stored.inputFiles()} == {f"id_indicador={only}"}
+    store.read("T_salarios").where(f"id_indicador = {only}").explain("formatted")
     assert "PartitionFilters: [isnotnull(id_indicador" in capsys.readouterr().out
 
 
