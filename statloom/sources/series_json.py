@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.schemas import BAD_RECORD, READ_SERIES, READ_SERIES_FILE
+from statloom.session import ensure_checkpoint_dir
 
 #: Options of every reader of raw documents (batch and stream).
 KEEP_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
@@ -54,8 +55,8 @@ def files_to_series(df: DataFrame) -> DataFrame:
 
 #: Name of a variant's SQL type -> JSON type.
 _TYPES = {"OBJECT": "object", "ARRAY": "array", "BOOLEAN": "bool", "BIGINT": "int", "DOUBLE": "float", "FLOAT": "float", "STRING": "string", "VOID": "null"}
-#: Levels of objects and arrays below a document: a file's array, its series, their observations, their fields.
-DEPTH = 4
+#: Levels that are counted in one pass over the documents; values nested deeper are kept and counted in further passes.
+LEVELS_PER_PASS = 4
 
 
 def _kind(v: Column) -> Column:
@@ -67,29 +68,65 @@ def _kind(v: Column) -> Column:
     return out
 
 
+def _step(key: Column) -> Column:
+    """Path of a child: ``.key``, ``['a.b']`` for keys that are no plain names, ``[]`` for array elements (no key)."""
+    quoted = F.concat(F.lit("['"), F.replace(F.replace(key, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("']"))
+    return F.when(key.isNull(), F.lit("[]")).when(key.rlike(r"^[\p{L}_][\p{L}\p{N}_]*$"), F.concat(F.lit("."), key)).otherwise(quoted)
+
+
+def _with_children(rows: DataFrame, keys: list[str], themselves: bool = True) -> DataFrame:
+    """Rows (keys, path, type, v), where v is an object or array not looked into yet (NULL: there is none): the rows
+    ``themselves``, and a row for each child of v."""
+    both = F.array(F.lit(True), F.lit(False)) if themselves else F.array(F.lit(False))
+    again = F.when(F.col("v").isNotNull(), both).otherwise(F.array(F.lit(True)))
+    rows = rows.select(*keys, "path", "type", "v", F.explode(again).alias("self"))
+    rows = rows.select(*keys, "path", "type", "self", F.when(~F.col("self"), F.col("v")).alias("v"))
+    inner = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col("v").outer())).where("self OR value IS NOT NULL")
+    inner = inner.select(*keys, "path", "self", "key", "value", "type", _kind(F.col("value")).alias("kind"))
+    return inner.select(
+        *keys,
+        F.when(F.col("self"), F.col("path")).otherwise(F.concat("path", _step(F.col("key")))).alias("path"),
+        F.when(F.col("self"), F.col("type")).otherwise(F.col("kind")).alias("type"),
+        F.when(F.col("kind").isin("object", "array"), F.col("value")).alias("v"),
+    )
+
+
 def schema_report(df: DataFrame, json_col: str, group_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Types of every path of a JSON text column over all rows (per group).
+    """Types of every path of a JSON text column over all rows (per group), however deep.
 
     Rows (group columns, path, type, n): how many values a path has of each
     JSON type (object, array, bool, int, float, string, null). Paths are like
-    ``$``, ``$.Data``, ``$.Data[]`` (elements of an array) and
-    ``$.Data[].Valor``, ``DEPTH`` levels deep. One more row per group has the
-    type ``invalid`` and no path: the texts that are not JSON (NULL included).
-
-    The result has a row per path and type, and the counting has a partial
+    ``$``, ``$.Data``, ``$.Data[]`` (elements of an array),
+    ``$.Data[].Valor``, and ``$['a.b']`` for keys that are no plain names. One more row per group has the
+    type ``invalid`` and no path: the texts that are not JSON (NULL included;
+    Spark's parser also refuses texts nested deeper than 1,000 levels).
+
+    A pass over the documents counts ``LEVELS_PER_PASS`` levels: each object or
+    array stays a row and is exploded into its children. Values nested deeper
+    are written to the shared folder and are the next pass's input, until there
+    are none. The result has a row per path and type, and the counting has a partial
     aggregate: no value grows with the number of documents.
     """
     keys = list(group_cols)
-    level = df.select(*keys, F.lit("$").alias("path"), F.try_parse_json(F.col(json_col)).alias("v"))
-    invalid = (level.groupBy(*keys) if keys else level).agg(F.count_if(F.col("v").isNull()).alias("n"))
-    found = level = level.filter(F.col("v").isNotNull())
-    for _ in range(DEPTH):
-        inner = level.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
-        step = F.when(F.col("key").isNull(), F.lit("[]")).otherwise(F.concat(F.lit("."), F.col("key")))
-        level = inner.select(*keys, F.concat("path", step).alias("path"), F.col("value").alias("v"))
-        found = found.unionByName(level)
-    counts = found.groupBy(*keys, "path", _kind(F.col("v")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.unionByName(invalid.select(*keys, F.lit(None).cast("string").alias("path"), F.lit("invalid").alias("type"), "n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.select(*keys, F.try_parse_json(F.col(json_col)).alias("doc"))
+    rows = rows.select(*keys, F.when(F.col("doc").isNotNull(), F.lit("$")).alias("path"), "doc", _kind(F.col("doc")).alias("kind"))
+    rows = rows.select(
+        *keys, "path", F.coalesce("kind", F.lit("invalid")).alias("type"), F.when(F.col("kind").isin("object", "array"), F.col("doc")).alias("v")
+    )
+    first = result = None
+    while True:
+        for level in range(LEVELS_PER_PASS):
+            rows = _with_children(rows, keys, themselves=first is None or level > 0)  # later passes begin with what is counted
+        counted = rows.groupBy(*keys, "path", "type").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("open")).checkpoint(eager=True)
+        first = counted if first is None else first
+        part = counted.where("path IS NOT NULL").select(*keys, "path", "type", "n")
+        result = part if result is None else result.unionByName(part)
+        if counted.where("open > 0").isEmpty():
+            break
+        rows = rows.where(F.col("v").isNotNull()).checkpoint(eager=True)
+    invalid = (first.groupBy(*keys) if keys else first).agg(F.coalesce(F.sum(F.when(F.col("path").isNull(), F.col("n"))), F.lit(0)).alias("n"))
+    return result.unionByName(invalid.select(*keys, F.lit(None).cast("string").alias("path"), F.lit("invalid").alias("type"), "n"))
 
 
 def series_schema_report(spark: SparkSession, path: str, files: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ import series_fixture as sf
 from pyspark.sql import functions as F
 
 from statloom.plans import ingest
-from statloom.sources.series_json import read_series_files, read_series_lines
+from statloom.sources.series_json import read_series_files, read_series_lines, schema_report
 
 
 def _load(spark, scratch, times=1):
@@ -117,6 +117,22 @@ def test_series_schema_report_counts_every_path(spark, scratch):
     assert files[("$[].Nombre", "string")] + files[("$.Nombre", "string")] == n
 
 
+def test_schema_report_has_no_depth_limit(spark):
+    deep = '{"a": {"b": {"c": {"d": {"e": {"f": [1, [2.5, {"g h": null}]]}}}}}, "a.b": {"it\'s": {}, "x]": [], "back\\\\": true}, "ñ_1": "t", "": 1}'
+    deeper = '{"k": ' * 30 + "[]" + "}" * 30
+    rows = spark.createDataFrame([("p", deep), ("p", '{"a": 1}'), ("p", "{"), ("q", deeper), ("q", None), ("r", "[[[[[[7]]]]]]"), ("s", "x{")], "g string, t string")
+    got = {(r.g, r.path, r.type): r.n for r in schema_report(rows, "t", ("g",)).collect()}
+    want = {"$": "object", "$.a": "object", "$.a.b": "object", "$.a.b.c": "object", "$.a.b.c.d": "object", "$.a.b.c.d.e": "object", "$.a.b.c.d.e.f": "array",
+            "$.a.b.c.d.e.f[]": "int", "$.a.b.c.d.e.f[][]": "float", "$.a.b.c.d.e.f[][]['g h']": "null", "$['a.b']": "object", "$['a.b']['it\\'s']": "object",
+            "$['a.b']['x]']": "array", "$['a.b']['back\\\\']": "bool", "$.ñ_1": "string", "$['']": "int"}
+    p = {("p", path, kind): 1 for path, kind in want.items()} | {("p", "$", "object"): 2, ("p", "$.a", "int"): 1, ("p", None, "invalid"): 1}
+    p |= {("p", "$.a.b.c.d.e.f[]", "array"): 1, ("p", "$.a.b.c.d.e.f[][]", "object"): 1}
+    q = {("q", "$" + ".k" * i, "object"): 1 for i in range(30)} | {("q", "$" + ".k" * 30, "array"): 1, ("q", None, "invalid"): 1}
+    r = {("r", "$" + "[]" * i, "array"): 1 for i in range(6)} | {("r", "$" + "[]" * 6, "int"): 1, ("r", None, "invalid"): 0}
+    assert got == p | q | r | {("s", None, "invalid"): 1}
+    assert [tuple(x) for x in schema_report(rows.where("false"), "t").collect()] == [(None, "invalid", 0)]
+
+
 def _write(folder, lines):
     os.makedirs(folder, exist_ok=True)
     with open(folder + "/batch.json", "w", encoding="utf-8") as fh:
