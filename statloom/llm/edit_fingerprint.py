@@ -12,24 +12,30 @@ priority among the steps of the walk; texts of similar length share most of
 their steps, and a longer text moves a slot only to steps the shorter one does
 not have. Every position of a text is equally likely to be sampled.
 
-Near documents: fingerprints are cut into bands of sampled bits; documents
-that share a band are candidates, and the full fingerprints decide.
+Near documents (``near_groups``): a band is a random choice of the fingerprint's
+bits; documents that agree in all bits of a band are candidates, and the full
+fingerprints decide. A band has a few bits more than the number of fingerprints
+has, so that chance candidates grow with the rows and not with their square;
+there are as many bands as it takes to meet a pair at the threshold with
+probability ``RECALL`` (pairs above it with more). Bands are worked through
+``PASS_BANDS`` at a time, and only (band and bits, node) go through a shuffle:
+the fingerprints are fetched for candidates alone.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import flat
 from statloom.llm.components import components
 from statloom.llm.shared import Tables, text_groups
-from statloom.session import ensure_checkpoint_dir
 
 SLOTS = 512
 #: The shared bits repeat after this many steps.
@@ -208,8 +214,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table([_finish(i, t, c, m, m2, made[len(texts) + k][0]) for k, (i, t, (m, c, m2)) in enumerate(zip(ids, texts, made, strict=False))])
 
 
-def edit_report(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of its edited text.
+def edit_report(docs: DataFrame, tables: Tables | None = None) -> DataFrame:
+    """Fingerprints of every text and of its edited text. What is written on the way goes to ``tables``, for the caller to drop.
 
     The edited text of a document is its text whose last floor(n/2) code
     points are replaced by the first as many (or all) of the next document, in
@@ -224,7 +230,7 @@ def edit_report(docs: DataFrame) -> DataFrame:
     Texts cross the shuffle once, dealt by ranges of doc_id. Only the first
     and last text of each range are joined with their neighbours afterwards.
     """
-    tables = Tables(docs.sparkSession, "edit-fingerprint")
+    tables = tables or Tables(docs.sparkSession, "edit-fingerprint")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.desc_nulls_last("doc_id"), F.col("text")]
     ranges = own.repartitionByRange(text_groups(own, size=RANGE_BYTES), F.desc_nulls_last("doc_id")).sortWithinPartitions(*order)
@@ -241,53 +247,125 @@ def edit_report(docs: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ near documents
 
-BAND_BITS, BANDS = 16, 32
 NEAR = 0.75
+#: Probability that a pair of likeness ``near`` shares a band.
+RECALL = 0.97
+#: Bands whose buckets are shuffled at once.
+PASS_BANDS = 16
+
+
+def band_plan(nodes: int, near: float, recall: float = RECALL) -> tuple[int, int]:
+    """(bits of a band, number of bands) for so many different fingerprints."""
+    bits = min(48, max(12, math.ceil(math.log2(max(nodes, 2))) + 2))
+    same = round(SLOTS * (1 + near) / 2)  # equal bits of a pair at the threshold
+    chance = math.prod((same - i) / (SLOTS - i) for i in range(bits)) if same > bits else 0.0
+    if chance <= 0:
+        raise ValueError("near is too low for bands of this length")
+    return bits, 1 if chance >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
+
+
+def _band_bits(band: int, bits: int) -> np.ndarray:
+    """Which bits of a fingerprint make the band."""
+    return np.argsort(flat.seeded(SLOTS, 9001 + band), kind="stable")[:bits]
+
+
+def _buckets(bands: range, bits: int):
+    """Rows (bucket, node) for each of some bands; a bucket is the band's number and its bits."""
+    chosen = [_band_bits(b, bits) for b in bands]
+    weight = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.frombuffer(b"".join(batch.column("mark").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            every = np.unpackbits(marks, axis=1)
+            for band, at in zip(bands, chosen, strict=True):
+                value = (every[:, at].astype(np.uint64) * weight).sum(axis=1, dtype=np.uint64)
+                key = (np.uint64(band) << np.uint64(bits)) | value
+                yield pa.record_batch([pa.array(key.view(np.int64)), batch.column("node")], ["bucket", "node"])
+
+    return run
+
 
+def _verified(near: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("left", "right"))
+            wrong = np.bitwise_count(a ^ b).sum(axis=1)
+            yield batch.select(["u", "v"]).filter(pa.array(1 - 2 * wrong / SLOTS >= near))
 
-def _alike(a: str, b: str) -> Column:
-    """Likeness of two hexadecimal fingerprints."""
-    words = [F.bit_count(_word(a, k).bitwiseXOR(_word(b, k))) for k in range(SLOTS // 32)]
-    wrong = words[0]
-    for w in words[1:]:
-        wrong = wrong + w
-    return F.greatest(F.lit(0.0), 1 - 2 * wrong / SLOTS)
+    return run
 
 
-def _word(column: str, k: int) -> Column:
-    return F.conv(F.substring(column, 8 * k + 1, 8), 16, 10).cast("long")
+def _links(pairs: DataFrame, nodes: DataFrame, near: float) -> DataFrame:
+    """The pairs (u, v) of nodes whose fingerprints are alike."""
+    joined = pairs.join(nodes.select(F.col("node").alias("u"), F.col("mark").alias("left")), "u")
+    joined = joined.join(nodes.select(F.col("node").alias("v"), F.col("mark").alias("right")), "v")
+    return joined.select("u", "v", "left", "right").mapInArrow(_verified(near), "u long, v long")
 
 
-def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()) -> DataFrame:
+def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = (), recall: float = RECALL) -> DataFrame:
     """Groups of documents whose fingerprints are alike.
 
-    ``marks`` has doc_id and fingerprint. Candidates share a band (``BAND_BITS``
-    neighbouring slots, each slot a sampled bit); they are linked if their
-    likeness is ``near`` or more. Documents with one fingerprint are one node.
-    Each node is first verified against its bands' least fingerprints, which
-    joins large groups with few pairs; then all candidates of different groups
-    are. Returns doc_id, fingerprint, the columns in ``keep`` and group_id, the
-    smallest doc_id of the group. NULL fingerprints form no group (group_id is the own doc_id).
+    ``marks`` has doc_id and fingerprint (hexadecimal). Documents with one fingerprint are one
+    node (named by a 64-bit hash). Candidates share all bits of a band; they are linked if their
+    likeness is ``near`` or more. In every bucket (the nodes that share a band) each node is
+    first verified against the least one, which joins large groups with few pairs; then, in buckets that still hold nodes of
+    different groups, the pairs between groups are. A pair at the threshold is met with
+    probability ``recall``, a closer one with more.
+
+    Returns doc_id, fingerprint, the columns in ``keep`` and group_id, the
+    smallest doc_id of the group. NULL fingerprints form no group (group_id is the own doc_id);
+    an empty table gives no rows. A column of ``keep`` may not be named group_id.
     """
-    ensure_checkpoint_dir(marks.sparkSession)
-    nodes = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least")).checkpoint()
-    digits = BAND_BITS // 4
-    band = F.posexplode(F.array(*(F.substring("fingerprint", digits * k + 1, digits) for k in range(BANDS)))).alias("band", "bits")
-    bands = nodes.select("fingerprint", band).checkpoint()
-    pivots = bands.groupBy("band", "bits").agg(F.min("fingerprint").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    pairs = bands.join(pivots, ["band", "bits"]).where("fingerprint != pivot").select("fingerprint", "pivot").distinct()
-    links = pairs.where(_alike("fingerprint", "pivot") >= near).select(F.col("fingerprint").alias("u"), F.col("pivot").alias("v")).checkpoint()
-    group = components(links)
-    own = bands.join(group.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    mixed = own.groupBy("band", "bits").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    own = own.join(mixed.select("band", "bits"), ["band", "bits"]).checkpoint()
-    other = own.select("band", "bits", F.col("fingerprint").alias("f2"), F.col("component").alias("c2"))
-    pairs = own.join(other, ["band", "bits"]).where("component < c2").select("fingerprint", "f2").distinct()
-    more = pairs.where(_alike("fingerprint", "f2") >= near).select(F.col("fingerprint").alias("u"), F.col("f2").alias("v"))
-    group = components(links.unionByName(more)).withColumnRenamed("node", "fingerprint")
-    named = nodes.join(group, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    least = named.groupBy("component").agg(F.min("least").alias("group_id"))
-    named = named.join(least, "component").select("fingerprint", "group_id")
-    return marks.select("doc_id", "fingerprint", *keep).join(named, "fingerprint", "left").select(
+    tables = Tables(marks.sparkSession, "near-groups")
+    named = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    nodes = tables.write(named.select(F.xxhash64("fingerprint").alias("node"), F.unhex("fingerprint").alias("mark"), "least", "copies"), "nodes")
+    bits, bands = band_plan(nodes.count(), near, recall)
+    links, crowded = [], []
+    for first in range(0, bands, PASS_BANDS):
+        rows = nodes.select("node", "mark").mapInArrow(_buckets(range(first, min(bands, first + PASS_BANDS)), bits), "bucket long, node long")
+        shared = rows.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+        met = tables.write(rows.join(shared, "bucket"), f"met-{first}")
+        pairs = met.where("node != pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+        links.append(tables.write(_links(pairs, nodes, near), f"links-{first}"))
+        crowded.append(met.where("n > 2").select("bucket", "node"))
+    group = tables.write(components(_union(links)), "components")
+    more = []
+    for k, rows in enumerate(crowded):  # two nodes of a bucket of two have met
+        own = rows.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+        own = tables.write(own.join(mixed, "bucket"), f"mixed-{k}")
+        other = own.select("bucket", F.col("node").alias("v"), F.col("component").alias("c2"))
+        pairs = own.join(other, "bucket").where("component < c2").select(F.col("node").alias("u"), "v").distinct()
+        more.append(tables.write(_links(pairs, nodes, near), f"more-{k}"))
+    if not _union(more).isEmpty():
+        group = tables.write(components(_union([*links, *more])), "more-components")
+    done = nodes.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    size = done.groupBy("component").agg(F.min("least").alias("group_id"), F.sum("copies").alias("members")).where("members > 1")
+    named = done.join(size, "component").select(F.lower(F.hex("mark")).alias("fingerprint"), "group_id")
+    out = marks.select("doc_id", "fingerprint", *keep).join(named, "fingerprint", "left").select(
         "doc_id", "fingerprint", *keep, F.coalesce("group_id", "doc_id").alias("group_id")
     )
+    out = out.checkpoint()
+    tables.drop()
+    return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def near_report(docs: DataFrame, near: float = NEAR) -> DataFrame:
+    """``edit_report`` with the group of each document."""
+    tables = Tables(docs.sparkSession, "edit-fingerprint")
+    done = edit_report(docs, tables)
+    out = near_groups(done, near, keep=tuple(c for c in done.columns if c not in ("doc_id", "fingerprint"))).select(*done.columns, "group_id")
+    tables.drop()
+    return out

@@ -55,8 +55,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = edit_fingerprint.edit_report(read_table(spark, sf_dir, "documents"))
-    return edit_fingerprint.near_groups(done, keep=tuple(c for c in done.columns if c not in ("doc_id", "fingerprint"))).select(*done.columns, "group_id")
+    return edit_fingerprint.near_report(read_table(spark, sf_dir, "documents"))
 
 
 WORDS = r"[^\x20\x09-\x0D]+"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,25 @@ from statloom.session import shared_path
 GROUP_BYTES = 16 << 20
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds for a while and is then put back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 class Tables:
-    """Parquet tables under one folder of ``spark.checkpoint.dir``; ``drop`` removes them."""
+    """Parquet tables under one folder of ``spark.checkpoint.dir``; ``drop`` removes them.
+
+    Shuffle files of a write go when the table is there: nothing reads them again.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -22,7 +41,8 @@ class Tables:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str | None = None) -> None:

@@ -243,3 +243,35 @@ def test_edit_fingerprint_query_groups_near_documents(spark, tmp_path):
     rows = run(spark, "op10_edit_fingerprint", str(tmp_path)).collect()
     assert {r.doc_id: r.group_id for r in rows} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5} and len(rows) == 6
     assert {r.doc_id: r.n_chars for r in rows} == {d: len(t or "") for d, t in docs}
+
+
+def test_near_groups_find_the_linked_pairs(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    near = 0.6
+    marks = edit_fingerprint.edit_report(docs.where("length(text) > 0")).select("doc_id", "fingerprint").checkpoint()
+    rows = [(r.doc_id, np.frombuffer(bytes.fromhex(r.fingerprint), np.uint8)) for r in marks.collect()]
+    links = [(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[:i] if edit_fingerprint.likeness(x, y) >= near]
+    root = {d: d for d, _ in rows}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    group = {r.doc_id: r.group_id for r in edit_fingerprint.near_groups(marks, near).collect()}
+    assert len(links) > 100 and sum(group[a] == group[b] for a, b in links) >= 0.95 * len(links)
+    for d in group:  # no group joins what links don't
+        assert find(d) == find(group[d]) and group[d] <= d
+
+
+def test_bands_follow_the_rows_and_the_threshold():
+    for n in (2, 50_000, 15_000_000, 50_000_000_000):
+        bits, bands = edit_fingerprint.band_plan(n, 0.75)
+        assert 2**bits >= min(4 * n, 2**38)
+        chance = ((1 + 0.75) / 2) ** bits
+        assert 1 - (1 - chance) ** bands > 0.95
+    assert edit_fingerprint.band_plan(10, 1.0)[1] == 1
+    assert len(set(edit_fingerprint._band_bits(3, 20).tolist())) == 20
