@@ -18,8 +18,8 @@ fingerprints decide. A band has a few bits more than the number of fingerprints
 has, so that chance candidates grow with the rows and not with their square;
 there are as many bands as it takes to meet a pair at the threshold with
 probability ``RECALL`` (pairs above it with more). Bands are worked through
-``PASS_BANDS`` at a time, and only (band and bits, node) go through a shuffle:
-the fingerprints are fetched for candidates alone.
+``PASS_BANDS`` at a time, and only (band and bits, node) go through a shuffle,
+added up before it: the fingerprints are fetched for candidates alone.
 """
 
 from __future__ import annotations
@@ -249,14 +249,16 @@ def edit_report(docs: DataFrame, tables: Tables | None = None) -> DataFrame:
 
 NEAR = 0.75
 #: Probability that a pair of likeness ``near`` shares a band.
-RECALL = 0.97
+RECALL = 0.95
 #: Bands whose buckets are shuffled at once.
-PASS_BANDS = 16
+PASS_BANDS = 32
+#: Buckets of three nodes or more up to which they are looked up in each task instead of by a shuffle.
+LOOKED_UP = 1_000_000
 
 
 def band_plan(nodes: int, near: float, recall: float = RECALL) -> tuple[int, int]:
     """(bits of a band, number of bands) for so many different fingerprints."""
-    bits = min(48, max(12, math.ceil(math.log2(max(nodes, 2))) + 2))
+    bits = min(48, max(12, math.ceil(math.log2(max(nodes, 2))) + 4))
     same = round(SLOTS * (1 + near) / 2)  # equal bits of a pair at the threshold
     chance = math.prod((same - i) / (SLOTS - i) for i in range(bits)) if same > bits else 0.0
     if chance <= 0:
@@ -264,6 +266,12 @@ def band_plan(nodes: int, near: float, recall: float = RECALL) -> tuple[int, int
     return bits, 1 if chance >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
 
 
+def sketch_bound(near: float) -> int:
+    """Differing bits among a fingerprint's first 64 that a pair of likeness ``near`` exceeds with a probability below 10^-5."""
+    wrong = (1 - near) / 2
+    return min(64, math.ceil(64 * wrong + 4.5 * math.sqrt(64 * wrong * (1 - wrong))))
+
+
 def _band_bits(band: int, bits: int) -> np.ndarray:
     """Which bits of a fingerprint make the band."""
     return np.argsort(flat.seeded(SLOTS, 9001 + band), kind="stable")[:bits]
@@ -314,7 +322,7 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     node (named by a 64-bit hash). Candidates share all bits of a band; they are linked if their
     likeness is ``near`` or more. In every bucket (the nodes that share a band) each node is
     first verified against the least one, which joins large groups with few pairs; then, in buckets that still hold nodes of
-    different groups, the pairs between groups are. A pair at the threshold is met with
+    different groups, the pairs between groups are, if the first 64 bits allow it. A pair at the threshold is met with
     probability ``recall``, a closer one with more.
 
     Returns doc_id, fingerprint, the columns in ``keep`` and group_id, the
@@ -323,24 +331,32 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     """
     tables = Tables(marks.sparkSession, "near-groups")
     named = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    nodes = tables.write(named.select(F.xxhash64("fingerprint").alias("node"), F.unhex("fingerprint").alias("mark"), "least", "copies"), "nodes")
+    sketch = F.conv(F.substring("fingerprint", 1, 16), 16, -10).cast("long").alias("sketch")  # its first 64 bits
+    nodes = tables.write(named.select(F.xxhash64("fingerprint").alias("node"), F.unhex("fingerprint").alias("mark"), sketch, "least", "copies"), "nodes")
     bits, bands = band_plan(nodes.count(), near, recall)
     links, crowded = [], []
     for first in range(0, bands, PASS_BANDS):
         rows = nodes.select("node", "mark").mapInArrow(_buckets(range(first, min(bands, first + PASS_BANDS)), bits), "bucket long, node long")
-        shared = rows.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-        met = tables.write(rows.join(shared, "bucket"), f"met-{first}")
-        pairs = met.where("node != pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+        shared = rows.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("n > 1")
+        shared = tables.write(shared, f"shared-{first}")
+        large = shared.where("n > 2").select("bucket", F.col("low").alias("pivot"))
+        if large.limit(LOOKED_UP + 1).count() <= LOOKED_UP:
+            large = F.broadcast(large)  # two numbers a bucket
+        met = tables.write(rows.join(large, "bucket"), f"met-{first}")
+        pairs = shared.where("n = 2").select(F.col("high").alias("u"), F.col("low").alias("v"))
+        pairs = pairs.unionByName(met.where("node != pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))).distinct()
         links.append(tables.write(_links(pairs, nodes, near), f"links-{first}"))
-        crowded.append(met.where("n > 2").select("bucket", "node"))
+        tables.drop(f"shared-{first}")
+        crowded.append(met.select("bucket", "node"))
     group = tables.write(components(_union(links)), "components")
     more = []
     for k, rows in enumerate(crowded):  # two nodes of a bucket of two have met
         own = rows.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        own = tables.write(own.join(mixed, "bucket"), f"mixed-{k}")
-        other = own.select("bucket", F.col("node").alias("v"), F.col("component").alias("c2"))
-        pairs = own.join(other, "bucket").where("component < c2").select(F.col("node").alias("u"), "v").distinct()
+        own = tables.write(own.join(mixed, "bucket").join(nodes.select("node", "sketch"), "node"), f"mixed-{k}")
+        other = own.select("bucket", F.col("node").alias("v"), F.col("component").alias("c2"), F.col("sketch").alias("s2"))
+        likely = F.bit_count(F.col("sketch").bitwiseXOR(F.col("s2"))) <= sketch_bound(near)
+        pairs = own.join(other, "bucket").where(F.col("component") < F.col("c2")).where(likely).select(F.col("node").alias("u"), "v").distinct()
         more.append(tables.write(_links(pairs, nodes, near), f"more-{k}"))
     if not _union(more).isEmpty():
         group = tables.write(components(_union([*links, *more])), "more-components")
