@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import flat
@@ -266,12 +266,6 @@ def band_plan(nodes: int, near: float, recall: float = RECALL) -> tuple[int, int
     return bits, 1 if chance >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
 
 
-def sketch_bound(near: float) -> int:
-    """Differing bits among a fingerprint's first 64 that a pair of likeness ``near`` exceeds with a probability below 10^-5."""
-    wrong = (1 - near) / 2
-    return min(64, math.ceil(64 * wrong + 4.5 * math.sqrt(64 * wrong * (1 - wrong))))
-
-
 def _band_bits(band: int, bits: int) -> np.ndarray:
     """Which bits of a fingerprint make the band."""
     return np.argsort(flat.seeded(SLOTS, 9001 + band), kind="stable")[:bits]
@@ -308,6 +302,11 @@ def _verified(near: float):
     return run
 
 
+def _word(k: int) -> Column:
+    """64 bits of a fingerprint."""
+    return F.conv(F.hex(F.substring("mark", 8 * k + 1, 8)), 16, -10).cast("long")
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, near: float) -> DataFrame:
     """The pairs (u, v) of nodes whose fingerprints are alike."""
     joined = pairs.join(nodes.select(F.col("node").alias("u"), F.col("mark").alias("left")), "u")
@@ -322,7 +321,7 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     node (named by a 64-bit hash). Candidates share all bits of a band; they are linked if their
     likeness is ``near`` or more. In every bucket (the nodes that share a band) each node is
     first verified against the least one, which joins large groups with few pairs; then, in buckets that still hold nodes of
-    different groups, the pairs between groups are, if the first 64 bits allow it. A pair at the threshold is met with
+    different groups, the pairs between groups are. A pair at the threshold is met with
     probability ``recall``, a closer one with more.
 
     Returns doc_id, fingerprint, the columns in ``keep`` and group_id, the
@@ -331,8 +330,7 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     """
     tables = Tables(marks.sparkSession, "near-groups")
     named = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    sketch = F.conv(F.substring("fingerprint", 1, 16), 16, -10).cast("long").alias("sketch")  # its first 64 bits
-    nodes = tables.write(named.select(F.xxhash64("fingerprint").alias("node"), F.unhex("fingerprint").alias("mark"), sketch, "least", "copies"), "nodes")
+    nodes = tables.write(named.select(F.xxhash64("fingerprint").alias("node"), F.unhex("fingerprint").alias("mark"), "least", "copies"), "nodes")
     bits, bands = band_plan(nodes.count(), near, recall)
     links, crowded = [], []
     for first in range(0, bands, PASS_BANDS):
@@ -353,11 +351,14 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     for k, rows in enumerate(crowded):  # two nodes of a bucket of two have met
         own = rows.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        own = tables.write(own.join(mixed, "bucket").join(nodes.select("node", "sketch"), "node"), f"mixed-{k}")
-        other = own.select("bucket", F.col("node").alias("v"), F.col("component").alias("c2"), F.col("sketch").alias("s2"))
-        likely = F.bit_count(F.col("sketch").bitwiseXOR(F.col("s2"))) <= sketch_bound(near)
-        pairs = own.join(other, "bucket").where(F.col("component") < F.col("c2")).where(likely).select(F.col("node").alias("u"), "v").distinct()
-        more.append(tables.write(_links(pairs, nodes, near), f"more-{k}"))
+        own = own.join(mixed, "bucket").join(nodes.select("node", *(_word(k).alias(f"w{k}") for k in range(SLOTS // 64))), "node")
+        own = tables.write(own, f"mixed-{k}")
+        other = own.select(*(F.col(c).alias(c if c == "bucket" else f"{c} of other") for c in own.columns))
+        wrong = sum((F.bit_count(F.col(f"w{w}").bitwiseXOR(F.col(f"w{w} of other"))) for w in range(SLOTS // 64)), F.lit(0))
+        alike = (F.col("component") < F.col("component of other")) & (wrong <= math.floor(SLOTS * (1 - near) / 2))
+        pairs = own.join(other, "bucket").where(alike).select(F.col("node").alias("u"), F.col("node of other").alias("v"))
+        more.append(tables.write(pairs.distinct(), f"more-{k}"))
+        tables.drop(f"mixed-{k}")
     if not _union(more).isEmpty():
         group = tables.write(components(_union([*links, *more])), "more-components")
     done = nodes.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
