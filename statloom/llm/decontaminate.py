@@ -11,9 +11,11 @@ item can hold a match, so NumPy finds those stretches first and the automaton
 runs over them alone; nothing else can change a match length of two or more.
 
 Documents are never shuffled. The items are the query set: they are split
-into blocks of ``BLOCK_BYTES`` by size, each block's automaton is broadcast
-(so every broadcast is bounded), and the documents pass through the blocks
-one after the other inside the same tasks.
+into blocks of ``BLOCK_BYTES`` by size, and each block's automaton is broadcast.
+With several blocks the documents pass through them one after the other; what
+was found so far is written to the shared folder in between, and a broadcast
+ends with its pass. So a task holds one automaton and one Python worker however
+large the benchmark is.
 """
 
 from __future__ import annotations
@@ -28,10 +30,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from statloom.llm import flat
+from statloom.llm.shared import Tables
 
 WINDOW = 10
 #: Bytes of item text in one automaton.
 BLOCK_BYTES = 2 << 20
+#: Bytes of document text that a task works on at once.
+TEXT_BYTES = 2 << 20
 
 
 class ItemIndex:
@@ -156,7 +161,7 @@ _FOUND = "n_words long, n_hit long, hits array<int>, items array<string>, longes
 def _scan(index_of, extra: list[str], schema: pa.Schema, again: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: ItemIndex = index_of.value
-        for block in flat.blocks(batches):
+        for block in flat.blocks(batches, size=TEXT_BYTES):
             words = flat.find_words(*flat.text_buffer(block.column("text")), flat.ALNUM_LOWER)
             first, end, code = index.stretches(words)
             n = block.num_rows
@@ -197,17 +202,33 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep: tup
     share an id count once. A NULL item_id is the id "" . Other columns are
     ignored unless named in ``keep``. No items or documents: no hits or rows.
     """
+    return _through(docs, items, window, keep)
+
+
+def _through(docs: DataFrame, items: DataFrame, window: int, keep: tuple[str, ...], last=None, last_schema: StructType | None = None) -> DataFrame:
+    """The documents with what ``find_hits`` finds. ``last`` is a further step on its batches in the last pass's tasks."""
     spark = docs.sparkSession
     chosen = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-total // BLOCK_BYTES))
+    keep = tuple(c for c in keep if c != "doc_id")
     done = docs.select("doc_id", *keep, *([] if "text" in keep else ["text"]))
+    tables = Tables(spark, "decontaminate")
     for k in range(count):  # one automaton at a time: each block is bounded, and so is what the driver holds
         part = chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).distinct()
-        index = ItemIndex([tuple(r) for r in part.collect()], window)
-        extra = [c for c in docs.columns if c in ("doc_id", *keep) or c == "text" and k < count - 1]
+        held = spark.sparkContext.broadcast(ItemIndex([tuple(r) for r in part.collect()], window))
+        extra = [c for c in done.columns if c in ("doc_id", *keep) or c == "text" and k < count - 1]
         out = StructType([*docs.select(*extra).schema.fields, *StructType.fromDDL(_FOUND).fields])
-        done = done.mapInArrow(_scan(spark.sparkContext.broadcast(index), extra, to_arrow_schema(out), k > 0), out)
+        scan = _scan(held, extra, to_arrow_schema(out), k > 0)
+        if k < count - 1:
+            done = tables.write(done.mapInArrow(scan, out), f"pass-{k}")
+            held.destroy()
+            if k:
+                tables.drop(f"pass-{k - 1}")
+        elif last is None:
+            done = done.mapInArrow(scan, out)
+        else:
+            done = done.mapInArrow(lambda batches, scan=scan: last(scan(batches)), last_schema)
     return done
 
 
@@ -221,7 +242,7 @@ def report(found: DataFrame) -> DataFrame:
 
 def _cut(schema: pa.Schema, max_words: int, max_share: float, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in flat.blocks(batches):
+        for block in flat.blocks(batches, size=TEXT_BYTES):
             buf, off = flat.text_buffer(block.column("text"))
             hits, kept, texts = block.column("hits").to_pylist(), [], []
             some = [r for r, h in enumerate(hits) if h]
@@ -256,6 +277,19 @@ def _cut(schema: pa.Schema, max_words: int, max_share: float, window: int):
 def remove_hits(found: DataFrame, columns: list[str], max_words: int = WINDOW, max_share: float = 0.5, window: int = WINDOW) -> DataFrame:
     """Cut hit spans of at least ``max_words`` words out of the texts, and shorter ones that are whole items
     of fewer words than ``window`` (that of ``find_hits``); drop documents with more than ``max_share`` of
-    their words in hit spans. Documents without hits keep their text unchanged (NULL too)."""
+    their words in hit spans. Documents without hits keep their text unchanged (NULL too). No rows give no rows."""
     schema = found.select(*columns).schema
     return found.select(*columns, "hits").mapInArrow(_cut(to_arrow_schema(schema), max_words, max_share, window), schema)
+
+
+def clean(docs: DataFrame, items: DataFrame, columns: list[str], max_words: int = WINDOW, max_share: float = 0.5, window: int = WINDOW) -> DataFrame:
+    """``find_hits`` and ``remove_hits`` in the same tasks: ``columns`` of the documents that stay (text among them), and n_hit.
+
+    A column named like one that ``find_hits`` makes can't be among them.
+    """
+    kept = docs.select(*columns).schema
+    schema = StructType([*kept.fields, *StructType.fromDDL("n_hit long").fields])
+    keep = tuple(c for c in columns if c != "doc_id")
+    if clash := set(keep) & set(StructType.fromDDL(_FOUND).fieldNames()):
+        raise ValueError(f"columns that find_hits makes: {sorted(clash)}")
+    return _through(docs, items, window, keep, _cut(to_arrow_schema(schema), max_words, max_share, window), schema)

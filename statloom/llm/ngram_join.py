@@ -113,7 +113,7 @@ def bucket(token: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ 1. signatures
 
-_SIGNATURE = "doc_id long, node long, n int, slice int, counts binary"
+_SIGNATURE = "doc_id long, text_hash long, node long, n int, slice int, counts binary"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +124,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh[sets.distinct_rows()] = True
         counts += np.bincount(bucket(sets.token[fresh[sets.row]]), minlength=BUCKETS)
         n, none = block.num_rows, pa.nulls(block.num_rows, pa.int32())
-        yield pa.record_batch([block.column("doc_id").cast(pa.int64()), pa.array(sets.node, mask=sets.size == 0), pa.array(sets.size, pa.int32()),
-                               none, pa.nulls(n, pa.binary())], ["doc_id", "node", "n", "slice", "counts"])
+        yield pa.record_batch([block.column("doc_id"), block.column("text_hash"), pa.array(sets.node, mask=sets.size == 0), pa.array(sets.size, pa.int32()),
+                               none, pa.nulls(n, pa.binary())], ["doc_id", "text_hash", "node", "n", "slice", "counts"])
     if counts.any():
         parts = [flat.narrow(x) for x in np.split(counts, SLICES)]
-        empty = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int32())]
-        yield pa.record_batch([*empty, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "node", "n", "slice", "counts"])
+        empty = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32())]
+        yield pa.record_batch([*empty, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())],
+                              ["doc_id", "text_hash", "node", "n", "slice", "counts"])
 
 
 def _add_counts(table: pa.Table) -> pa.Table:
@@ -421,8 +422,9 @@ class _Join:
         spark = docs.sparkSession
         self.docs, self.percent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), percent
         self.tables = Tables(spark, "ngram-join")
-        signed = self.tables.write(self.docs.mapInArrow(_signatures, _SIGNATURE), "signatures")
-        self.rows = signed.where("slice IS NULL").select("doc_id", "node", "n")
+        hashed = self.docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+        signed = self.tables.write(hashed.mapInArrow(_signatures, _SIGNATURE), "signatures")
+        self.rows = signed.where("slice IS NULL").select("doc_id", "text_hash", "node", "n")
         slices = signed.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(_add_counts, "slice int, counts binary").collect()
         counts = np.zeros(BUCKETS)
         for s, x in slices:  # SLICES rows, 8 MB at most
@@ -482,7 +484,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Each document's shingle count and the component of its links.
 
     Returns doc_id, n_shingles (long) and component_id: the smallest doc_id
-    that links lead to, the document's own included.
+    that links lead to, the document's own included. Two more columns tell rows
+    apart that share a doc_id: text_hash (xxhash64 of the text) and node, a name of the component (NULL: no words).
 
     NULL, empty and blank texts have no shingles and are linked with nothing.
     Fewer than five words make one shingle of the whole sequence. Documents
@@ -504,10 +507,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = join.rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = nodes.join(least, "component").select("node", "component_id")
+    named = nodes.join(least, "component").select("node", "component_id", "component")
     done = join.rows.join(named, "node", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+        "text_hash", F.col("component").alias("node"),
+    )
     done = done.checkpoint()
     tables.drop()
     return done

@@ -84,7 +84,7 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 OP5_SQL = rf"""

@@ -51,3 +51,25 @@ def test_short_benchmark_items_are_cut(spark, tmp_path):
     docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
     left = {r.doc_id: (r.text and " ".join(r.text.split()), r.n_chars == len(r.text or "")) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()}
     assert left == {2: (f"{around} {around}", True), 3: (f"{around} end", True), 4: (texts[3][1], True), 5: (None, True)}
+
+
+def test_documents_that_share_an_id_are_judged_each(spark):
+    x, y, z = ("".join(f"{w}{i} " for i in range(30)) for w in ("x", "y", "z"))
+    rows = [(3, x), (5, x), (5, y), (5, z), (5, z), (6, z + "more"), (7, y.replace("y29", "end")), (8, "one two"), (8, "three"), (8, "one two"), (9, None), (9, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = sorted((r.doc_id, r.text or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    # x of 5 is a copy of 3, z of 6 and y of 7 are near the texts of 5; "one two" is a shingle of its own
+    assert left == sorted([(3, x), (5, y), (5, z), (8, "one two"), (8, "three"), (9, "")])
+
+
+def test_many_item_blocks_give_the_same_hits(spark, monkeypatch):
+    docs = read_table(spark, SF, "documents")
+    items = read_table(spark, SF, "benchmark")
+    one = corpus_pipeline.hits.clean(docs, items, corpus_pipeline.COLUMNS)
+    want = sorted(tuple(r) for r in one.collect())
+    found = sorted((r.doc_id, r.hits, r["items"]) for r in corpus_pipeline.hits.find_hits(docs, items).collect())
+    monkeypatch.setattr(corpus_pipeline.hits, "BLOCK_BYTES", 2000)
+    many = corpus_pipeline.hits.clean(docs, items, corpus_pipeline.COLUMNS)
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(tuple(r) for r in many.collect()) == want
+    assert sorted((r.doc_id, r.hits, r["items"]) for r in corpus_pipeline.hits.find_hits(docs, items).collect()) == found
