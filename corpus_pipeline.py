@@ -13,8 +13,8 @@ stage's docs. All but the last return the columns of ``documents``.
 Documents that a stage has nothing against keep their text unchanged, NULL
 texts too (the last stage encodes NULL like the empty text). Where a text
 changes, n_chars follows it. Rows without a doc_id belong to no group of
-copies: near_duplicates passes them on. Rows that share a doc_id are one
-document: near_duplicates keeps the first by text. Columns besides those of
+copies: near_duplicates passes them on. Rows that share a doc_id but not the
+text are documents of their own; of equal rows one stays. Columns besides those of
 ``documents`` are not passed on; an empty table stays empty.
 """
 
@@ -36,32 +36,23 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
-#: Rows of an Arrow batch: whole texts are long, and a batch is held by the JVM and the Python worker at once.
-BATCH_ROWS = 2000
-
-
-def _small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _small_batches(spark)
     model = tox.train(docs, read_table(spark, sf_dir, "labels"))
     return tox.score(docs, model, keep=tuple(COLUMNS)).where("predicted = 0").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _small_batches(spark)
-    named = docs.select(*COLUMNS).where("doc_id IS NOT NULL")
-    stay = ngram_join.near_duplicates(named).where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(stay, "doc_id")
-    # after the join the rows of a doc_id lie together: keeping one costs no shuffle
-    kept = kept.withColumn("again", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("again = 1")
+    named = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL")
+    found = ngram_join.near_duplicates(named)
+    first = found.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    stay = first.unionByName(found.where("node IS NULL").select("doc_id", "text_hash").distinct())  # without words: linked with nothing
+    kept = named.join(stay, ["doc_id", "text_hash"])
+    # after the join equal rows lie together: keeping one costs no shuffle
+    kept = kept.withColumn("again", F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("lang", "source", "n_chars"))).where("again = 1")
     return kept.select(*COLUMNS).unionByName(docs.select(*COLUMNS).where("doc_id IS NULL"))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _small_batches(spark)
     marked = docs.select(*COLUMNS, F.col("text").isNull().alias("no_text"))
     done = substring_dedup.dedup_windows(marked, keep=("lang", "source", "n_chars", "no_text"), as_is=True)
     changed = F.col("n_removed") > 0
@@ -73,14 +64,12 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _small_batches(spark)
-    found = hits.find_hits(docs, read_table(spark, sf_dir, "benchmark"), keep=tuple(COLUMNS[1:]))
-    done = hits.remove_hits(found.withColumn("cut", F.size("hits") > 0), [*COLUMNS, "cut"])
-    return done.withColumn("n_chars", F.when(F.col("cut"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    done = hits.clean(docs, read_table(spark, sf_dir, "benchmark"), COLUMNS)
+    changed = F.when(F.col("n_hit") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return done.withColumn("n_chars", changed).select(*COLUMNS)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _small_batches(spark)
     return sentencepiece_bpe.digests(docs, tokenizer_file("piece_bpe_32k.model"), keep=("lang", "source"), ids=True)
 
 
