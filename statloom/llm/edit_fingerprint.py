@@ -251,7 +251,7 @@ NEAR = 0.75
 #: Probability that a pair of likeness ``near`` shares a band.
 RECALL = 0.95
 #: Bands whose buckets are shuffled at once.
-PASS_BANDS = 32
+PASS_BANDS = 64
 #: Buckets of three nodes or more up to which they are looked up in each task instead of by a shuffle.
 LOOKED_UP = 1_000_000
 
