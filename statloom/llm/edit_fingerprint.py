@@ -251,7 +251,7 @@ NEAR = 0.75
 #: Probability that a pair of likeness ``near`` shares a band.
 RECALL = 0.95
 #: Bands whose buckets are shuffled at once.
-PASS_BANDS = 64
+PASS_BANDS = 32
 #: Buckets of three nodes or more up to which they are looked up in each task instead of by a shuffle.
 LOOKED_UP = 1_000_000
 
@@ -320,7 +320,7 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     ``marks`` has doc_id and fingerprint (hexadecimal). Documents with one fingerprint are one
     node (named by a 64-bit hash). Candidates share all bits of a band; they are linked if their
     likeness is ``near`` or more. In every bucket (the nodes that share a band) each node is
-    first verified against the least one, which joins large groups with few pairs; then, in buckets that still hold nodes of
+    first verified against the least and the greatest one, which joins large groups with few pairs; then, in buckets that still hold nodes of
     different groups, the pairs between groups are. A pair at the threshold is met with
     probability ``recall``, a closer one with more.
 
@@ -337,12 +337,13 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
         rows = nodes.select("node", "mark").mapInArrow(_buckets(range(first, min(bands, first + PASS_BANDS)), bits), "bucket long, node long")
         shared = rows.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("n > 1")
         shared = tables.write(shared, f"shared-{first}")
-        large = shared.where("n > 2").select("bucket", F.col("low").alias("pivot"))
+        large = shared.where("n > 2").select("bucket", "low", "high")
         if large.limit(LOOKED_UP + 1).count() <= LOOKED_UP:
-            large = F.broadcast(large)  # two numbers a bucket
+            large = F.broadcast(large)  # three numbers a bucket
         met = tables.write(rows.join(large, "bucket"), f"met-{first}")
         pairs = shared.where("n = 2").select(F.col("high").alias("u"), F.col("low").alias("v"))
-        pairs = pairs.unionByName(met.where("node != pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))).distinct()
+        pivots = met.select(F.col("node").alias("u"), F.explode(F.array("low", "high")).alias("v")).where("u != v")
+        pairs = pairs.unionByName(pivots).distinct()
         links.append(tables.write(_links(pairs, nodes, near), f"links-{first}"))
         tables.drop(f"shared-{first}")
         crowded.append(met.select("bucket", "node"))
