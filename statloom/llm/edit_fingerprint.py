@@ -347,7 +347,7 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
         links.append(tables.write(_links(pairs, nodes, near), f"links-{first}"))
         tables.drop(f"shared-{first}")
         crowded.append(met.select("bucket", "node"))
-    group = tables.write(components(_union(links)), "components")
+    group = tables.write(components(_fewer(_union(links))), "components")
     more = []
     for k, rows in enumerate(crowded):  # two nodes of a bucket of two have met
         own = rows.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -361,7 +361,7 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
         more.append(tables.write(pairs.distinct(), f"more-{k}"))
         tables.drop(f"mixed-{k}")
     if not _union(more).isEmpty():
-        group = tables.write(components(_union([*links, *more])), "more-components")
+        group = tables.write(components(_fewer(_union([*links, *more]))), "more-components")
     done = nodes.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     size = done.groupBy("component").agg(F.min("least").alias("group_id"), F.sum("copies").alias("members")).where("members > 1")
     named = done.join(size, "component").select(F.lower(F.hex("mark")).alias("fingerprint"), "group_id")
@@ -373,6 +373,16 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     return out
 
 
+def _fewer(links: DataFrame) -> DataFrame:
+    """Links (u, v) that connect the same nodes: each u with its least partner, and its other partners with that one.
+
+    Pivots are few, so the latter are few different pairs however often they occur.
+    """
+    least = links.withColumn("m", F.min("v").over(Window.partitionBy("u")))  # a node has two pivots a band at most
+    near = least.select("u", F.col("m").alias("v")).distinct()
+    return near.unionByName(least.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
