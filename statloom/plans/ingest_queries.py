@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from statloom.functions.labels import contains
 from statloom.functions.names import name_parts, norm_label, part, part_or
@@ -262,7 +262,10 @@ def q_facts_ignore(spark, sf_dir):
     return stored.unionByName(new)
 
 
-EVENT_FACTS = StructType.fromDDL("user_id long, day date, event_id long, value double, event_type string")
+EVENT_FACTS = StructType(
+    [StructField("user_id", LongType()), StructField("day", DateType()), StructField("event_id", LongType()), StructField("value", DoubleType()),
+     StructField("event_type", StringType())]
+)
 
 
 @query(
