@@ -1,13 +1,14 @@
 """Toxicity: a character n-gram linear classifier on naive-Bayes-scaled features.
 
 Texts are lower-cased (A-Z), everything in ASCII that is no letter or digit
-counts as a space, and the features are the distinct byte 3- to 6-grams of a
-text, hashed into one table per length. From labelled documents:
+counts as a space, and the features are the byte 4- to 8-grams of a
+text (of UTF-8 bytes: in scripts beyond ASCII an n-gram spans fewer characters),
+hashed into one table per length; the value of one is log2(1 + occurrences). From labelled documents:
 
 1. naive Bayes: the log-count ratio r of each feature, the log of how much
    more often toxic documents have it than others (smoothed);
 2. selection: the features whose ratio is clearest (|r| over its deviation);
-3. a logistic regression over presence * r of those features, with an L2
+3. a logistic regression over value * r of those features, with an L2
    penalty, whose intercept is corrected to the class shares of all labels.
 
 The fit uses at most ``PER_CLASS`` documents of each class (the smallest
