@@ -72,9 +72,9 @@ WIDEST = 60
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"'=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[=\"'])*)(?P<close>>|\Z)"
+    r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"'=]++|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[=\"'])*+)(?P<close>>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)"
-    r"|(?P<text>(?:[^<]|<(?![A-Za-z!?/]))+)",
+    r"|(?P<text>(?:[^<]++|<(?![A-Za-z!?/]))++)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")

@@ -1,6 +1,7 @@
 """HTML rendering: markup cases, and the visible words of the test pages against the standard parser."""
 
 import re
+import tracemalloc
 from html.parser import HTMLParser
 
 import duckdb
@@ -62,3 +63,13 @@ def test_pages_show_all_visible_text(spark):
         parser.feed(html)
         parser.close()
         assert re.sub(r"\s+", "", re.sub(r"(?m)^\s*- ", "", got[page])) == re.sub(r"\s+", "", "".join(parser.out))
+
+
+def test_memory_of_a_long_page():
+    """A text of some MB in one run: the tokeniser keeps nothing per character."""
+    tracemalloc.start()
+    text = extract("<p title='" + "a " * (1 << 20) + "'>" + "some text < here " * (1 << 18))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) == len("some text < here ") * (1 << 18) - 1
+    assert peak < 100e6  # the page has 7 million characters
