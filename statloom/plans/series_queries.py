@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from statloom.functions import labels as L
 from statloom.operators import star
-from statloom.plans import ingest
+from statloom.operators.reshape import wide_to_long
+from statloom.plans import ingest, marts
+from statloom.plans.blocks import star_blocks
 from statloom.plans.testdata import query
 from statloom.session import shared_path
 from statloom.sources.series_json import read_series_lines, schema_report
@@ -249,6 +251,58 @@ def q_versioned_load(spark, sf_dir):
     return out
 
 
+#: Marts of a loaded star that ``star_mart`` gives, with their measures.
+STAR_MARTS = {
+    "Relacion_Poder_Adquisitivo": ("salario_medio", "ipc_valor", "poder_adquisitivo"),
+    "Relacion_Paro_Salarios": ("salario_medio", "tasa_paro_media"),
+    "Salario_Nominal_vs_Real": ("salario_nominal", "ipc_valor", "salario_real"),
+    "Calidad_Empleo": ("Asalariados_Total", "Asalariados_Temporal", "Temporal (%)", "Indefinido (%)"),
+}
+
+
+@query(
+    "star_mart",
+    "WITH " + SERIES_SQL + """, facts AS (
+  SELECT indicador, anio, mes, trimestre, """ + ", ".join(DETAILS) + """,
+    arg_min(valor, list_position([50913, 25171, 65334, 65132, 28186, 28191, 6061], code) * 100000000000 + k) AS valor
+  FROM p WHERE reason IS NULL AND valor IS NOT NULL GROUP BY indicador, anio, mes, trimestre, """ + ", ".join(DETAILS) + """),
+w AS (SELECT geografia AS comunidad, anio, avg(valor) AS salario FROM facts WHERE indicador = 'Salario_Anual_Media' GROUP BY 1, 2),
+c AS (SELECT anio, avg(valor) AS ipc FROM facts
+  WHERE indicador = 'IPC_Indice' AND geografia = 'Total Nacional' AND categoria = 'IPC General' GROUP BY 1),
+u AS (SELECT geografia AS comunidad, anio, avg(valor) AS paro FROM facts
+  WHERE indicador = 'Tasa_Paro' AND geografia <> 'Total Nacional' AND sexo = 'Ambos sexos' AND edad = 'Todas las edades' GROUP BY 1, 2),
+n AS (SELECT anio, avg(valor) AS nominal FROM facts WHERE indicador = 'Salario_Coste_Trimestral' AND geografia = 'Total Nacional' GROUP BY 1),
+e AS (SELECT anio, avg(valor) FILTER (indicador = 'Asalariados_Total') AS total, avg(valor) FILTER (indicador = 'Asalariados_Temporal') AS part
+  FROM facts WHERE indicador IN ('Asalariados_Total', 'Asalariados_Temporal') AND geografia = 'Total Nacional' GROUP BY 1),
+m AS (
+  SELECT 'Relacion_Poder_Adquisitivo' AS mart, comunidad, w.anio, unnest(['salario_medio', 'ipc_valor', 'poder_adquisitivo']) AS variable,
+    unnest([salario, ipc, salario / ipc]) AS value FROM w JOIN c ON w.anio = c.anio
+  UNION ALL SELECT 'Relacion_Paro_Salarios', w.comunidad, w.anio, unnest(['salario_medio', 'tasa_paro_media']), unnest([salario, paro])
+    FROM w JOIN u ON w.anio = u.anio AND w.comunidad = u.comunidad WHERE w.comunidad <> 'Total Nacional'
+  UNION ALL SELECT 'Salario_Nominal_vs_Real', NULL, n.anio, unnest(['salario_nominal', 'ipc_valor', 'salario_real']),
+    unnest([nominal, ipc, nominal / ipc * 100]) FROM n JOIN c ON n.anio = c.anio
+  UNION ALL SELECT 'Calidad_Empleo', NULL, anio, unnest(['Asalariados_Total', 'Asalariados_Temporal', 'Temporal (%)', 'Indefinido (%)']),
+    unnest([total, part, part / total * 100, (total - part) / total * 100]) FROM e)
+SELECT mart, comunidad, anio, variable, round(value, 6) AS value FROM m""",
+)
+def q_star_mart(spark, sf_dir):
+    """Documents are loaded into a star, the blocks
+    are read from its partitioned facts, and the marts run on them with their
+    own filters. A filter on the indicator's name prunes the fact partitions
+    when the query runs."""
+    store = ingest.StarStore(spark, shared_path(spark, "statloom-stars", uuid.uuid4().hex))
+    ingest.load(_raw(spark, series_lines(Tables(spark, sf_dir).orders)), store)
+    built = marts.build_marts(*star_blocks(store.tables()), reuse=lambda df: df.checkpoint(eager=True))
+    out = None
+    for name, measures in STAR_MARTS.items():
+        df = built[name]
+        if "comunidad" not in df.columns:
+            df = df.withColumn("comunidad", F.lit(None).cast("string"))
+        part = wide_to_long(df, ["comunidad", "anio"], measures).select(F.lit(name).alias("mart"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query(
     "json_schema_report",
     """WITH d AS (SELECT event_type, props, json_valid(props) AS ok FROM events),
