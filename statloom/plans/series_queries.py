@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions import labels as L
@@ -22,7 +22,7 @@ from statloom.plans import ingest, marts
 from statloom.plans.blocks import star_blocks
 from statloom.plans.testdata import query
 from statloom.session import shared_path
-from statloom.sources.series_json import read_series_lines, schema_report
+from statloom.sources.series_json import read_series_files, read_series_lines, schema_report
 from statloom.sources.tables import Tables
 
 CODES = (*L.LOAD_ORDER, 99999)
@@ -157,6 +157,45 @@ def q_series_observations(spark, sf_dir):
     return _named(batch.obs, "series_pos")
 
 
+#: Order keys of one array file of a table.
+KEYS_A_FILE = 100_000
+
+
+def _array_files(spark, docs: DataFrame) -> str:
+    """The documents as JSON array files, in the order of their keys: a folder for
+    each table, in it a folder with one file for each range of keys."""
+    folder = shared_path(spark, "statloom-arrays", uuid.uuid4().hex)
+    docs = docs.withColumn("part", F.lpad(F.floor(F.col("k") / KEYS_A_FILE).cast("string"), 12, "0"))
+    file = Window.partitionBy("table_code", "part")
+    rank, n = F.row_number().over(file.orderBy("k")), F.count(F.lit(1)).over(file)
+    line = F.concat(F.when(rank == 1, F.lit("[")).otherwise(F.lit(",")), "value", F.when(rank == n, F.lit("]")).otherwise(F.lit("")))
+    docs = docs.select(line.alias("value"), "table_code", "part", "k").sortWithinPartitions("table_code", "part", "k")
+    docs.drop("k").write.partitionBy("table_code", "part").text(folder)
+    return folder
+
+
+@query(
+    "series_files",
+    "WITH " + SERIES_SQL + """
+SELECT fact_table, indicador, anio, CAST(mes AS DOUBLE) AS mes, CAST(trimestre AS DOUBLE) AS trimestre, """ + ", ".join(DETAILS) + """,
+  count(*) AS n, arg_min(valor, k) AS first_valor, arg_max(valor, k) AS last_valor
+FROM p WHERE reason IS NULL AND valor IS NOT NULL GROUP BY fact_table, indicador, anio, mes, trimestre, """ + ", ".join(DETAILS),
+    widen=("mes", "trimestre"),
+)
+def q_series_files(spark, sf_dir):
+    """Table files that hold one array of documents each, read by
+    byte ranges; of each fact key the number of observations, and the first and
+    last in the files' order. (A document cut off in the middle would break
+    its array; those are in the JSON Lines queries.)"""
+    docs = series_lines(Tables(spark, sf_dir).orders).where("k % 101 <> 0").withColumn("table_code", _pick(CODES, F.col("k") % 8))
+    batch = ingest.prepare(read_series_files(spark, _array_files(spark, docs)))
+    obs = _named(batch.obs, "series_pos", "obs_pos").where("valor IS NOT NULL").drop("unidad")
+    place = F.struct("series_pos", "obs_pos")
+    return obs.groupBy("fact_table", "indicador", "anio", "mes", "trimestre", *DETAILS).agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("valor", place).alias("first_valor"), F.max_by("valor", place).alias("last_valor")
+    )
+
+
 @query(
     "series_rejects",
     "WITH " + SERIES_SQL + """, r AS (

@@ -6,9 +6,9 @@ Two landing forms:
   added at landing (splittable: large files are read by many tasks);
 * downloaded table files ``<code>.json`` (any prefix allowed before the code)
   holding one JSON array of series or a
-  lone series object. These are read whole per file (``multiLine``); the table
-  code comes from the file name and the series position from the row order
-  inside the file.
+  lone series object, also read by many tasks; the table code comes from the
+  file name and the series position from the place inside the file. Streams
+  read them whole per file (``multiLine``).
 
 A document that breaks the declared schema is not lost: the fields that could
 be read are kept and its text is in ``_bad_record`` (NULL for good documents).
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from statloom.schemas import BAD_RECORD, READ_SERIES, READ_SERIES_FILE
 from statloom.session import ensure_checkpoint_dir
+from statloom.sources.json_arrays import read_elements
 
 #: Options of every reader of raw documents (batch and stream).
 KEEP_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
@@ -31,15 +32,29 @@ def read_series_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
-    """``<code>.json`` files: array of series or a lone object per file."""
-    df = spark.read.schema(READ_SERIES_FILE).options(**KEEP_BAD).option("multiLine", True).json(path)
-    return files_to_series(df.select("Nombre", "Data", BAD_RECORD, F.col("_metadata.file_name").alias("file_name")))
+    """``<code>.json`` files: array of series or a lone object per file.
+
+    Many tasks read a large file (see ``json_arrays``). ``series_pos`` grows in
+    the order of the series in a file, and of the files by path. A folder
+    ``table_code=<code>`` names the code as well as the file does. What is no
+    object, and the rest of a file that ends too early, are broken documents;
+    the series before stay.
+    """
+    found = read_elements(spark, path).withColumn("doc", F.when(~F.col("broken"), F.from_json("text", READ_SERIES_FILE, KEEP_BAD)))
+    folder = F.regexp_extract("path", r"/table_code=(\d+)/", 1)
+    code = F.when(folder != "", folder).otherwise(_code(F.col("file_name")))
+    bad = F.when(F.col("broken"), F.col("text")).otherwise(F.col(f"doc.{BAD_RECORD}"))
+    return found.select(code.try_cast("int").alias("table_code"), F.col("place").alias("series_pos"), "doc.Nombre", "doc.Data", bad.alias(BAD_RECORD))
+
+
+def _code(file_name: Column) -> Column:
+    """The table code is the last number in the file name: 50913.json, tabla_50913.json (none: empty)."""
+    return F.regexp_extract(file_name, r"(\d+)(?=\D*$)", 1)
 
 
 def files_to_series(df: DataFrame) -> DataFrame:
-    """(Nombre, Data, file_name) rows of table files -> the landing form."""
-    # the table code is the last number in the file name: 50913.json, tabla_50913.json
-    code = F.regexp_extract(F.col("file_name"), r"(\d+)(?=\D*$)", 1)
+    """(Nombre, Data, file_name) rows of table files that a stream read whole -> the landing form."""
+    code = _code(F.col("file_name"))
     bad = F.col(BAD_RECORD) if BAD_RECORD in df.columns else F.lit(None).cast("string")
     # A multiLine file is one task, so the id follows the order in the file.
     return df.select(
