@@ -29,7 +29,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions import labels as L
@@ -150,12 +150,60 @@ class Batch:
     filtered: DataFrame  # series that their family doesn't load (table_code, series_pos, Nombre)
 
 
-def prepare(raw: DataFrame, keep=lambda df: df) -> Batch:
+class Counter:
+    """Counts what a load leaves out while the load writes its checkpoints.
+
+    The counts ride on the tasks that write parsed series and observations, so
+    they cost no job, and a task that is run again counts once. ``counts()``
+    waits for both writes.
+    """
+
+    SERIES = ("bad_document", "bad_data", "unmapped_code", "short_name", "filtered")
+    PERIODS = ("null_year", "bad_period")
+
+    def __init__(self):
+        self.series, self.obs = Observation(), Observation()
+        # ids are attached by inner joins, so that only the facts' own columns can be NULL
+        self.nulls = {t: [c for c in cols if not c.startswith("id_")] for t, cols in FACT_REQUIRED.items()}
+
+    def watch_series(self, parsed: DataFrame) -> DataFrame:
+        return parsed.observe(self.series, *(F.count_if(F.col("series_status") == r).alias(r) for r in self.SERIES))
+
+    def watch_observations(self, obs: DataFrame) -> DataFrame:
+        ok, no_year = F.col("period.period_ok"), F.col("period.anio").isNull()
+        metrics = [F.count_if(~ok & no_year).alias("null_year"), F.count_if(~ok & ~no_year).alias("bad_period")]
+        for table, columns in self.nulls.items():
+            before = ok & (F.col("fact_table") == table)  # a row has its first reason only
+            for c in columns:
+                metrics.append(F.count_if(before & F.col(c).isNull()).alias(f"{table}.null_{c}"))
+                before = before & F.col(c).isNotNull()
+        return obs.observe(self.obs, *metrics)
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        series, obs = self.series.get, self.obs.get
+        found = {"series": {r: series[r] for r in self.SERIES[:-1]} | {r: obs[r] for r in self.PERIODS}, "filtered": {"filtered": series["filtered"]}}
+        for table, columns in self.nulls.items():
+            found[table] = {f"null_{c}": obs[f"{table}.null_{c}"] for c in columns}
+        return {kind: {reason: n for reason, n in by.items() if n} for kind, by in found.items()}
+
+
+class Loaded(dict):
+    """What a load left out (kind -> DataFrame), and in ``counts`` how many rows of each kind have each reason."""
+
+    def __init__(self, frames: dict[str, DataFrame], counts: dict[str, dict[str, int]]):
+        super().__init__(frames)
+        self.counts = counts
+
+
+def prepare(raw: DataFrame, keep=lambda df: df, counter: Counter | None = None) -> Batch:
     """Parse a batch. ``keep`` materialises a frame that is read several times
-    (for example ``lambda df: df.checkpoint()``): the raw text is then parsed once."""
-    parsed = keep(parse_series(route(raw)))
+    (for example ``lambda df: df.checkpoint()``): the raw text is then parsed once.
+    ``counter`` counts rejects while ``keep`` writes."""
+    parsed = parse_series(route(raw))
+    parsed = keep(counter.watch_series(parsed) if counter else parsed)
     status = F.col("series_status")
-    obs = keep(observations(parsed.filter(status.isNull())))
+    obs = observations(parsed.filter(status.isNull()))
+    obs = keep(counter.watch_observations(obs) if counter else obs)
     none = F.lit(None)
     bad_series = parsed.filter(status.isNotNull() & (status != "filtered")).select(
         "table_code", "series_pos", "Nombre", status.alias("reject_reason"), none.cast("int").alias("obs_pos"), F.col(BAD_RECORD).alias("raw")
@@ -243,9 +291,10 @@ def _write_facts(new: Load, table: str, good: DataFrame, conflict: str) -> None:
     new.write(table, star.insert_or_ignore(stored, good, keys, ORDER, nullable).select(*columns))
 
 
-def load(raw: DataFrame, store: StarStore, conflict: str = "ignore") -> dict[str, DataFrame]:
+def load(raw: DataFrame, store: StarStore, conflict: str = "ignore") -> Loaded:
     """Load one batch of raw series into the store. Returns what was not loaded:
-    rejects per kind, and the filtered series.
+    rejects per kind, and the filtered series; ``counts`` of the result says
+    how many, counted while the load wrote.
 
     ``conflict`` says what becomes of a fact whose key is stored already:
 
@@ -268,7 +317,8 @@ def load(raw: DataFrame, store: StarStore, conflict: str = "ignore") -> dict[str
         raise ValueError(f"conflict is one of {CONFLICT}, not {conflict!r}")
     ensure_checkpoint_dir(raw.sparkSession)
     new = store.begin()
-    b = prepare(raw, keep=lambda df: df.checkpoint(eager=True))
+    counter = Counter()
+    b = prepare(raw, lambda df: df.checkpoint(eager=True), counter)
 
     def extend(table: str, candidates: DataFrame) -> None:
         keys, id_col, attrs = DIMENSIONS[table]
@@ -280,7 +330,7 @@ def load(raw: DataFrame, store: StarStore, conflict: str = "ignore") -> dict[str
     facts = fact_batches(b, {t: new.read(t) for t in DIMENSIONS})
     together(store.spark, *(partial(_write_facts, new, t, good, conflict) for t, (good, _) in facts.items()))
     new.commit(conflict=conflict)
-    return {"series": b.rejects, "filtered": b.filtered, **{t: bad for t, (_, bad) in facts.items()}}
+    return Loaded({"series": b.rejects, "filtered": b.filtered, **{t: bad for t, (_, bad) in facts.items()}}, counter.counts())
 
 
 FOREIGN_KEYS = {

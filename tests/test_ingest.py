@@ -19,6 +19,31 @@ def _load(spark, scratch, times=1):
     return store, rejects
 
 
+def _counted(frames):
+    """Rows of the reject tables by kind and reason."""
+    out = {}
+    for kind, df in frames.items():
+        reasons = [r[0] for r in df.select("reject_reason").collect()] if kind != "filtered" else ["filtered"] * df.count()
+        out[kind] = {r: reasons.count(r) for r in set(reasons)}
+    return out
+
+
+def test_load_counts_what_it_leaves_out(spark, scratch):
+    folder = sf.write_lines(scratch + "/land")
+    with open(folder + "/more.json", "w", encoding="utf-8") as fh:
+        fh.write('{"table_code": 50913, "Nomb\n')
+        doc = {"table_code": 50913, "series_pos": 90, "Nombre": "Total Nacional. General. Índice."}
+        fh.write(json.dumps(doc | {"Data": {"Anyo": 2015}}, ensure_ascii=False) + "\n")
+        data = [{"Anyo": None, "FK_Periodo": 1, "Valor": 1}, {"Anyo": 2015, "FK_Periodo": "x", "Valor": 1}, {"Anyo": 2015, "FK_Periodo": 1}]
+        fh.write(json.dumps(doc | {"Data": data}, ensure_ascii=False) + "\n")
+    raw = read_series_lines(spark, folder)
+    store = ingest.StarStore(spark, scratch + "/star")
+    first, again = ingest.load(raw, store), ingest.load(raw, store, conflict="update")
+    assert first.counts == again.counts == _counted(first)
+    assert set(first.counts["series"]) == {"bad_document", "bad_data", "unmapped_code", "short_name", "null_year", "bad_period"}
+    assert first.counts["T_precios"] == {"null_valor": 2} and first.counts["filtered"]["filtered"] > 0
+
+
 def test_load_builds_star_and_is_idempotent(spark, scratch):
     store, rejects = _load(spark, scratch, times=2)
     t = store.tables()
@@ -96,7 +121,7 @@ def test_empty_batch_loads_nothing(spark, scratch):
 
     store = ingest.StarStore(spark, scratch + "/star")
     rejects = ingest.load(spark.createDataFrame([], RAW_SERIES), store)
-    assert rejects["series"].count() == 0
+    assert rejects["series"].count() == 0 and not any(rejects.counts.values())
     assert all(df.count() == 0 for df in store.tables().values())
 
 
