@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators on Spark (see README, "Training data").
+"""Training-data operators: thirteen corpus operators on Spark (see README, "Training data").
 
 Nothing outside this subpackage imports it, apart from the guarded entry in
 ``__spark_entry__.py`` and ``corpus_pipeline.py``.
