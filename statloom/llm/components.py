@@ -2,7 +2,8 @@
 
 Each step is two shuffles over the edges; the number of steps grows with the
 logarithm of the components' diameter, not with their size. Neither edges nor
-labels pass through the driver; each round is cut with ``checkpoint()``.
+labels pass through the driver; each round is cut with ``checkpoint()``, and its
+shuffle files go with it.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statloom.llm.shared import tidy
 from statloom.session import ensure_checkpoint_dir
 
 
@@ -33,13 +35,14 @@ def components(edges: DataFrame) -> DataFrame:
     Edges may repeat and go either way; loops are ignored. No edges give no rows.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct().checkpoint()
-    mark = _mark(now)
-    while mark[0]:
-        new = _stars(now).checkpoint()
-        if (seen := _mark(new)) == mark:
-            break
-        now, mark = new, seen
+    with tidy(edges.sparkSession):
+        now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct().checkpoint()
+        mark = _mark(now)
+        while mark[0]:
+            new = _stars(now).checkpoint()
+            if (seen := _mark(new)) == mark:
+                break
+            now, mark = new, seen
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from statloom.llm import flat
 from statloom.llm.components import components
-from statloom.llm.shared import Tables, text_groups
+from statloom.llm.shared import Tables, text_groups, tidy
 
 SLOTS = 512
 #: The shared bits repeat after this many steps.
@@ -328,6 +328,11 @@ def near_groups(marks: DataFrame, near: float = NEAR, keep: tuple[str, ...] = ()
     smallest doc_id of the group. NULL fingerprints form no group (group_id is the own doc_id);
     an empty table gives no rows. A column of ``keep`` may not be named group_id.
     """
+    with tidy(marks.sparkSession):
+        return _near_groups(marks, near, keep, recall)
+
+
+def _near_groups(marks: DataFrame, near: float, keep: tuple[str, ...], recall: float) -> DataFrame:
     tables = Tables(marks.sparkSession, "near-groups")
     named = marks.where("fingerprint IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     nodes = tables.write(named.select(F.xxhash64("fingerprint").alias("node"), F.unhex("fingerprint").alias("mark"), "least", "copies"), "nodes")

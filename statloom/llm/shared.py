@@ -29,6 +29,15 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def tidy(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """While it holds, the shuffle files of a query go when the query has ended.
+
+    For queries whose result is written or checkpointed (nothing reads their shuffles
+    again): a loop of them would else leave files until the driver collects its garbage.
+    """
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 class Tables:
     """Parquet tables under one folder of ``spark.checkpoint.dir``; ``drop`` removes them.
 
@@ -41,7 +50,7 @@ class Tables:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        with tidy(self.spark):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -1,13 +1,17 @@
 """Every operator on awkward rows and on empty tables: one defined result for each row."""
 
+import time
+
 import plain
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from statloom.llm import (
     decontaminate, edit_fingerprint, html_text, language_id, ngram_join, sentencepiece_bpe, sharding, substring_dedup, token_files, toxicity,
 )
+from statloom.llm.components import components
 
 ROWS = plain.awkward()
 ITEMS = [(1, plain.PASSAGE), (2, None), (3, ""), (4, "word1 word2"), (None, "one two three four")]
@@ -103,3 +107,20 @@ def test_stages_take_awkward_rows_and_empty_tables(spark, docs, none, tmp_path):
     assert set(cut) == {1, 3, 5, 11, 12} and cut[1].text is None and cut[3].text == " \t\n " and cut[12].text == "before after it all"
     left = {r.doc_id: r.text for r in corpus_pipeline.decontaminate(spark, docs.where("doc_id IN (1, 5, 10, 11, 12)"), str(tmp_path)).collect()}
     assert left[1] is None and left[10] == "Ünï çödé ñ — 漢字 🙂 x" and 11 not in left
+
+
+def test_rounds_leave_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def count():
+        return files.getAllBlocks().mkString(" ").count("shuffle")
+
+    edges = spark.range(1, 200).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))  # a chain takes several rounds
+    before = count()
+    group = components(edges)
+    assert {r.component for r in group.collect()} == {0}
+    for _ in range(100):  # files go in the background
+        if count() <= before + 60:
+            break
+        time.sleep(0.1)
+    assert count() <= before + 60
