@@ -98,7 +98,12 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BL
 
 
 def give_back() -> None:
-    """Return freed memory to the system at the end of a task: Python workers live on and serve other stages."""
+    """Return freed memory to the system at the end of a task: Python workers live on and serve other stages.
+
+    Tables that are quickly made again go too, and Arrow's pool gives up what it holds in reserve.
+    """
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 

@@ -312,7 +312,7 @@ def _model(data: bytes) -> Model:
 def _run(file, extra: list[str], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(file.value)
-        for block in flat.blocks(batches, size=flat.BLOCK_BYTES // 4):
+        for block in flat.blocks(batches, size=flat.BLOCK_BYTES // 8):
             if len(_MEMORY) > REMEMBERED_WORDS:
                 _MEMORY.clear()
             ids = [np.append(x, np.int32(model.end)) for x in model.encode([t or "" for t in block.column("text").to_pylist()], _MEMORY)]

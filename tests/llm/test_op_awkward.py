@@ -2,6 +2,7 @@
 
 import time
 
+import numpy as np
 import plain
 import public_tokenizers
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from statloom.llm import (
-    decontaminate, edit_fingerprint, html_text, language_id, ngram_join, sentencepiece_bpe, sharding, substring_dedup, token_files, toxicity,
+    decontaminate, edit_fingerprint, flat, html_text, language_id, ngram_join, sentencepiece_bpe, sharding, substring_dedup, token_files, toxicity,
 )
 from statloom.llm.components import components
 
@@ -124,3 +125,14 @@ def test_rounds_leave_no_shuffle_files(spark):
             break
         time.sleep(0.1)
     assert count() <= before + 60
+
+
+def test_workers_give_back_tables_and_reserves(monkeypatch):
+    buf = np.frombuffer(b"some words of a text " * 100, np.uint8)
+    flat.find_words(buf, np.array([0, len(buf)]), flat.SPACED)
+    assert flat._POWERS
+    released = []
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})()
+    monkeypatch.setattr(flat.pa, "default_memory_pool", lambda: pool)
+    flat.give_back()
+    assert not flat._POWERS and released == [1]
