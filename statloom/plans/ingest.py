@@ -56,6 +56,14 @@ def route(raw: DataFrame) -> DataFrame:
     return raw.join(F.broadcast(routing_table(raw.sparkSession)), "table_code", "left")  # fixed 7 rows
 
 
+def settled(value: Column) -> Column:
+    """The value as a column that is made once a row: a filter on it runs after it.
+
+    A filter on a plain expression runs before it, and repeats it with every step that it
+    is made of, beyond the size of code that Spark compiles."""
+    return F.explode(F.array(value))
+
+
 def parse_series(routed: DataFrame) -> DataFrame:
     """Series-level columns: dimensions by position, indicator, and the status
     that says why a series is not loaded (NULL: it is)."""
@@ -77,6 +85,14 @@ def parse_series(routed: DataFrame) -> DataFrame:
 
     too_short = F.coalesce(F.size("parts"), F.lit(0)) < L.required_parts(code)
     bad = F.col(BAD_RECORD)
+    # reads Data too: a reader that is not asked for a field does not notice that it is broken
+    status = (
+        F.when(bad.isNotNull() & F.col("Nombre").isNotNull() & F.col("Data").isNull(), F.lit("bad_data"))
+        .when(bad.isNotNull(), F.lit("bad_document"))
+        .when(fam.isNull(), F.lit("unmapped_code"))
+        .when(too_short, F.lit("short_name"))
+        .when(~F.coalesce(by_family("keep"), F.lit(False)), F.lit("filtered"))
+    )
     return df.select(
         "table_code", "series_pos", "load_order", "family", "fact_table", "Nombre", "Data",
         F.coalesce(F.col("geografia"), F.lit(L.NATIONAL)).alias("geografia"),
@@ -90,13 +106,7 @@ def parse_series(routed: DataFrame) -> DataFrame:
         F.when(fam == "employment", F.col("grupo_edad")).alias("grupo_edad"),
         F.when(fam == "employment", F.col("tipo_jornada")).alias("tipo_jornada"),
         F.when(fam == "employment", F.col("tipo_contrato")).alias("tipo_contrato"),
-        # reads Data too: a reader that is not asked for a field does not notice that it is broken
-        F.when(bad.isNotNull() & F.col("Nombre").isNotNull() & F.col("Data").isNull(), F.lit("bad_data"))
-        .when(bad.isNotNull(), F.lit("bad_document"))
-        .when(fam.isNull(), F.lit("unmapped_code"))
-        .when(too_short, F.lit("short_name"))
-        .when(~F.coalesce(by_family("keep"), F.lit(False)), F.lit("filtered"))
-        .alias("series_status"),
+        settled(status).alias("series_status"),
         BAD_RECORD,
     )
 
@@ -139,7 +149,7 @@ def observations(series: DataFrame) -> DataFrame:
     obs = obs.select(*base, "_value", "_year", F.when(~missing, F.coalesce("_n", F.lit(UNREADABLE))).alias("_key"))
     month, code = month_or_code(F.col("table_code") == F.lit(L.CPI), "_key")
     obs = obs.select(*base, "_value", "_year", month.alias("_month"), code.alias("_code"))
-    return obs.select(*base, normalise_period("_year", "_month", "_code").alias("period"), F.col("_value").try_cast("double").alias("valor"))
+    return obs.select(*base, settled(normalise_period("_year", "_month", "_code")).alias("period"), F.col("_value").try_cast("double").alias("valor"))
 
 
 @dataclass

@@ -30,6 +30,15 @@ _NO_END = 1 << 30
 _BLANK = r"^[\s\x{FEFF}]+"
 
 
+def _count(text: str, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(F.col(text), F.lit(char)))
+
+
+def _change(text: str) -> Column:
+    """By how much the brackets of a piece change the depth (it holds no closing brace)."""
+    return _count(text, "[") + _count(text, "{") - _count(text, "]")
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """Pieces of text up to each ``}`` with their place and both ways to read them."""
     text = spark.read.option("lineSep", "}").text(path)
@@ -37,18 +46,19 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"),
     )
-    df = df.withColumn("plain", F.regexp_replace("value", r"(?s)\\.", ""))  # a } is read alike after a backslash
-    df = df.withColumn("quotes", F.length("plain") - F.length(F.replace("plain", F.lit('"'))))
-    # what is left outside strings, if the piece starts outside (0) or inside (1) of one
-    df = df.withColumn("rest1", F.regexp_replace("plain", r'^[^"]*"?', ""))
-    df = df.withColumns({"rest0": F.regexp_replace("plain", r'"[^"]*"?', ""), "rest1": F.regexp_replace("rest1", r'"[^"]*"?', "")})
-    odd = F.col("quotes") % 2
+    # a } is read alike after a backslash
+    plain = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+    df = df.withColumn("plain", plain)
+    df = df.withColumns({"quotes": _count("plain", '"'), "both": _change("plain")})
+    # what lies outside strings, if the piece starts outside of one (0), lies inside of them if it starts inside (1), and the other way round
+    rest0 = F.when(F.col("quotes") > 0, F.regexp_replace("plain", r'"[^"]*"?', "")).otherwise(F.col("plain"))
+    df = df.withColumn("rest0", rest0)
+    df = df.withColumn("outside0", _change("rest0"))
+    change = (F.col("outside0"), F.col("both") - F.col("outside0"))
     for case in (0, 1):
-        rest = F.col(f"rest{case}")
-        change = F.length(F.regexp_replace(rest, r"[^\[{]", "")) - F.length(F.regexp_replace(rest, r"[^\]}]", ""))
-        df = df.withColumn(f"ends{case}", (odd + case) % 2 == 0)  # the } behind the piece is a bracket, no text
-        df = df.withColumn(f"change{case}", (change - F.col(f"ends{case}").cast("int")).cast("long"))
-    return df.withColumn("bytes", F.octet_length("value").cast("long") + 1).drop("plain", "rest0", "rest1")
+        df = df.withColumn(f"ends{case}", (F.col("quotes") + case) % 2 == 0)  # the } behind the piece is a bracket, no text
+        df = df.withColumn(f"change{case}", (change[case] - F.col(f"ends{case}").cast("int")).cast("long"))
+    return df.withColumn("bytes", F.octet_length("value").cast("long") + 1).drop("plain", "both", "rest0", "outside0")
 
 
 def _scanned(pieces: DataFrame) -> DataFrame:
@@ -119,11 +129,12 @@ def _assembled(scanned: DataFrame, ranges: DataFrame) -> DataFrame:
     own = F.max(F.when(F.col("ends"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     df = df.withColumn("from", F.coalesce(own, F.col("last_end")))
     part = F.struct("end", F.concat("value", F.when(F.col("closed"), F.lit("}")).otherwise(F.lit(""))).alias("value"))
-    out = df.groupBy("path", "file_name", "before_file", "from").agg(
-        F.array_sort(F.collect_list(part)).alias("parts"), F.max("ends").alias("whole"), F.max(F.col("last") & F.col("unclosed")).alias("unclosed")
-    )
-    text = F.array_join(F.transform("parts", lambda p: p["value"]), "")
-    return out.select("path", "file_name", (F.col("before_file") + F.col("from")).alias("place"), text.alias("text"), "whole", "unclosed")
+    # the place tells the file, too
+    out = df.groupBy((F.col("before_file") + F.col("from")).alias("place")).agg(
+        F.first("path").alias("path"), F.first("file_name").alias("file_name"),
+        F.sort_array(F.collect_list(part)).alias("parts"), F.max("ends").alias("whole"), F.max(F.col("last") & F.col("unclosed")).alias("unclosed"),
+    )
+    return out.select("path", "file_name", "place", F.array_join(F.col("parts.value"), "").alias("text"), "whole", "unclosed")
 
 
 def read_elements(spark: SparkSession, path: str) -> DataFrame:
@@ -146,7 +157,7 @@ def read_elements(spark: SparkSession, path: str) -> DataFrame:
     ranges = _ranges(_scanned(pieces.withColumn("value", head).drop("file_name")))
     parts = _assembled(_scanned(pieces.drop("size")), ranges)
     # commas and the array's own brackets stand between the objects
-    lead = F.when(F.col("whole"), F.regexp_extract("text", r"^[^{]*", 0)).otherwise(F.col("text"))
+    lead = F.when(F.col("whole"), F.substring_index("text", "{", 1)).otherwise(F.col("text"))
     parts = parts.withColumn("lead", lead)
     inner = F.regexp_replace(F.regexp_replace("lead", _BLANK, ""), r"^\[?[\s,]*|^,[\s,]*", "")
     junk = F.when(F.col("whole"), F.regexp_replace(inner, r"[\s,]+$", "")).otherwise(F.regexp_replace(inner, r"^\]?\s*$", ""))

@@ -227,3 +227,18 @@ def test_landing_conversion_round_trip(spark, scratch):
     store = ingest.StarStore(spark, scratch + "/star")
     ingest.load(landed, store)
     assert store.read("T_precios").count() == 20 and store.read("T_salarios").count() == 9
+
+
+def test_filters_do_not_repeat_the_parsing(spark, scratch):
+    with open(scratch + "/50913.json", "w", encoding="utf-8") as fh:
+        json.dump([{"Nombre": "Total Nacional. Alimentos. Índice. ", "Data": [{"Anyo": 2020, "FK_Periodo": 3, "Valor": 1.5}]}], fh)
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 10_000)
+    try:
+        obs = ingest.prepare(read_series_files(spark, scratch)).obs.where("valor IS NOT NULL")
+        plan = obs._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert plan.count("split(") == 1 and plan.count("make_date(") == 1
+    assert [(r.anio, r.mes, r.valor, r.categoria_gasto) for r in obs.collect()] == [(2020, 3, 1.5, "Alimentos")]
