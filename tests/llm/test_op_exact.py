@@ -24,7 +24,7 @@ def run(spark, name, sf=SF):
 @pytest.mark.parametrize("name", [n for n, (_, sql) in queries.QUERIES.items() if sql])
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     res = con.execute(queries.QUERIES[name][1])
     want = sorted(map(str, (dict(sorted(zip([d[0] for d in res.description], r))) for r in res.fetchall())))
